@@ -1,5 +1,7 @@
 """The prediction cache: one value per (weekday, hour, category), last version wins."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.keys import KEYS, join_key, split_key
@@ -69,3 +71,22 @@ def serve(requests: DataFrame, cache: DataFrame) -> DataFrame:
     return requests.join(hits, [*KEYS], "left").withColumn(
         "cache_hit", F.coalesce("cache_hit", F.lit(False))
     )
+
+
+def missing_keys(requests: DataFrame, cache: DataFrame) -> DataFrame:
+    """Each key that is asked for and not cached, once."""
+    return requests.select(*KEYS).distinct().join(cache.select(*KEYS), [*KEYS], "left_anti")
+
+
+def serve_all(
+    requests: DataFrame, cache: DataFrame, predict: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``serve``, with the misses predicted: once per missing key, not once per request.
+
+    ``predict`` adds an INT ``prediction`` to rows of keys.
+    """
+    cached = cache.select(*KEYS, "prediction", F.lit(True).alias("cache_hit"))
+    scored = predict(missing_keys(requests, cache)).select(
+        *KEYS, "prediction", F.lit(False).alias("cache_hit")
+    )
+    return requests.join(cached.unionByName(scored), [*KEYS], "left")

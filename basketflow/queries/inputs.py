@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.keys import KEYS
 from ..operators.aggregate import basket_totals
 
 # The event kinds of the given events table.
@@ -40,10 +39,13 @@ def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(per_order, orders.o_orderkey == per_order.l_orderkey).drop("l_orderkey")
 
 
-def event_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_baskets(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None
+) -> DataFrame:
     """One row per event, one column per kind of event; exactly one of them is filled."""
+    events = table(spark, sf_dir, "events") if events is None else events
     amount = F.col("value").cast("int")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         "user_id",
         (F.dayofweek("ts") - 1).alias("order_dow"),
@@ -104,7 +106,7 @@ ORDER_TOTALS_SQL = f"""
 """
 
 EVENT_FACTS_SQL = """
-    SELECT event_id, user_id,
+    SELECT event_id, user_id, ts,
            CAST(dayofweek(ts) AS INTEGER) AS order_dow,
            CAST(hour(ts) AS INTEGER) AS order_hour_of_day,
            event_type AS category,

@@ -1,5 +1,10 @@
 """Name -> (query, SQL or None)."""
 
-from . import aggregation
+from . import aggregation, incremental, learning, serving
 
-REGISTRY = {**aggregation.QUERIES}
+REGISTRY = {
+    **aggregation.QUERIES,
+    **incremental.QUERIES,
+    **learning.QUERIES,
+    **serving.QUERIES,
+}

@@ -16,6 +16,7 @@ DEFAULTS = {
     # One open writer per weekday folder instead of a sort of every task's rows.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -68,10 +68,13 @@ class BatchTable:
         )
         if upto < 0:
             return recent
-        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}")
-        return base.select(*self.schema.names).unionByName(recent)
+        return self._read_base(upto).unionByName(recent)
 
     def read(self) -> DataFrame:
+        """All rows folded; a plain scan where nothing came after the base."""
+        upto = self.base()
+        if upto >= 0 and max(self.batches(), default=-1) <= upto:
+            return self._read_base(upto)
         return self.fold(self.rows())
 
     def compact(self) -> int:
@@ -91,6 +94,10 @@ class BatchTable:
             if old < upto:
                 files.remove_dir(self.spark, f"{self.path}/base/upto={old}")
 
+    def _read_base(self, upto: int) -> DataFrame:
+        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}")
+        return base.select(*self.schema.names)
+
     def _save(self, rows: DataFrame, path: str) -> None:
         writer = rows.select(*self.schema.names).write.mode("overwrite")
         if self.partition_by:
