@@ -31,11 +31,18 @@ def melt_baskets(
     id_columns: Sequence[str],
     keep: Sequence[str] = ("order_dow", "order_hour_of_day"),
 ) -> DataFrame:
-    """One row (keep..., category, items) per basket and category column."""
+    """One row (keep..., category, items) per basket and category column.
+
+    The cells are gathered into an array first and exploded in a second step. Only the
+    first step then sees the full width: a table of more than 100 columns would keep
+    ``unpivot`` or ``stack`` out of generated code for every cell.
+    """
     categories = category_columns(df, id_columns)
-    return df.unpivot(
-        [quoted(c) for c in keep], [quoted(c) for c in categories], "category", "items"
-    )
+    kept = [F.col(quoted(c)) for c in keep]
+    cells = df.select(*kept, F.array(*[F.col(quoted(c)) for c in categories]).alias("_cells"))
+    exploded = cells.select(*kept, F.posexplode("_cells").alias("_position", "items"))
+    names = F.array(*[F.lit(c) for c in categories])
+    return exploded.select(*kept, F.get(names, F.col("_position")).alias("category"), "items")
 
 
 def typed_keys(

@@ -10,9 +10,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Wide basket tables have far more than the default 100 columns; above the
-    # limit Spark drops the melt out of whole-stage code generation.
-    "spark.sql.codegen.maxFields": "2000",
     # One open writer per weekday folder instead of a sort of every task's rows.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.ui.enabled": "false",
