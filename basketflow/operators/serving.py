@@ -38,8 +38,8 @@ def latest_per_key(cache: DataFrame) -> DataFrame:
 
 
 def latest_version_only(cache: DataFrame, version: int) -> DataFrame:
-    """Only what the given model version predicted."""
-    return cache.filter(F.col("model_version") == version)
+    """Only what the given model version predicted, one row per key."""
+    return latest_per_key(cache.filter(F.col("model_version") == version))
 
 
 def lookup(cache: DataFrame, key: str) -> DataFrame:

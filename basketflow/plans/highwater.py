@@ -12,15 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators.aggregate import PARTIAL_SCHEMA, basket_partials, finish_totals, merge_partials
 from ..sinks.runlog import append_run, read_run_log
 from ..sources.baskets import available_days, read_days
-from ..sources.tables import BatchTable
+from ..sources.tables import BatchTable, literal_rows
 
+DAY_SCHEMA = T.StructType([T.StructField("day", T.IntegerType())])
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("day", T.IntegerType()), T.StructField("batch_id", T.LongType())]
 )
 
 
 def day_table(spark: SparkSession, days: Sequence[int]) -> DataFrame:
-    return spark.createDataFrame([(d,) for d in days], "day int")
+    return literal_rows(spark, [(d,) for d in days], DAY_SCHEMA)
 
 
 def pending_days(available: DataFrame, processed: DataFrame) -> DataFrame:
@@ -66,8 +67,8 @@ class HighWaterAggregation:
         try:
             baskets = read_days(self.spark, self.landing, days, with_day=False)
             self.partials.write(batch_id, basket_partials(baskets, self.id_columns))
-            done = day_table(self.spark, days).withColumn("batch_id", F.lit(batch_id))
-            self.manifest.write(batch_id, done.coalesce(1))
+            done = literal_rows(self.spark, [(d, batch_id) for d in days], MANIFEST_SCHEMA)
+            self.manifest.write(batch_id, done)
         except Exception:
             append_run(self.spark, self.log_path, "highwater", "failed", batch_id, days)
             raise

@@ -8,6 +8,7 @@ from ..operators.serving import cache_rows, latest_per_key
 from ..sinks.csv import export_csv
 from ..sinks.keyvalue import write_keyvalue
 from ..sinks.runlog import append_run
+from ..sources import files
 from ..sources.models import ModelStore
 from ..sources.tables import BatchTable
 
@@ -32,7 +33,7 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def prediction_cache(spark: SparkSession, path: str) -> BatchTable:
-    """The cache table, one batch per model version.
+    """The cache table, a batch per refresh.
 
     Files are laid out by weekday, so a lookup of one key reads one weekday.
     """
@@ -48,11 +49,16 @@ def score(
     csv_output: str | None = None,
     run_log: str | None = None,
 ) -> DataFrame:
-    """Score ``rows`` (by default the test set kept with the model) into ``output/v=N``."""
+    """Score ``rows`` (by default the test set kept with the model) into ``output``.
+
+    Every run gets a folder of its own, ``v=N/run=K``, so one that repeats a score does not
+    pull files from under a reader. Returns the predictions as stored.
+    """
     version = store.current() if version is None else version
     model = store.load(version)
     rows = store.split(version, "test") if rows is None else rows
-    path = f"{output}/v={version}"
+    runs = files.numbered_dirs(spark, f"{output}/v={version}", prefix="run=")
+    path = f"{output}/v={version}/run={max(runs, default=0) + 1}"
     predict(model, rows).write.mode("overwrite").parquet(path)
     predictions = spark.read.parquet(path)
     if csv_output:
@@ -90,5 +96,11 @@ def score_and_cache(
 def refresh_cache(
     cache: BatchTable, predictions: DataFrame, version: int, batch: int | None = None
 ) -> None:
-    """Write the predictions of one model version; the batch number defaults to it."""
-    cache.write(version if batch is None else batch, cache_rows(predictions, version))
+    """Add the predictions of one model version to the cache.
+
+    Without a batch number they become a new batch, and readers are not disturbed. Adding
+    the same predictions twice changes nothing, as the last version of a key wins.
+    """
+    if batch is None:
+        batch = max([cache.base(), *cache.batches()]) + 1
+    cache.write(batch, cache_rows(predictions, version))

@@ -13,6 +13,7 @@ from ..operators.metrics import squared_error
 from ..operators.sampling import label_split
 from ..sinks.runlog import append_run
 from ..sources.models import METRICS_SCHEMA, ModelStore
+from ..sources.tables import literal_rows
 
 
 @dataclass(frozen=True)
@@ -79,8 +80,7 @@ def train_model(
         .first()
     )
     row = (version, train.count(), quality["n_test"], unseen_categories(test, train).count(), quality["mse"])
-    metrics = spark.createDataFrame([row], METRICS_SCHEMA)
-    store.publish(version, metrics)
+    store.publish(version, literal_rows(spark, [row], METRICS_SCHEMA))
     if run_log:
         append_run(spark, run_log, "train", "done", version, output=store.root)
     return version

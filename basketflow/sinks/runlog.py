@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ..sources.tables import read_or_empty
+from ..sources.tables import literal_rows, read_or_empty
 
 RUN_LOG_SCHEMA = T.StructType(
     [
@@ -34,7 +34,7 @@ def append_run(
 ) -> None:
     now = dt.datetime.now(dt.timezone.utc)
     row = (uuid.uuid4().hex, job, batch_id, days, rows, output, status, now)
-    spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    literal_rows(spark, [row], RUN_LOG_SCHEMA).write.mode("append").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

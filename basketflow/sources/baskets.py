@@ -51,7 +51,8 @@ def read_csv(
     reader = csv_options(spark.read)
     if keep_malformed:
         schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+        # Field counts are only checked when every column is parsed.
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
     try:
         return reader.schema(schema).csv(paths)
     except AnalysisException as error:

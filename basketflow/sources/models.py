@@ -64,7 +64,7 @@ class ModelStore:
         return PipelineModel.load(path)
 
     def publish(self, version: int, metrics: DataFrame) -> None:
-        metrics.coalesce(1).write.mode("overwrite").parquet(f"{self._dir(version)}/metrics")
+        metrics.write.mode("overwrite").parquet(f"{self._dir(version)}/metrics")
 
     def metrics(self, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version

@@ -1,6 +1,6 @@
 """Tables that a run adds one numbered batch to."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,6 +18,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows known to the driver, as literals: no Python worker, one partition."""
+    structs = [
+        F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, row, strict=True)]
+        )
+        for row in rows
+    ]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 class BatchTable:
     """Parquet folders ``batches/batch=N``, and now and then a folded ``base/upto=N``.
 
@@ -43,6 +56,9 @@ class BatchTable:
     def write(self, batch: int, rows: DataFrame) -> None:
         self._save(rows, f"{self.path}/batches/batch={batch}")
 
+    def read_batch(self, batch: int) -> DataFrame:
+        return self._read(f"{self.path}/batches/batch={batch}")
+
     def batches(self) -> list[int]:
         return files.numbered_dirs(
             self.spark, f"{self.path}/batches", prefix="batch=", marker="_SUCCESS"
@@ -59,11 +75,11 @@ class BatchTable:
 
     def rows(self) -> DataFrame:
         """Base rows and the batches after it, not folded together."""
-        upto = self.base()
+        upto, last = self.base(), max(self.batches(), default=-1)
         schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
         recent = (
             read_or_empty(self.spark, f"{self.path}/batches", schema)
-            .filter(F.col("batch") > upto)
+            .filter((F.col("batch") > upto) & (F.col("batch") <= last))
             .select(*self.schema.names)
         )
         if upto < 0:
@@ -95,8 +111,10 @@ class BatchTable:
                 files.remove_dir(self.spark, f"{self.path}/base/upto={old}")
 
     def _read_base(self, upto: int) -> DataFrame:
-        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}")
-        return base.select(*self.schema.names)
+        return self._read(f"{self.path}/base/upto={upto}")
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(path).select(*self.schema.names)
 
     def _save(self, rows: DataFrame, path: str) -> None:
         writer = rows.select(*self.schema.names).write.mode("overwrite")

@@ -28,7 +28,7 @@ from ..sources.baskets import (
     melt_drifting_lines,
     text_schema,
 )
-from ..sources.tables import BatchTable
+from ..sources.tables import BatchTable, literal_rows
 
 
 class IncrementalAggregation:
@@ -58,19 +58,16 @@ class IncrementalAggregation:
     # --- tables of the current generation -------------------------------------------
 
     def generation(self) -> int:
+        """Number of resets so far; each generation has its own checkpoint and tables."""
         return max(files.numbered_dirs(self.spark, self.state, prefix="gen="), default=0)
 
     @property
     def partials(self) -> BatchTable:
-        return BatchTable(
-            self.spark, f"{self._generation_dir()}/partials", PARTIAL_SCHEMA, merge_partials
-        )
+        return self._partials(self.generation())
 
     @property
     def manifest(self) -> BatchTable:
-        return BatchTable(
-            self.spark, f"{self._generation_dir()}/manifest", MANIFEST_SCHEMA, lambda rows: rows
-        )
+        return self._manifest(self.generation())
 
     def totals(self) -> DataFrame:
         """The aggregate table over everything processed so far."""
@@ -110,21 +107,26 @@ class IncrementalAggregation:
         """Start over: an empty checkpoint and empty partial sums, in one step."""
         files.make_dirs(self.spark, f"{self.state}/gen={self.generation() + 1}")
 
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def apply_batch(self, batch: DataFrame, batch_id: int, generation: int | None = None) -> None:
         """Write one micro-batch; writing it again replaces what it wrote before."""
+        generation = self.generation() if generation is None else generation
+        partials = self._partials(generation)
         seen = Observation()
-        batch = batch.observe(seen, F.collect_set("day").alias("days"))
-        partials = self.partials
+        observed = batch.observe(seen, F.collect_set("day").alias("days"))
         if self.columns:
-            sums = basket_partials(batch.drop("day"), self.id_columns)
+            sums = basket_partials(observed.drop("day"), self.id_columns)
         else:
-            facts = melt_drifting_lines(batch.drop("day"), self.id_columns)
+            facts = melt_drifting_lines(observed.drop("day"), self.id_columns)
             sums = partial_totals(valid_keys(facts))
         partials.write(batch_id, sums)
-        days = sorted(seen.get["days"])
-        done = day_table(self.spark, days).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self.manifest.write(batch_id, done.coalesce(1))
-        written = self.spark.read.parquet(f"{partials.path}/batches/batch={batch_id}")
+        written = partials.read_batch(batch_id).count()
+        if written:
+            days = sorted(seen.get["days"])
+        else:
+            # With no sums at all Spark drops the plan, and with it what it observed.
+            days = sorted(r.day for r in batch.select("day").distinct().collect())
+        done = literal_rows(self.spark, [(d, batch_id) for d in days], MANIFEST_SCHEMA)
+        self._manifest(generation).write(batch_id, done)
         append_run(
             self.spark,
             self.log_path,
@@ -132,14 +134,19 @@ class IncrementalAggregation:
             "done",
             batch_id,
             days,
-            written.count(),
+            written,
             partials.path,
         )
 
     # --- parts ----------------------------------------------------------------------
 
-    def _generation_dir(self) -> str:
-        return f"{self.state}/gen={self.generation()}"
+    def _partials(self, generation: int) -> BatchTable:
+        path = f"{self.state}/gen={generation}/partials"
+        return BatchTable(self.spark, path, PARTIAL_SCHEMA, merge_partials)
+
+    def _manifest(self, generation: int) -> BatchTable:
+        path = f"{self.state}/gen={generation}/manifest"
+        return BatchTable(self.spark, path, MANIFEST_SCHEMA, lambda rows: rows)
 
     def _stream(self) -> DataFrame:
         if not files.exists(self.spark, self.landing):
@@ -157,10 +164,9 @@ class IncrementalAggregation:
         )
 
     def _writer(self) -> DataStreamWriter:
-        checkpoint = f"{self._generation_dir()}/checkpoint"
+        generation = self.generation()
         return (
             self._stream()
-            .writeStream.queryName("incremental-aggregation")
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(self.apply_batch)
+            .writeStream.option("checkpointLocation", f"{self.state}/gen={generation}/checkpoint")
+            .foreachBatch(lambda batch, batch_id: self.apply_batch(batch, batch_id, generation))
         )

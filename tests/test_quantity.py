@@ -1,0 +1,82 @@
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from basketflow.functions.quantity import fraction_part, is_positive, parse_int, quantity, whole_part
+from basketflow.operators.aggregate import positive_items, total_items
+
+# text, quantity where it is kept, None where it is dropped
+CASES = [
+    ("1", 1.0),
+    ("1.7", 1.7),
+    ("0.5", None),
+    ("abc", None),
+    ("", None),
+    (" 3 ", 3.0),
+    ("-2", None),
+    (None, None),
+    ("1e3", None),
+    ("NaN", None),
+    ("Infinity", None),
+    ("1d", None),
+    ("1f", None),
+    ("1.5e0", None),
+    ("+4", 4.0),
+    ("0x10", None),
+    ("1,000", None),
+    ("2147483647", 2147483647.0),
+    ("2147483648", 2147483648.0),
+    ("9007199254740991", 9007199254740991.0),
+    ("9007199254740992", None),
+    ("9999999999999999999", None),
+    ("99999999999999999999999", None),
+    ("2.", 2.0),
+    (".5", None),
+]
+
+
+def test_text_quantities(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "id int, items string")
+    kept = {r.id: r.quantity for r in positive_items(df).collect()}
+    assert kept == {i: q for i, (_, q) in enumerate(CASES) if q is not None}
+
+
+def test_whole_and_fraction_add_up(spark):
+    df = spark.createDataFrame([("1.75",), ("3",), ("-0.25",), ("x",)], "items string")
+    text = T.StringType()
+    got = df.select(
+        whole_part(F.col("items"), text).alias("w"), fraction_part(F.col("items"), text).alias("f")
+    ).collect()
+    assert [(r.w, None if r.f is None else float(r.f)) for r in got] == [
+        (1, 0.75),
+        (3, None),
+        (-1, 0.75),
+        (None, None),
+    ]
+
+
+@pytest.mark.parametrize("dtype", ["int", "bigint", "double", "string", "decimal(10,2)"])
+def test_every_column_type_counts_the_same(spark, dtype):
+    df = spark.createDataFrame([(2,), (0,), (5,), (None,)], "n int").select(
+        F.lit(1).alias("order_dow"),
+        F.lit(2).alias("order_hour_of_day"),
+        F.lit("c").alias("category"),
+        F.col("n").cast(dtype).alias("items"),
+    )
+    assert total_items(df).collect()[0]["items"] == 7
+
+
+def test_fractions_add_up_before_the_cut(spark):
+    df = spark.createDataFrame([(1, 2, "c", "1.1")] * 10, "order_dow int, order_hour_of_day int, category string, items string")
+    assert total_items(df).collect()[0]["items"] == 11
+
+
+def test_parse_int_of_keys(spark):
+    df = spark.createDataFrame([("0",), ("08",), ("x",), ("7",), (None,), ("1.5",)], "k string")
+    got = [r[0] for r in df.select(parse_int(F.col("k"), T.StringType())).collect()]
+    assert got == [0, 8, None, 7, None, None]
+
+
+def test_quantity_of_numbers(spark):
+    df = spark.createDataFrame([(1.5,)], "q double")
+    assert df.select(quantity(F.col("q"), T.DoubleType())).first()[0] == 1.5
+    assert df.filter(is_positive(whole_part(F.col("q"), T.DoubleType()))).count() == 1
