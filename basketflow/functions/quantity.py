@@ -10,52 +10,72 @@ from pyspark.sql import Column, functions as F, types as T
 
 # Plain decimal notation, and the first integer DOUBLE cannot tell apart.
 NUMBER_PATTERN = r"^\s*[+-]?[0-9]+([.][0-9]*)?\s*$"
+INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 QUANTITY_LIMIT = 2**53
 
-FRACTION = T.DecimalType(38, 18)
+# How an empty cell is usually written where it is not left empty.
+ZEROS = ("0", "0.0")
 
+FRACTION = T.DecimalType(38, 18)
 
-def parse_int(column: Column, dtype: T.DataType) -> Column:
-    """INT value of a column, NULL where its text is not an integer."""
-    if isinstance(dtype, T.IntegerType):
-        return column
-    return column.try_cast("int")
 
+def is_int(column: Column, dtype: T.DataType) -> Column:
+    """Whether the text of a column has the form of an integer.
 
-def whole_part(column: Column, dtype: T.DataType) -> Column:
-    """Whole part of a quantity as BIGINT, NULL where the cell holds no number."""
-    if isinstance(dtype, T.IntegralType):
-        return column.cast("bigint")
+    The pattern comes before any cast of text that may be anything: a failing
+    ``try_cast`` raises and catches an exception inside the task, a hundred times the
+    price of the pattern.
+    """
     if isinstance(dtype, T.StringType):
-        # The regular expression runs only on cells that are not plain integers.
-        return F.coalesce(column.try_cast("bigint"), F.floor(_decimal(column, dtype)).try_cast("bigint"))
-    return F.floor(column).try_cast("bigint")
+        return column.rlike(INTEGER_PATTERN)
+    return column.isNotNull()
 
 
-def fraction_part(column: Column, dtype: T.DataType) -> Column:
-    """What ``whole_part`` leaves over, NULL where that is nothing."""
-    if isinstance(dtype, T.IntegralType):
-        return F.lit(None).cast(FRACTION)
+def parse_int(column: Column, dtype: T.DataType, to: str = "int") -> Column:
+    """Integer value of a column, NULL where its text is no integer or out of range."""
     if isinstance(dtype, T.StringType):
-        exact = _decimal(column, dtype)
-        return F.when(column.try_cast("bigint").isNull(), (exact - F.floor(exact)).cast(FRACTION))
-    exact = _decimal(column, dtype)
-    return F.when(column != F.floor(column), (exact - F.floor(exact)).cast(FRACTION))
+        return F.when(is_int(column, dtype), column.try_cast(to))
+    return column.try_cast(to)
 
 
 def quantity(column: Column, dtype: T.DataType) -> Column:
     """The quantity as DOUBLE, NULL where the cell holds no number."""
     if isinstance(dtype, T.StringType):
-        return F.coalesce(
-            column.try_cast("bigint").cast("double"),
-            F.when(column.rlike(NUMBER_PATTERN), column.try_cast("double")),
-        )
+        return F.when(column.rlike(NUMBER_PATTERN), column.try_cast("double"))
     return column.cast("double")
 
 
-def is_positive(whole: Column) -> Column:
-    """The positive-quantity rule, on the whole part: 1 <= quantity < 2**53."""
-    return (whole >= 1) & (whole < F.lit(QUANTITY_LIMIT))
+def is_positive(column: Column, dtype: T.DataType) -> Column:
+    """The positive-quantity rule: 1 <= quantity < 2**53.
+
+    Most cells of a wide table are empty or zero; they are told apart by a comparison of
+    bytes and never parsed.
+    """
+    if isinstance(dtype, T.IntegralType):
+        return (column >= 1) & (column < F.lit(QUANTITY_LIMIT))
+    number = column.try_cast("double")
+    in_range = (number >= 1) & (number < F.lit(float(QUANTITY_LIMIT)))
+    if isinstance(dtype, T.StringType):
+        in_range = F.when(column.rlike(NUMBER_PATTERN), in_range).otherwise(False)
+        for zero in reversed(ZEROS):
+            in_range = (column != zero) & in_range
+    return in_range
+
+
+def whole_part(column: Column, dtype: T.DataType) -> Column:
+    """Whole part, as BIGINT, of a quantity that passed ``is_positive``."""
+    if isinstance(dtype, T.IntegralType):
+        return column.cast("bigint")
+    return F.floor(column.try_cast("double"))
+
+
+def fraction_part(column: Column, dtype: T.DataType) -> Column:
+    """What ``whole_part`` leaves over, NULL where that is nothing."""
+    if isinstance(dtype, T.IntegralType):
+        return F.lit(None).cast(FRACTION)
+    number = column.try_cast("double")
+    exact = column.try_cast(FRACTION)
+    return F.when(number != F.floor(number), (exact - F.floor(exact)).cast(FRACTION))
 
 
 def is_blank(column: Column, dtype: T.DataType) -> Column:
@@ -63,12 +83,3 @@ def is_blank(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return column.isNull() | (F.trim(column) == "")
     return column.isNull()
-
-
-def _decimal(column: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StringType):
-        return F.when(
-            column.try_cast("bigint").isNull() & column.rlike(NUMBER_PATTERN),
-            column.try_cast(FRACTION),
-        )
-    return column.try_cast(FRACTION)

@@ -24,7 +24,7 @@ PARTIAL_SCHEMA = T.StructType(
 def positive_items(df: DataFrame, items: str = "items") -> DataFrame:
     """Rows with a quantity of at least one; adds it as DOUBLE ``quantity``."""
     dtype = df.schema[items].dataType
-    return df.filter(is_positive(whole_part(F.col(items), dtype))).withColumn(
+    return df.filter(is_positive(F.col(items), dtype)).withColumn(
         "quantity", quantity(F.col(items), dtype)
     )
 
@@ -38,7 +38,7 @@ def partial_totals(facts: DataFrame, keys: Sequence[str] = KEYS, items: str = "i
     else:
         fraction = F.sum(fraction_part(amount, dtype))
     return (
-        facts.filter(is_positive(whole_part(amount, dtype)))
+        facts.filter(is_positive(amount, dtype))
         .groupBy(*keys)
         .agg(
             F.sum(whole_part(amount, dtype)).alias("whole"),
@@ -90,10 +90,9 @@ def basket_totals_by_column(baskets: DataFrame, id_columns: Sequence[str]) -> Da
     def cell_sums(name):
         dtype = baskets.schema[name].dataType
         amount = F.col(quoted(name))
-        whole = whole_part(amount, dtype)
-        kept = is_positive(whole)
+        kept = is_positive(amount, dtype)
         return F.struct(
-            F.sum(F.when(kept, whole)).alias("whole"),
+            F.sum(F.when(kept, whole_part(amount, dtype))).alias("whole"),
             F.sum(F.when(kept, fraction_part(amount, dtype))).alias("fraction"),
         ).alias(name)
 

@@ -4,6 +4,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.quantity import parse_int
+
 NUMERIC_FEATURES = ("order_dow", "order_hour_of_day")
 
 
@@ -11,9 +13,8 @@ def cast_features(df: DataFrame) -> DataFrame:
     """Weekday and hour as INT, items as BIGINT; what is no integer becomes NULL."""
     return df.withColumns(
         {
-            "order_dow": F.col("order_dow").try_cast("int"),
-            "order_hour_of_day": F.col("order_hour_of_day").try_cast("int"),
-            "items": F.col("items").try_cast("bigint"),
+            name: parse_int(F.col(name), df.schema[name].dataType, to)
+            for name, to in (("order_dow", "int"), ("order_hour_of_day", "int"), ("items", "bigint"))
         }
     )
 

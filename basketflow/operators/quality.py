@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.quantity import NUMBER_PATTERN, QUANTITY_LIMIT, is_blank, parse_int, whole_part
+from ..functions.quantity import QUANTITY_LIMIT, is_blank, parse_int, quantity
 from .reshape import WEEKDAYS, melt_baskets
 
 
@@ -22,17 +22,11 @@ def _key_reason(df: DataFrame, dow: str, hour: str) -> Column:
 
 
 def _items_reason(df: DataFrame, items: str) -> Column:
+    """NULL for a number in range; otherwise what is wrong with a cell that is not empty."""
     dtype = df.schema[items].dataType
-    whole = whole_part(F.col(items), dtype)
-    if dtype.typeName() == "string":
-        numeric = F.col(items).rlike(NUMBER_PATTERN)
-        not_a_number = whole.isNull() & ~numeric
-        too_large = (whole >= F.lit(QUANTITY_LIMIT)) | (whole.isNull() & numeric)
-    else:
-        not_a_number = F.lit(False)
-        too_large = (whole >= F.lit(QUANTITY_LIMIT)) | whole.isNull()
-    return F.when(~is_blank(F.col(items), dtype) & not_a_number, "items_not_numeric").when(
-        ~is_blank(F.col(items), dtype) & too_large, "items_too_large"
+    number = quantity(F.col(items), dtype)
+    return F.when(number.isNull(), "items_not_numeric").when(
+        number >= F.lit(float(QUANTITY_LIMIT)), "items_too_large"
     )
 
 
@@ -46,11 +40,9 @@ def quarantined_facts(
 
     Zero and negative quantities are not errors and are not listed.
     """
-    blank = is_blank(F.col(items), facts.schema[items].dataType)
-    return facts.withColumn(
-        "reason",
-        F.when(~blank, F.coalesce(_key_reason(facts, dow, hour), _items_reason(facts, items))),
-    ).filter(F.col("reason").isNotNull())
+    filled = facts.filter(~is_blank(F.col(items), facts.schema[items].dataType))
+    reason = F.coalesce(_key_reason(filled, dow, hour), _items_reason(filled, items))
+    return filled.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def quarantined_cells(baskets: DataFrame, id_columns: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..errors import MalformedBaskets
-from ..functions.quantity import parse_int
+from ..functions.quantity import is_int
 
 WEEKDAYS = range(7)
 
@@ -45,19 +45,14 @@ def melt_baskets(
     return exploded.select(*kept, F.get(names, F.col("_position")).alias("category"), "items")
 
 
-def typed_keys(
-    df: DataFrame, dow: str = "order_dow", hour: str = "order_hour_of_day"
-) -> DataFrame:
-    """Weekday and hour as INT; text that is no integer becomes NULL."""
-    return df.withColumns(
-        {c: parse_int(F.col(quoted(c)), df.schema[c].dataType) for c in (dow, hour)}
-    )
-
-
 def valid_keys(
     df: DataFrame, dow: str = "order_dow", hour: str = "order_hour_of_day"
 ) -> DataFrame:
     """Rows whose weekday is 0..6 and whose hour is an integer, keys typed."""
-    return typed_keys(df, dow, hour).filter(
-        F.col(dow).between(WEEKDAYS[0], WEEKDAYS[-1]) & F.col(hour).isNotNull()
+    day, time = F.col(quoted(dow)), F.col(quoted(hour))
+    day_type, time_type = df.schema[dow].dataType, df.schema[hour].dataType
+    in_week = day.try_cast("int").between(WEEKDAYS[0], WEEKDAYS[-1])
+    kept = df.filter(
+        F.when(is_int(day, day_type), in_week) & F.when(is_int(time, time_type), time.try_cast("int").isNotNull())
     )
+    return kept.withColumns({dow: day.try_cast("int"), hour: time.try_cast("int")})
