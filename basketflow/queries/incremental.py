@@ -47,13 +47,8 @@ def agg_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival folders by date: weekdays return week after week, their sums merge."""
     base = working_dir(spark, "agg_dates")
-    dates = event_baskets(spark, sf_dir).join(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select(
-            "event_id", F.date_format("ts", "yyyyMMdd").alias("day")
-        ),
-        "event_id",
-    )
-    dates.select(*COLUMNS, "day").write.partitionBy("day").option("header", True).csv(f"{base}/landing")
+    dated = event_baskets(spark, sf_dir, F.date_format("ts", "yyyyMMdd").alias("day"))
+    dated.write.partitionBy("day").option("header", True).csv(f"{base}/landing")
     job = IncrementalAggregation(spark, f"{base}/landing", f"{base}/state", EVENT_IDS, COLUMNS)
     job.run_available()
     return job.totals()

@@ -1,6 +1,6 @@
 """Basket tables derived from the given tables, and the same facts in SQL."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.aggregate import basket_totals
 
@@ -45,9 +45,12 @@ def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_baskets(
-    spark: SparkSession, sf_dir: str, events: DataFrame | None = None
+    spark: SparkSession, sf_dir: str, *extra: Column, events: DataFrame | None = None
 ) -> DataFrame:
-    """One row per event, one column per kind of event; exactly one of them is filled."""
+    """One row per event, one column per kind of event; exactly one of them is filled.
+
+    ``extra`` columns of the events table are added at the end.
+    """
     events = table(spark, sf_dir, "events") if events is None else events
     amount = F.col("value").cast("int")
     return events.select(
@@ -56,6 +59,7 @@ def event_baskets(
         (F.dayofweek("ts") - 1).alias("order_dow"),
         F.hour("ts").alias("order_hour_of_day"),
         *[F.when(F.col("event_type") == kind, amount).alias(kind) for kind in EVENT_TYPES],
+        *extra,
     )
 
 

@@ -7,11 +7,12 @@ from ..functions.keys import KEYS
 from ..operators import metrics
 from ..operators.features import category_encoder, category_indexer, feature_pipeline, unseen_categories
 from ..operators.sampling import hash_split, label_split
-from ..plans.scoring import predict, score
+from ..plans.scoring import predict, prediction_cache, score, score_and_cache
 from ..plans.training import train_model
 from ..session import working_dir
 from ..sources.models import ModelStore
-from ..streaming.scoring import read_fact_stream, score_stream
+from ..sources.tables import BatchTable
+from ..streaming.scoring import cache_stream, read_fact_stream, score_stream
 from .inputs import ORDER_TOTALS_SQL, event_totals, event_totals_sql, order_totals, split_sql
 
 
@@ -187,6 +188,40 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rf_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored and cached in one job: the cache holds what the predictions table holds."""
+    store = trained(spark, sf_dir, "rf_cache")
+    cache = prediction_cache(spark, f"{store.root}-cache")
+    stored = score_and_cache(spark, store, f"{store.root}-predictions", cache)
+    return _agreement(cache, stored)
+
+
+def stream_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache kept by a stream of rows, against the batch predictions."""
+    store = trained(spark, sf_dir, "stream_cache")
+    base = f"{store.root}-stream"
+    store.split(1, "test").write.parquet(f"{base}/rows")
+    cache = prediction_cache(spark, f"{base}/cache")
+    writer = cache_stream(read_fact_stream(spark, f"{base}/rows"), store, cache, f"{base}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return _agreement(cache, predict(store.load(), store.split(1, "test")))
+
+
+def _agreement(cache: BatchTable, predictions: DataFrame) -> DataFrame:
+    expected = predictions.select(*KEYS, F.col("prediction").alias("expected"))
+    return (
+        cache.read()
+        .join(expected, [*KEYS], "full")
+        .select("key", "model_version", F.expr("prediction <=> expected").alias("agrees"))
+    )
+
+
+RF_CACHE_SQL = f"""
+    SELECT concat_ws(':', order_dow, order_hour_of_day, category) AS key,
+           1 AS model_version, TRUE AS agrees
+    FROM ({TEST_SQL})
+"""
+
 QUERIES = {
     "split_train": (split_train, TRAIN_SQL),
     "split_test": (split_test, TEST_SQL),
@@ -200,5 +235,7 @@ QUERIES = {
     "rf_train_metrics": (rf_train_metrics, None),
     "rf_predict": (rf_predict, None),
     "rf_predict_range": (rf_predict_range, f"SELECT *, TRUE AS within_range FROM ({TEST_SQL})"),
+    "rf_cache": (rf_cache, RF_CACHE_SQL),
+    "stream_cache": (stream_cache, RF_CACHE_SQL),
     "stream_score": (stream_score, f"SELECT *, TRUE AS as_batch FROM ({TEST_SQL})"),
 }

@@ -25,7 +25,7 @@ FIRST_HALF_END = "2024-01-16"
 
 def _first_half_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_half = table(spark, sf_dir, "events").filter(F.col("ts") < FIRST_HALF_END)
-    return basket_totals(event_baskets(spark, sf_dir, first_half), EVENT_IDS)
+    return basket_totals(event_baskets(spark, sf_dir, events=first_half), EVENT_IDS)
 
 
 def _filled_cache(spark: SparkSession, sf_dir: str, label: str) -> tuple[BatchTable, DataFrame]:

@@ -30,12 +30,19 @@ from ..sources.baskets import (
 )
 from ..sources.tables import BatchTable, literal_rows
 
+# By default the file source ignores files a week older than the newest one, which is
+# just what a day that arrives late may be.
+MAX_FILE_AGE = "36500d"
+
 
 class IncrementalAggregation:
     """Partial sums per micro-batch, written under the batch id, merged on read.
 
     ``columns`` is the header of the basket files. Without it the files may differ in
     their categories and column order, and each file's own header counts.
+
+    Every ``compact_every`` batches the partial sums are folded into one table, so that
+    ``totals`` does not have to open ever more folders.
     """
 
     def __init__(
@@ -46,6 +53,7 @@ class IncrementalAggregation:
         id_columns: Sequence[str],
         columns: Sequence[str] | None = None,
         max_files_per_trigger: int | None = None,
+        compact_every: int = 100,
     ):
         self.spark = spark
         self.landing = landing
@@ -53,6 +61,7 @@ class IncrementalAggregation:
         self.id_columns = list(id_columns)
         self.columns = list(columns) if columns else None
         self.max_files_per_trigger = max_files_per_trigger
+        self.compact_every = compact_every
         self.log_path = f"{state}/run_log"
 
     # --- tables of the current generation -------------------------------------------
@@ -126,7 +135,11 @@ class IncrementalAggregation:
             # With no sums at all Spark drops the plan, and with it what it observed.
             days = sorted(r.day for r in batch.select("day").distinct().collect())
         done = literal_rows(self.spark, [(d, batch_id) for d in days], MANIFEST_SCHEMA)
-        self._manifest(generation).write(batch_id, done)
+        manifest = self._manifest(generation)
+        manifest.write(batch_id, done)
+        if (batch_id + 1) % self.compact_every == 0:
+            partials.compact()
+            manifest.compact()
         append_run(
             self.spark,
             self.log_path,
@@ -151,8 +164,10 @@ class IncrementalAggregation:
     def _stream(self) -> DataFrame:
         if not files.exists(self.spark, self.landing):
             raise EmptyInput(self.landing)
-        reader = self.spark.readStream.option("recursiveFileLookup", True).option(
-            "pathGlobFilter", "*.csv"
+        reader = (
+            self.spark.readStream.option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv")
+            .option("maxFileAge", MAX_FILE_AGE)
         )
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)

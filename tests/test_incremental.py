@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -142,3 +145,27 @@ def test_highwater_leaves_late_days_out(spark, folder):
     assert rows(job.skipped_days()) == [(2,)]
     assert [r[0] for r in rows(job.totals())] == [0, 3, 5]
     assert sorted(r.status for r in job.run_log().collect()) == ["done", "done", "idle"]
+
+
+def test_late_file_with_an_old_timestamp(spark, folder):
+    root = folder(landing__3__a=HEADER + "1,1,3,5,2,\n")
+    job = job_on(spark, root)
+    job.run_available()
+    folder(landing__2__a=HEADER + "1,1,2,5,2,\n")
+    old = time.time() - 30 * 86400
+    os.utime(f"{root}/landing/2/a.csv", (old, old))
+    assert job.run_available() == [1]
+    assert [r[0] for r in rows(job.totals())] == [2, 3]
+
+
+def test_compaction_on_the_way(spark, folder):
+    root = folder()
+    job = job_on(spark, root, compact_every=2)
+    for day in range(5):
+        folder(**{f"landing__{day}__a": HEADER + f"1,1,0,5,{day + 1},\n"})
+        job.run_available()
+    assert job.partials.base() == 3
+    job.partials.vacuum()
+    assert job.partials.batches() == [4]
+    assert rows(job.totals()) == [(0, 5, "fruit", 15)]
+    assert rows(job.processed_days()) == [(d, d) for d in range(5)]
