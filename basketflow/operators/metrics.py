@@ -13,14 +13,14 @@ def round_prediction(df: DataFrame, column: str = "prediction") -> DataFrame:
 
 
 def squared_error(df: DataFrame, label: str = "items", prediction: str = "prediction") -> DataFrame:
-    return df.withColumn("sqErr", F.pow(F.col(label) - F.col(prediction), F.lit(2)))
+    return df.withColumn("squared_error", F.pow(F.col(label) - F.col(prediction), F.lit(2)))
 
 
 def mean_squared_error(
     df: DataFrame, label: str = "items", prediction: str = "prediction"
 ) -> DataFrame:
     """One row, one column ``mse``."""
-    return squared_error(df, label, prediction).agg(F.avg("sqErr").alias("mse"))
+    return squared_error(df, label, prediction).agg(F.avg("squared_error").alias("mse"))
 
 
 def preview(df: DataFrame, columns: Sequence[str], order: Sequence[str] = KEYS, rows: int = 20) -> DataFrame:

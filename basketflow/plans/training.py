@@ -76,7 +76,7 @@ def train_model(
     store.save_model(version, model)
     quality = (
         squared_error(model.transform(test))
-        .agg(F.count(F.lit(1)).alias("n_test"), F.avg("sqErr").alias("mse"))
+        .agg(F.count(F.lit(1)).alias("n_test"), F.avg("squared_error").alias("mse"))
         .first()
     )
     row = (version, train.count(), quality["n_test"], unseen_categories(test, train).count(), quality["mse"])

@@ -1,6 +1,6 @@
 """Run registered queries next to their SQL and compare: python tests/check_oracles.py [name...]
 
-Environment: SF_DIR (default /root/testdata/sf0.01).
+Environment: SF_DIR (default /root/testdata/sf0.01), TZ_CHECK (another session time zone).
 """
 
 import os
@@ -16,6 +16,15 @@ from __spark_entry__ import oracle_sql, queries
 from basketflow.session import build_session
 
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def oracle_connection(sf_dir):
     connection = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
@@ -42,6 +51,10 @@ def compare(spark, connection, name, sf_dir):
     names = [d[0] for d in cursor.description]
     if sorted(names) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    other = [f"{c}: {t} / {types[c]}" for c, t in df.dtypes if TYPES.get(t) != types[c]]
+    if other:
+        return False, f"types differ: {other}"
     got, want = normalised(df.columns, got_rows), normalised(names, cursor.fetchall())
     if got != want:
         extra, missing = sorted(set(got) - set(want))[:3], sorted(set(want) - set(got))[:3]
@@ -54,6 +67,8 @@ def main():
     spark = build_session(
         "oracles", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )
+    if "TZ_CHECK" in os.environ:
+        spark.conf.set("spark.sql.session.timeZone", os.environ["TZ_CHECK"])
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(sf_dir)
     failed = 0
