@@ -68,9 +68,15 @@ def total_items(facts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return finish_totals(partial_totals(facts, keys), keys)
 
 
-def basket_partials(baskets: DataFrame, id_columns: Sequence[str]) -> DataFrame:
-    """Wide baskets to partial sums: type the keys, melt, keep positives, sum."""
-    return partial_totals(melt_baskets(valid_keys(baskets), id_columns))
+def basket_partials(
+    baskets: DataFrame, id_columns: Sequence[str], keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """Wide baskets to partial sums: type the keys, melt, keep positives, sum.
+
+    ``keys`` may name further id columns to sum by.
+    """
+    kept = [k for k in keys if k != "category"]
+    return partial_totals(melt_baskets(valid_keys(baskets), id_columns, kept), keys)
 
 
 def basket_totals(baskets: DataFrame, id_columns: Sequence[str]) -> DataFrame:

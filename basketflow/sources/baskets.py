@@ -1,5 +1,6 @@
 """Scans of wide basket CSV files, one folder per arrival day."""
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -72,12 +73,9 @@ def days_glob(root: str, days: Iterable[int]) -> str:
 
 
 def available_days(spark: SparkSession, root: str) -> list[int]:
-    """Days that have a folder with at least one CSV file; one listing per day folder."""
-    candidates = {
-        *files.numbered_dirs(spark, root),
-        *files.numbered_dirs(spark, root, prefix="day="),
-    }
-    return sorted(d for d in candidates if files.exists(spark, days_glob(root, [d])))
+    """Days that have a folder with at least one CSV file."""
+    found = (re.search(DAY_OF_PATH, path) for path in files.glob(spark, f"{root}/*/*.csv"))
+    return sorted({int(match.group(1)) for match in found if match})
 
 
 def read_days(
@@ -122,14 +120,16 @@ def melt_drifting_files(
 
 
 def melt_drifting_lines(
-    lines: DataFrame, id_columns: Sequence[str] = ("order_dow", "order_hour_of_day")
+    lines: DataFrame,
+    id_columns: Sequence[str] = ("order_dow", "order_hour_of_day"),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Long facts from CSV lines (``file``, ``value``) whose files differ in their headers.
 
     Columns may come in any order, and any column but ``id_columns`` is a category. A
     file's header is the line that names all id columns. Headers are written to a small
     table, one row per file, and joined to the lines by file: broadcast while that table
-    is small, sort-merge beyond.
+    is small, sort-merge beyond. ``keep`` names further columns of ``lines`` to retain.
     """
     spark = lines.sparkSession
     is_header = F.lit(True)
@@ -154,7 +154,7 @@ def melt_drifting_lines(
         for name in id_columns
     ]
     return (
-        joined.select(*ids, F.explode(F.arrays_zip("names", "cells")).alias("cell"))
-        .select(*id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items"))
+        joined.select(*keep, *ids, F.explode(F.arrays_zip("names", "cells")).alias("cell"))
+        .select(*keep, *id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items"))
         .filter(F.col("category").isNotNull() & ~F.col("category").isin(*id_columns))
     )

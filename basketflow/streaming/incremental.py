@@ -6,10 +6,11 @@ file for a day already processed, or a second week are all just new files.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..errors import EmptyInput
+from ..functions.keys import KEYS
 from ..operators.aggregate import (
     PARTIAL_SCHEMA,
     basket_partials,
@@ -18,7 +19,7 @@ from ..operators.aggregate import (
     partial_totals,
 )
 from ..operators.reshape import valid_keys
-from ..plans.highwater import MANIFEST_SCHEMA, day_table, pending_days
+from ..plans.highwater import DAY_SCHEMA, MANIFEST_SCHEMA, day_table, pending_days
 from ..sinks.runlog import append_run, read_run_log
 from ..sources import files
 from ..sources.baskets import (
@@ -34,6 +35,15 @@ from ..sources.tables import BatchTable, literal_rows
 # just what a day that arrives late may be.
 MAX_FILE_AGE = "36500d"
 
+# Partial sums are kept per arrival day.
+DAILY_KEYS = ("day", *KEYS)
+DAILY_SCHEMA = T.StructType([*DAY_SCHEMA.fields, *PARTIAL_SCHEMA.fields])
+
+
+def first_batches(manifest: DataFrame) -> DataFrame:
+    """One row per day: the first batch it was part of."""
+    return manifest.groupBy("day").agg(F.min("batch_id").alias("batch_id"))
+
 
 class IncrementalAggregation:
     """Partial sums per micro-batch, written under the batch id, merged on read.
@@ -80,11 +90,11 @@ class IncrementalAggregation:
 
     def totals(self) -> DataFrame:
         """The aggregate table over everything processed so far."""
-        return finish_totals(self.partials.read())
+        return finish_totals(merge_partials(self.partials.rows()))
 
     def processed_days(self) -> DataFrame:
         """One row per processed day with the first batch it was part of."""
-        return self.manifest.read().groupBy("day").agg(F.min("batch_id").alias("batch_id"))
+        return first_batches(self.manifest.rows())
 
     def pending_days(self) -> DataFrame:
         available = day_table(self.spark, available_days(self.spark, self.landing))
@@ -97,6 +107,7 @@ class IncrementalAggregation:
 
     def run_available(self) -> list[int]:
         """Process what has arrived, then stop; returns the ids of the new batches."""
+        present = set(available_days(self.spark, self.landing))
         before = set(self.manifest.batches())
         try:
             self._writer().trigger(availableNow=True).start().awaitTermination()
@@ -106,6 +117,7 @@ class IncrementalAggregation:
         new = sorted(set(self.manifest.batches()) - before)
         if not new:
             append_run(self.spark, self.log_path, "incremental", "idle")
+        self._record_quiet_days(present)
         return new
 
     def run_every(self, interval: str = "4 seconds") -> StreamingQuery:
@@ -119,24 +131,16 @@ class IncrementalAggregation:
     def apply_batch(self, batch: DataFrame, batch_id: int, generation: int | None = None) -> None:
         """Write one micro-batch; writing it again replaces what it wrote before."""
         generation = self.generation() if generation is None else generation
-        partials = self._partials(generation)
-        seen = Observation()
-        observed = batch.observe(seen, F.collect_set("day").alias("days"))
+        partials, manifest = self._partials(generation), self._manifest(generation)
         if self.columns:
-            sums = basket_partials(observed.drop("day"), self.id_columns)
+            sums = basket_partials(batch, [*self.id_columns, "day"], DAILY_KEYS)
         else:
-            facts = melt_drifting_lines(observed.drop("day"), self.id_columns)
-            sums = partial_totals(valid_keys(facts))
+            facts = melt_drifting_lines(batch, self.id_columns, keep=("day",))
+            sums = partial_totals(valid_keys(facts), DAILY_KEYS)
         partials.write(batch_id, sums)
-        written = partials.read_batch(batch_id).count()
-        if written:
-            days = sorted(seen.get["days"])
-        else:
-            # With no sums at all Spark drops the plan, and with it what it observed.
-            days = sorted(r.day for r in batch.select("day").distinct().collect())
-        done = literal_rows(self.spark, [(d, batch_id) for d in days], MANIFEST_SCHEMA)
-        manifest = self._manifest(generation)
-        manifest.write(batch_id, done)
+        written = partials.read_batch(batch_id).agg(F.collect_set("day"), F.count(F.lit(1)))
+        days, rows = written.first()
+        self._write_days(manifest, batch_id, set(days))
         if (batch_id + 1) % self.compact_every == 0:
             partials.compact()
             manifest.compact()
@@ -146,20 +150,38 @@ class IncrementalAggregation:
             "incremental",
             "done",
             batch_id,
-            days,
-            written,
+            sorted(days),
+            rows,
             partials.path,
         )
 
     # --- parts ----------------------------------------------------------------------
 
+    def _record_quiet_days(self, present: set[int]) -> None:
+        """Note the days that had files when a finished run began, and left no sums.
+
+        Their files hold no basket with a positive quantity; they count as processed.
+        """
+        manifest = self.manifest
+        last = max(manifest.batches(), default=None)
+        quiet = present - {r.day for r in manifest.rows().collect()}
+        if last is not None and quiet:
+            days = quiet | {r.day for r in manifest.read_batch(last).collect()}
+            self._write_days(manifest, last, days)
+
+    def _write_days(self, manifest: BatchTable, batch_id: int, days: set[int]) -> None:
+        done = [(day, batch_id) for day in sorted(days)]
+        manifest.write(batch_id, literal_rows(self.spark, done, MANIFEST_SCHEMA))
+
     def _partials(self, generation: int) -> BatchTable:
         path = f"{self.state}/gen={generation}/partials"
-        return BatchTable(self.spark, path, PARTIAL_SCHEMA, merge_partials)
+        return BatchTable(
+            self.spark, path, DAILY_SCHEMA, lambda rows: merge_partials(rows, DAILY_KEYS)
+        )
 
     def _manifest(self, generation: int) -> BatchTable:
         path = f"{self.state}/gen={generation}/manifest"
-        return BatchTable(self.spark, path, MANIFEST_SCHEMA, lambda rows: rows)
+        return BatchTable(self.spark, path, MANIFEST_SCHEMA, first_batches)
 
     def _stream(self) -> DataFrame:
         if not files.exists(self.spark, self.landing):

@@ -63,7 +63,8 @@ def test_day_without_positive_items_is_processed(spark, folder):
     job = job_on(spark, root)
     assert job.run_available() == [0]
     assert job.totals().count() == 0
-    assert rows(job.processed_days()) == [(0, 0)]
+    assert rows(job.processed_days()) == [(0, 0), (1, 0)]
+    assert job.pending_days().count() == 0
     assert job.run_available() == []
 
 
