@@ -5,7 +5,7 @@
         .option("client", "package.module:factory").save()
 
 ``factory(options)`` is called once per task and returns a client with ``set_many(dict)``
-and ``close()``. Rows go out in batches, not one call per key. Setting a key is
+and ``close()``. Rows arrive as Arrow batches and go out in batches, not one call per key. Setting a key is
 idempotent, so a retried task does no harm; give every key once (see ``latest_per_key``)
 and no two tasks write the same key.
 """
@@ -13,7 +13,7 @@ and no two tasks write the same key.
 import importlib
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 BATCH_SIZE = 1000
 
@@ -26,29 +26,26 @@ class KeyValueSink(DataSource):
     def schema(self) -> str:
         return "key string, value string"
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return KeyValueWriter(dict(self.options))
 
 
-class KeyValueWriter(DataSourceWriter):
+class KeyValueWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         if "client" not in options:
             raise ValueError("option 'client' must name a factory as package.module:factory")
         self.options = options
 
-    def write(self, rows) -> WriterCommitMessage:
+    def write(self, batches) -> WriterCommitMessage:
         module, factory = self.options["client"].split(":", 1)
         client = getattr(importlib.import_module(module), factory)(self.options)
         size = int(self.options.get("batchsize", BATCH_SIZE))
-        batch = {}
         try:
-            for row in rows:
-                batch[row["key"]] = row["value"]
-                if len(batch) >= size:
-                    client.set_many(batch)
-                    batch = {}
-            if batch:
-                client.set_many(batch)
+            for batch in batches:
+                for start in range(0, batch.num_rows, size):
+                    part = batch.slice(start, size)
+                    keys, values = (part.column(c).to_pylist() for c in ("key", "value"))
+                    client.set_many(dict(zip(keys, values, strict=True)))
         finally:
             client.close()
         return WriterCommitMessage()

@@ -1,6 +1,5 @@
 """Scans of wide basket CSV files, one folder per arrival day."""
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -72,10 +71,16 @@ def days_glob(root: str, days: Iterable[int]) -> str:
     return f"{root}/{{{names}}}/*.csv"
 
 
-def available_days(spark: SparkSession, root: str) -> list[int]:
-    """Days that have a folder with at least one CSV file."""
-    found = (re.search(DAY_OF_PATH, path) for path in files.glob(spark, f"{root}/*/*.csv"))
-    return sorted({int(match.group(1)) for match in found if match})
+def day_folders(spark: SparkSession, root: str) -> list[int]:
+    """Days that have a folder, with or without files."""
+    plain, named = (files.numbered_dirs(spark, root, prefix=p) for p in ("", "day="))
+    return sorted({*plain, *named})
+
+
+def available_days(spark: SparkSession, root: str, among: Iterable[int] | None = None) -> list[int]:
+    """Days (``among`` the given ones) whose folder holds at least one CSV file."""
+    days = day_folders(spark, root) if among is None else among
+    return sorted(d for d in days if files.exists(spark, days_glob(root, [d])))
 
 
 def read_days(

@@ -10,13 +10,18 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob pattern, sorted; empty when none does."""
+    """Paths that match a glob pattern, sorted; empty when none does.
+
+    Every path is a call into the JVM, so this is for folders, not for data files.
+    """
     fs, path = _file_system(spark, pattern)
     return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
 
 
 def exists(spark: SparkSession, pattern: str) -> bool:
-    return bool(glob(spark, pattern))
+    """Whether anything matches a glob pattern."""
+    fs, path = _file_system(spark, pattern)
+    return len(fs.globStatus(path) or []) > 0
 
 
 def make_dirs(spark: SparkSession, path: str) -> None:

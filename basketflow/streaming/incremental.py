@@ -25,6 +25,7 @@ from ..sources import files
 from ..sources.baskets import (
     available_days,
     csv_options,
+    day_folders,
     day_of_file,
     melt_drifting_lines,
     text_schema,
@@ -107,7 +108,7 @@ class IncrementalAggregation:
 
     def run_available(self) -> list[int]:
         """Process what has arrived, then stop; returns the ids of the new batches."""
-        present = set(available_days(self.spark, self.landing))
+        folders = set(day_folders(self.spark, self.landing))
         before = set(self.manifest.batches())
         try:
             self._writer().trigger(availableNow=True).start().awaitTermination()
@@ -117,7 +118,7 @@ class IncrementalAggregation:
         new = sorted(set(self.manifest.batches()) - before)
         if not new:
             append_run(self.spark, self.log_path, "incremental", "idle")
-        self._record_quiet_days(present)
+        self._record_quiet_days(folders)
         return new
 
     def run_every(self, interval: str = "4 seconds") -> StreamingQuery:
@@ -157,14 +158,15 @@ class IncrementalAggregation:
 
     # --- parts ----------------------------------------------------------------------
 
-    def _record_quiet_days(self, present: set[int]) -> None:
-        """Note the days that had files when a finished run began, and left no sums.
+    def _record_quiet_days(self, folders: set[int]) -> None:
+        """Note the days that had a folder when a finished run began, and left no sums.
 
         Their files hold no basket with a positive quantity; they count as processed.
         """
         manifest = self.manifest
         last = max(manifest.batches(), default=None)
-        quiet = present - {r.day for r in manifest.rows().collect()}
+        unknown = folders - {r.day for r in manifest.rows().collect()}
+        quiet = set(available_days(self.spark, self.landing, among=unknown))
         if last is not None and quiet:
             days = quiet | {r.day for r in manifest.read_batch(last).collect()}
             self._write_days(manifest, last, days)

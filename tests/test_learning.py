@@ -170,3 +170,24 @@ def test_cache_stream_uses_the_current_model(spark, store, tmp_path):
     writer.trigger(availableNow=True).start().awaitTermination()
     want = predict(store.load(), store.split(1, "test"))
     assert rows(cache.read().select(*KEYS, "prediction")) == rows(want.drop("items"))
+
+
+def test_serving_a_hot_key_without_broadcast(spark):
+    schema = "order_dow int, order_hour_of_day int, category string, prediction int"
+    cache = spark.createDataFrame([(d, h, "a", d * h) for d in range(7) for h in range(24)], schema)
+    hot = F.col("id") % 3 == 0
+    requests = spark.range(3000).select(
+        F.col("id").alias("request_id"),
+        F.when(hot, 2).otherwise(F.col("id") % 8).cast("int").alias("order_dow"),
+        F.when(hot, 3).otherwise(F.col("id") % 24).cast("int").alias("order_hour_of_day"),
+        F.lit("a").alias("category"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = rows(serving.serve(requests, cache))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        served = serving.serve(requests, cache)
+        assert "SortMergeJoin" in served._jdf.queryExecution().executedPlan().toString()
+        assert rows(served) == want and len(want) == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
