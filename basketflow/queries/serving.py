@@ -8,7 +8,6 @@ first one scored stay in the cache.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.keys import KEYS
 from ..operators import serving
 from ..operators.aggregate import basket_totals
 from ..operators.metrics import apply_category_means, category_mean_model, round_prediction

@@ -62,7 +62,8 @@ def test_every_column_type_counts_the_same(spark, dtype):
 
 
 def test_fractions_add_up_before_the_cut(spark):
-    df = spark.createDataFrame([(1, 2, "c", "1.1")] * 10, "order_dow int, order_hour_of_day int, category string, items string")
+    schema = "order_dow int, order_hour_of_day int, category string, items string"
+    df = spark.createDataFrame([(1, 2, "c", "1.1")] * 10, schema)
     assert total_items(df).collect()[0]["items"] == 11
 
 
