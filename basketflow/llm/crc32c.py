@@ -1,0 +1,69 @@
+"""CRC-32C of byte strings with numpy, and the mask that record files put over it.
+
+A checksum is linear over bits: a byte's share depends on its value and its distance from the
+end. Shares of a block come from one table lookup per byte and are XORed; block results are
+moved on by a block's length and XORed in turn.
+"""
+
+import numpy as np
+
+POLYNOMIAL = 0x82F63B78  # Castagnoli, reflected
+MASK_DELTA = 0xA282EAD8
+BLOCK = 1024
+ALL = 0xFFFFFFFF  # initial and final value
+
+
+def masked(checksum: int) -> int:
+    """Rotated and shifted, so that a checksum of data that holds checksums stays a good one."""
+    return ((checksum >> 15 | checksum << 17) + MASK_DELTA) & ALL
+
+
+class Crc32c:
+    """Checksums; an instance holds the tables."""
+
+    def __init__(self):
+        one = np.arange(256, dtype=np.uint32)
+        for _ in range(8):
+            one = np.where(one & 1, (one >> np.uint32(1)) ^ np.uint32(POLYNOMIAL), one >> np.uint32(1))
+
+        def past_zero(state):
+            return one[state & np.uint32(0xFF)] ^ (state >> np.uint32(8))
+
+        shares = np.empty((BLOCK, 256), np.uint32)
+        shares[-1] = one
+        for at in range(BLOCK - 2, -1, -1):
+            shares[at] = past_zero(shares[at + 1])
+        self.shares, self.rows = shares.ravel(), np.arange(BLOCK, dtype=np.int32) * 256
+        self.last8 = [shares[BLOCK - 8 + at].tolist() for at in range(8)]
+        # The way of a state over a whole block, by byte of the state.
+        self.ways = []
+        for byte in range(4):
+            state = np.arange(256, dtype=np.uint32) << np.uint32(8 * byte)
+            for _ in range(BLOCK):
+                state = past_zero(state)
+            self.ways.append(state.tolist())
+        self.one = one.tolist()
+
+    def of(self, data: bytes) -> int:
+        if len(data) < 4:
+            state = ALL
+            for byte in data:
+                state = self.one[(state ^ byte) & 0xFF] ^ (state >> 8)
+            return state ^ ALL
+        values = np.frombuffer(data, np.uint8).copy()
+        values[:4] ^= 0xFF  # the initial value, as a change of the first four bytes
+        state, head = 0, len(values) % BLOCK
+        if head:
+            state = int(np.bitwise_xor.reduce(self.shares[self.rows[BLOCK - head :] + values[:head]]))
+        a, b, c, d = self.ways
+        for block in values[head:].reshape(-1, BLOCK):
+            share = int(np.bitwise_xor.reduce(self.shares[self.rows + block]))
+            state = share ^ a[state & 0xFF] ^ b[state >> 8 & 0xFF] ^ c[state >> 16 & 0xFF] ^ d[state >> 24]
+        return state ^ ALL
+
+    def of_8(self, data: bytes) -> int:
+        """The checksum of exactly eight bytes."""
+        t, state = self.last8, ALL
+        for at, byte in enumerate(data):
+            state ^= t[at][byte ^ 0xFF if at < 4 else byte]
+        return state

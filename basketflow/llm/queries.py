@@ -1,7 +1,11 @@
 """Name -> (query, SQL or None) of the operators in this subpackage."""
 
-from basketflow.llm import simhash
+from basketflow.llm import decontaminate, mixing, records, simhash, toxicity
 
 REGISTRY = {
+    "op1_token_records": (records.op1_token_records, None),
+    "op2_decontaminate": (decontaminate.op2_decontaminate, None),
+    "op3_toxicity": (toxicity.op3_toxicity, None),
+    "op4_mix": (mixing.op4_mix, mixing.OP4_SQL),
     "op10_simhash": (simhash.op10_simhash, None),
 }

@@ -3,9 +3,19 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketflow.llm import mixing, records
+from basketflow.llm.decontaminate import keep_clean
 from basketflow.llm.simhash import keep_first
 from basketflow.llm.tables import documents, keep
+from basketflow.llm.toxicity import keep_civil
+from basketflow.session import working_dir
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity is low."""
+    return keep_civil(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +23,35 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return keep_first(docs, shingle=4, max_bits=4)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, written in the order of the mix."""
+    return mixing.in_mixed_order(docs, mixing.TARGET_PARTS, mixing.BLOCK_ROWS)
+
+
+def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as a record of token ids, in the order of the mix, read back from the files.
+
+    Files of a table come back in any order, so the places are worked out again; they depend on
+    nothing but the documents that the mix has passed on.
+    """
+    folder = working_dir(spark, "training-records")
+    placed = mixing.with_place(docs, mixing.TARGET_PARTS, mixing.BLOCK_ROWS)
+    records.write_records(placed, folder, records.tokenizer_path(), [F.col("_at"), F.col("doc_id")])
+    read = records.read_digests(spark, folder)
+    return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard", "position")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("decontamination", decontamination),
+    ("mixing_sources", mixing_sources),
+    ("token_records", token_records),
 ]
 
 # Neither regression nor fingerprints can be said in SQL; tests hold the rows against plain Python.

@@ -1,9 +1,14 @@
 """Plain Python versions to hold the operators against."""
 
 import re
+import sys
+from pathlib import Path
 
 import xxhash
 
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+from check_oracles import TYPES, normalised, oracle_connection
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
@@ -37,3 +42,12 @@ def groups(items, linked):
                 x, y = sorted((top(a), top(b)))
                 root[y] = x
     return {i: top(i) for i in items}
+
+
+def assert_equals_sql(df, sql, sf_dir):
+    """Same names, types and rows as the SQL has on the tables of a folder."""
+    cursor = oracle_connection(sf_dir).execute(sql)
+    names = {d[0]: str(d[1]) for d in cursor.description}
+    assert names == {c: TYPES.get(t) for c, t in df.dtypes}
+    want = normalised(list(names), cursor.fetchall())
+    assert normalised(df.columns, [tuple(r) for r in df.collect()]) == want
