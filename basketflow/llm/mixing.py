@@ -13,7 +13,7 @@ A source that has run out leaves its slots empty: the rest moves up and keeps it
 No document is dropped or repeated.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm.ranking import drawn, ranked
@@ -129,21 +129,23 @@ def mix(docs: DataFrame, parts: dict[str, int], block_rows: int, key: str = "doc
     )
 
 
-def with_place(docs: DataFrame, parts: dict[str, int], block_rows: int, key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``_at``, the place in the mix as a struct (position, place).
+def in_mixed_order(docs: DataFrame, parts: dict[str, int], block_rows: int, key: str = "doc_id") -> DataFrame:
+    """``docs`` with their columns and rows, sorted across partitions by the mix.
 
-    Rows that share a key share the first place of any of them.
+    Rows that share a key share the first place of any of them. Written to files, the rows keep
+    their order: see ``written_order``.
     """
     placed = mix(docs, parts, block_rows, key)
-    places = placed.groupBy(F.col("doc_id").alias("_key")).agg(F.min(F.struct("position", "place")).alias("_at"))
-    return docs.join(keep(places, "places"), F.col(f"`{key}`").eqNullSafe(F.col("_key"))).drop("_key")
+    places = placed.groupBy(F.col("doc_id").alias("key")).agg(F.min(F.struct("position", "place")).alias("at"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col(key).alias("id"))
+    placed = whole.join(keep(places, "places"), F.col("id").eqNullSafe(F.col("key")))
+    return placed.repartitionByRange("at").sortWithinPartitions("at", "id").select("document.*")
 
 
-def in_mixed_order(docs: DataFrame, parts: dict[str, int], block_rows: int, key: str = "doc_id") -> DataFrame:
-    """``docs`` with their columns and rows, sorted across partitions by the mix."""
-    placed = with_place(docs, parts, block_rows, key)
-    placed = placed.repartitionByRange("_at").sortWithinPartitions("_at", F.col(f"`{key}`"))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns])
+def written_order() -> list[Column]:
+    """Columns that sort the rows of a Parquet table as the job that wrote it had them."""
+    part = F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).cast("long")
+    return [part, F.col("_metadata.file_name"), F.col("_metadata.row_index")]
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,7 @@ def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
 
 def gram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """``(bucket, corpus, target)`` counted over all documents and over the trusted ones."""
-    flagged = docs.join(F.broadcast(trusted.withColumn("_good", F.lit(True))), F.col("doc_id") == F.col("_id"), "left")
+    flagged = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("_good", F.lit(True))), F.col("doc_id") == F.col("_id"), "left")
     flagged = flagged.select(text_bytes().alias("text"), F.coalesce("_good", F.lit(False)).alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

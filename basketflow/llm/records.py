@@ -33,6 +33,7 @@ HEADER = "<BBHqI"  # 1 if there is a key, bytes an id, 0, key, number of ids
 HEADER_SIZE = struct.calcsize(HEADER)
 FRAME = 8 + 4 + 4  # bytes around a payload
 WRITE_AT = 1 << 22  # bytes gathered before they go to the file
+SHARD_BYTES = 1 << 26  # bytes of text for one file: long shards meet most of their words again
 
 MANIFEST = "shard int, path string, records long, tokens long, bytes long, first long, last long"
 
@@ -110,18 +111,21 @@ def write_records(
     key: str = "doc_id",
     text: str = "text",
     end_id: int = 0,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Encodes every text, appends ``end_id`` and writes the records; returns the manifest.
 
     Records lie in ascending ``order`` within and across files. A null text is an empty one, a
     null key is kept as null, rows with equal keys are records of their own; an empty table gives
-    a manifest without rows. ``folder`` is a URI or path that all executors share.
+    a manifest without rows. ``folder`` is a URI or path that all executors share; a file takes
+    about ``shard_bytes`` bytes of text.
     """
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(
         c.alias(f"order{i}") for i, c in enumerate(order)
     ))
     names = [f"order{i}" for i in range(len(order))]
-    rows = rows.repartitionByRange(*names).sortWithinPartitions(*names, "text").select("key", "text")
+    rows = rows.repartitionByRange(-(-size // shard_bytes) or 1, *names).sortWithinPartitions(*names, "text").select("key", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -131,8 +135,8 @@ def write_records(
         for batch in batches:
             if writer is None:
                 writer = RecordWriter(f"{folder}/part-{shard:05d}-{uuid.uuid4().hex}")
-            ids = encoder.encode(batch.column(1).to_pylist())
-            for k, own in zip(batch.column(0).to_pylist(), ids, strict=True):
+            texts = (text.as_py() for text in batch.column(1))
+            for k, own in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
                 payload = pack(k, own + end, encoder.width)
                 writer.append(payload)
                 tokens += len(own) // encoder.width + 1

@@ -317,23 +317,14 @@ def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFram
     Rows that share that key and its fingerprint are told apart by a hash over all columns;
     of fully equal rows one stays. A group whose keys are all null keeps one row as well.
     """
-    columns = docs.columns
-    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns])
-    keyed = docs.select(
-        *[F.col(f"`{c}`") for c in columns],
-        fingerprint(text_bytes(), shingle).alias("_print"),
-        row.alias("_row"),
-    )
-    keyed = keep(keyed, "keyed")
-    roots = groups(keyed.select(F.col("_print").alias("fingerprint")), max_bits)
-    roots = keep(roots.withColumnRenamed("fingerprint", "_print"), "roots")
-    least = keyed.groupBy("_print").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_at"))
-    best = roots.join(least, "_print").groupBy("root").agg(F.min(F.struct("_at", "_print")).alias("best"))
-    best = keep(best.select("best._print", "best._at.doc_id", "best._at._row"), "best")
-    chosen = keyed.join(
-        best.select(*[F.col(c).alias(f"b_{c}") for c in best.columns]),
-        F.col("_print").eqNullSafe(F.col("b__print"))
-        & F.col("doc_id").eqNullSafe(F.col("b_doc_id"))
-        & F.col("_row").eqNullSafe(F.col("b__row")),
-    )
-    return chosen.dropDuplicates(["_print", "doc_id", "_row"]).select(*[f"`{c}`" for c in columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.xxhash64(*[c.cast("string") for c in columns]).alias("row")
+    keyed = keep(docs.select("doc_id", fingerprint(text_bytes(), shingle).alias("fingerprint"), row), "keyed")
+    roots = keep(groups(keyed, max_bits), "roots")
+    least = keyed.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("at"))
+    best = roots.join(least, "fingerprint").groupBy("root").agg(F.min("at").alias("best"))
+    best = keep(best.select(F.col("best.doc_id").alias("best_id"), F.col("best.row").alias("best_row")), "best")
+    whole = docs.select(F.struct(*columns).alias("document"), F.col("doc_id").alias("id"), row)
+    chosen = whole.join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("row") == F.col("best_row")))
+    # Only rows that are equal in all columns still share a key and a hash.
+    return chosen.dropDuplicates(["id", "row"]).select("document.*")

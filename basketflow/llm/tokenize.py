@@ -1,17 +1,31 @@
-"""Texts to token ids with a byte-level BPE tokenizer of the ``tokenizers`` library."""
+"""Texts to token ids with a byte-level BPE tokenizer of the ``tokenizers`` library.
+
+A byte-level tokenizer always begins a new word at a blank before a non-blank, so what lies between
+two such places can be encoded alone. Words repeat, so the tokenizer sees each piece once; texts
+are put together from the pieces' ids.
+"""
 
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
 
-# A byte-level tokenizer always begins a new word at a blank before a non-blank, so what lies
-# between two such places can be encoded alone. Words repeat, so most come from the cache.
 BORDER = re.compile(r" (?=\S)")
-CACHE = 400_000  # pieces remembered per worker; then the cache starts anew
-LONG = 64  # longer pieces are encoded but not remembered
+# After a blank, these leave no border: ASCII white space. Texts with others are cut by BORDER.
+LOOSE = [" " + chr(c) for c in (*range(9, 14), *range(28, 33))]
+REMEMBERED = 1_000_000  # pieces known at a time
+TOGETHER = 4096  # new pieces encoded in one text
+STEP_CHARS = 1 << 22  # text looked at in one step
+
+
+class Pieces(dict):
+    """Numbers of pieces in the order of their first appearance."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        return number
 
 
 class Encoder:
@@ -20,27 +34,74 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
+        self.type = f"<u{self.width}"
+        blank = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        self.begins = np.zeros(size, bool)
+        self.begins[[n for token, n in self.tokenizer.get_vocab().items() if token.startswith(blank)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pieces, self.encoded = Pieces(), 0
+        self.ids, self.first, self.length = np.zeros(0, self.type), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def pack(self, ids: Iterable[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [self.split(text) for text in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
-        new = list({p for own in pieces for p in own}.difference(self.known))
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {p: self.pack(e.ids) for p, e in zip(new, encoded, strict=True)}
-        self.known.update(found)
-        texts_ids = [b"".join([self.known[p] for p in own]) for own in pieces]
-        for p in new:
-            if len(p) > LONG:
-                del self.known[p]
-        return texts_ids
-
-    @staticmethod
-    def split(text: str) -> list[str]:
-        first, *rest = BORDER.split(text)
-        return [first, *[" " + p for p in rest]]
+        return np.array(ids, self.type).tobytes()
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= STEP_CHARS:
+                yield from self._encode(some)
+                some, size = [], 0
+        if some:
+            yield from self._encode(some)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self.pieces) > REMEMBERED:
+            self._forget()
+        heads, rows = [], []
+        for text in texts:
+            head, *rest = cut(text)
+            heads.append(head)
+            rows.append(np.fromiter(map(self.pieces.__getitem__, rest), np.int64, len(rest)))
+        self._learn()
+        begins = self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)
+        for begin, row in zip(begins, rows, strict=True):
+            length = self.length[row]
+            ends = np.cumsum(length)
+            at = np.repeat(self.first[row] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
+            yield self.pack(begin.ids) + self.ids[at].tobytes()
+
+    def _learn(self) -> None:
+        """Encodes the pieces numbered since the last time, each with the blank before it."""
+        new = list(self.pieces)[self.encoded :]
+        ids, lengths = [self.ids], [self.length]
+        for i in range(0, len(new), TOGETHER):
+            some = new[i : i + TOGETHER]
+            joined = self._one(" " + " ".join(some))
+            starts = np.flatnonzero(self.begins[joined])
+            if len(starts) != len(some):  # a piece holds blanks of its own
+                parts = [self._one(" " + piece) for piece in some]
+                joined, length = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+            else:
+                length = np.diff(np.append(starts, len(joined)))
+            ids.append(joined)
+            lengths.append(length)
+        self.encoded += len(new)
+        self.ids, self.length = np.concatenate(ids), np.concatenate(lengths)
+        self.first = np.cumsum(self.length) - self.length
+
+    def _one(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
+
+
+def cut(text: str) -> list[str]:
+    """The pieces of a text; all but the first lack the blank before them."""
+    if text.isascii() and not text.endswith(" ") and not any(loose in text for loose in LOOSE):
+        return text.split(" ")
+    return BORDER.split(text)

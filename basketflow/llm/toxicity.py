@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -124,7 +124,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(
         F.col("doc_id").alias("_id"), (F.col("toxic") > 0).alias("_toxic")
     )
-    joined = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
+    joined = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
     return joined.select("doc_id", text_bytes().alias("text"), F.col("_toxic").alias("toxic"))
 
 
@@ -242,26 +242,24 @@ def _ordinal(row, number, value, grades: np.ndarray, width: int, steps: int = 40
 # Scoring
 
 
-def with_severity(docs: DataFrame, model: Severity, name: str = "severity") -> DataFrame:
-    """``docs`` with the expected severity, 0 to 3. Null and empty texts have no grams."""
+def severity(model: Severity, text: str = "text") -> Column:
+    """The expected severity of a text, 0 to 3. Null and empty texts have no grams."""
 
     @pandas_udf("double")
     def expected(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(model.expected(batch))
 
-    return docs.withColumn(name, F.round(expected(text_bytes()), 6))
+    return F.round(expected(text_bytes(text)), 6)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = fit(labelled_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    scored = with_severity(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", "severity", (F.col("severity") >= SEVERE).alias("toxic"))
+    scored = docs.select("doc_id", severity(model).alias("severity"))
+    return scored.withColumn("toxic", F.col("severity") >= SEVERE)
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose expected severity stays below ``SEVERE``."""
-    model = fit(labelled_sample(docs, labels))
-    scored = with_severity(docs, model, "_severity")
-    return scored.where(F.col("_severity") < SEVERE).drop("_severity")
+    return docs.where(severity(fit(labelled_sample(docs, labels))) < SEVERE)

@@ -34,14 +34,12 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as a record of token ids, in the order of the mix, read back from the files.
+    """Every document as a record of token ids, in the order in which the mix was written.
 
-    Files of a table come back in any order, so the places are worked out again; they depend on
-    nothing but the documents that the mix has passed on.
+    ``docs`` is a Parquet table; the rows are read back from the record files.
     """
     folder = working_dir(spark, "training-records")
-    placed = mixing.with_place(docs, mixing.TARGET_PARTS, mixing.BLOCK_ROWS)
-    records.write_records(placed, folder, records.tokenizer_path(), [F.col("_at"), F.col("doc_id")])
+    records.write_records(docs, folder, records.tokenizer_path(), mixing.written_order())
     read = records.read_digests(spark, folder)
     return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard", "position")
 

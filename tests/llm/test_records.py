@@ -58,6 +58,7 @@ def test_pieces_encode_like_the_whole(tokenizer):
     rng = random.Random(2)
     alphabet = [" ", " ", "\n", "a", "B", "'s", "é", "1", " ", "\t", "!", "\x1c", " ", "日本"]
     texts = TEXTS + ["".join(rng.choices(alphabet, k=rng.randrange(1, 25))) for _ in range(3000)]
+    texts += [" ".join(f"w{rng.randrange(9**9)}" for _ in range(9000))]
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u2").tolist() == encoded(tokenizer, text)[:-1], repr(text)
 

@@ -11,7 +11,7 @@ def test_held_out_documents(spark):
     """Fitted without half of the labels, it finds the toxic ones of that half and few others."""
     docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
     model = t.fit(t.labelled_sample(docs, labels.where("doc_id % 2 = 0")))
-    scored = t.with_severity(docs, model).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    scored = docs.withColumn("severity", t.severity(model)).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
     toxic = [r.severity >= t.SEVERE for r in scored if r.toxic]
     clean = [r.severity >= t.SEVERE for r in scored if not r.toxic]
     assert np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.02
