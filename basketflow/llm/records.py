@@ -135,8 +135,7 @@ def write_records(
         for batch in batches:
             if writer is None:
                 writer = RecordWriter(f"{folder}/part-{shard:05d}-{uuid.uuid4().hex}")
-            texts = (text.as_py() for text in batch.column(1))
-            for k, own in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+            for k, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 payload = pack(k, own + end, encoder.width)
                 writer.append(payload)
                 tokens += len(own) // encoder.width + 1

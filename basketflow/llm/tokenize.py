@@ -10,14 +10,17 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 BORDER = re.compile(r" (?=\S)")
-# After a blank, these leave no border: ASCII white space. Texts with others are cut by BORDER.
-LOOSE = [" " + chr(c) for c in (*range(9, 14), *range(28, 33))]
+# Texts in which white space or the end follows a blank are cut by BORDER, all others at blanks.
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+LOOSE = f" (?:[{SPACES}]|$)"
 REMEMBERED = 1_000_000  # pieces known at a time
 TOGETHER = 4096  # new pieces encoded in one text
-STEP_CHARS = 1 << 22  # text looked at in one step
+STEP_BYTES = 1 << 23  # text looked at in one step
 
 
 class Pieces(dict):
@@ -49,33 +52,46 @@ class Encoder:
     def pack(self, ids: Iterable[int]) -> bytes:
         return np.array(ids, self.type).tobytes()
 
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+    def encode(self, texts: pa.StringArray) -> Iterator[bytes]:
         """The ids of each text, in order."""
-        some, size = [], 0
-        for text in texts:
-            some.append(text)
-            size += len(text)
-            if size >= STEP_CHARS:
-                yield from self._encode(some)
-                some, size = [], 0
-        if some:
-            yield from self._encode(some)
-
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(texts):
+            before = size[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(size, before + STEP_BYTES)))
+            yield from self._encode(texts[begin:end])
+            begin = end
+
+    def _encode(self, texts: pa.StringArray) -> list[bytes]:
         if len(self.pieces) > REMEMBERED:
             self._forget()
-        heads, rows = [], []
-        for text in texts:
-            head, *rest = cut(text)
-            heads.append(head)
-            rows.append(np.fromiter(map(self.pieces.__getitem__, rest), np.int64, len(rest)))
+        loose = pc.match_substring_regex(texts, LOOSE).to_numpy(zero_copy_only=False)
+        found = np.empty(len(texts), object)
+        found[~loose] = self._of_pieces(pc.split_pattern(texts.filter(pa.array(~loose)), " "))
+        by_border = [BORDER.split(t) for t in texts.filter(pa.array(loose)).to_pylist()]
+        found[loose] = self._of_pieces(pa.array(by_border, pa.list_(pa.string())))
+        return found.tolist()
+
+    def _of_pieces(self, texts: pa.ListArray) -> list[bytes]:
+        """The ids of texts given as pieces; all but the first piece lack the blank before them."""
+        if not len(texts):
+            return []
+        pieces, count = texts.flatten(), pc.list_value_length(texts).to_numpy()
+        head = np.cumsum(count) - count
+        is_head = np.zeros(len(pieces), bool)
+        is_head[head] = True
+        coded = pieces.filter(pa.array(~is_head)).dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.pieces.__getitem__, known), np.int64, len(known))
         self._learn()
-        begins = self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)
-        for begin, row in zip(begins, rows, strict=True):
-            length = self.length[row]
-            ends = np.cumsum(length)
-            at = np.repeat(self.first[row] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
-            yield self.pack(begin.ids) + self.ids[at].tobytes()
+        row = numbers[coded.indices.to_numpy()]
+        length = self.length[row]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        ids = self.ids[np.repeat(self.first[row] - ends[:-1], length) + np.arange(ends[-1])].tobytes()
+        borders = (ends[np.concatenate(([0], np.cumsum(count - 1)))] * self.width).tolist()
+        begins = self.tokenizer.encode_batch_fast(pieces.take(pa.array(head)).to_pylist(), add_special_tokens=False)
+        spans = zip(begins, borders, borders[1:], strict=False)
+        return [self.pack(begin.ids) + ids[a:b] for begin, a, b in spans]
 
     def _learn(self) -> None:
         """Encodes the pieces numbered since the last time, each with the blank before it."""
@@ -98,10 +114,3 @@ class Encoder:
 
     def _one(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
-
-
-def cut(text: str) -> list[str]:
-    """The pieces of a text; all but the first lack the blank before them."""
-    if text.isascii() and not text.endswith(" ") and not any(loose in text for loose in LOOSE):
-        return text.split(" ")
-    return BORDER.split(text)
