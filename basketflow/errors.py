@@ -11,3 +11,7 @@ class ModelNotFound(Exception):
 
 class MalformedBaskets(Exception):
     """The basket table has no category columns, or lacks an id column."""
+
+
+class MalformedKey(ValueError):
+    """A key that is not ``dow:hour:category``."""

@@ -2,32 +2,30 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.quantity import QUANTITY_LIMIT, is_blank, parse_int, quantity
-from .reshape import WEEKDAYS, melt_baskets
+from ..functions.quantity import MOST, is_blank, parse_int, quantity
+from .reshape import WEEKDAYS, melt_baskets, quoted
 
 
-def _key_reason(df: DataFrame, dow: str, hour: str) -> Column:
+def key_reason(df: DataFrame, dow: str, hour: str) -> Column:
     """NULL for a usable key; otherwise the first thing wrong with it."""
     dow_type, hour_type = df.schema[dow].dataType, df.schema[hour].dataType
-    day = parse_int(F.col(dow), dow_type)
+    dow_column, hour_column = F.col(quoted(dow)), F.col(quoted(hour))
+    day = parse_int(dow_column, dow_type)
     return (
-        F.when(is_blank(F.col(dow), dow_type), "order_dow_missing")
+        F.when(is_blank(dow_column, dow_type), "order_dow_missing")
         .when(day.isNull(), "order_dow_not_integer")
         .when(~day.between(WEEKDAYS[0], WEEKDAYS[-1]), "order_dow_out_of_range")
-        .when(is_blank(F.col(hour), hour_type), "order_hour_missing")
-        .when(parse_int(F.col(hour), hour_type).isNull(), "order_hour_not_integer")
+        .when(is_blank(hour_column, hour_type), "order_hour_missing")
+        .when(parse_int(hour_column, hour_type).isNull(), "order_hour_not_integer")
     )
 
 
-def _items_reason(df: DataFrame, items: str) -> Column:
-    """NULL for a number in range; otherwise what is wrong with a cell that is not empty."""
-    dtype = df.schema[items].dataType
-    number = quantity(F.col(items), dtype)
-    return F.when(number.isNull(), "items_not_numeric").when(
-        number >= F.lit(float(QUANTITY_LIMIT)), "items_too_large"
-    )
+def items_reason(items: Column, dtype: T.DataType) -> Column:
+    """NULL for a number that a DECIMAL holds; otherwise what is wrong with a filled cell."""
+    number = quantity(items, dtype)
+    return F.when(number.isNull(), "items_not_numeric").when(number >= F.lit(MOST), "items_too_large")
 
 
 def quarantined_facts(
@@ -41,7 +39,7 @@ def quarantined_facts(
     Zero and negative quantities are not errors and are not listed.
     """
     filled = facts.filter(~is_blank(F.col(items), facts.schema[items].dataType))
-    reason = F.coalesce(_key_reason(filled, dow, hour), _items_reason(filled, items))
+    reason = F.coalesce(key_reason(filled, dow, hour), items_reason(F.col(items), filled.schema[items].dataType))
     return filled.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
@@ -61,7 +59,7 @@ def quarantined_baskets(
     ``malformed`` names the column that holds the text of lines the CSV reader could
     not fit to the schema; such lines are reported as they stand.
     """
-    reason = _key_reason(baskets, dow, hour)
+    reason = key_reason(baskets, dow, hour)
     if malformed:
         reason = F.when(F.col(malformed).isNotNull(), "malformed_line").otherwise(reason)
     return baskets.withColumn("reason", reason).filter(F.col("reason").isNotNull())

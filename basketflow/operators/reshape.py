@@ -2,10 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..errors import MalformedBaskets
-from ..functions.quantity import is_int
+from ..functions.quantity import is_int, parse_int
 
 WEEKDAYS = range(7)
 
@@ -45,14 +45,25 @@ def melt_baskets(
     return exploded.select(*kept, F.get(names, F.col("_position")).alias("category"), "items")
 
 
+def has_valid_keys(df: DataFrame, dow: str = "order_dow", hour: str = "order_hour_of_day") -> Column:
+    """Whether a row's weekday is 0..6 and its hour an integer.
+
+    Typed columns are compared as they are, so that the test reaches the Parquet scan.
+    """
+    conditions = []
+    for name, low, high in ((dow, WEEKDAYS[0], WEEKDAYS[-1]), (hour, -(2**31), 2**31 - 1)):
+        column, dtype = F.col(quoted(name)), df.schema[name].dataType
+        if isinstance(dtype, T.IntegralType):
+            wide = isinstance(dtype, T.LongType)
+            conditions.append(column.isNotNull() & column.between(low, high) if wide or name == dow else column.isNotNull())
+        else:
+            conditions.append(F.when(is_int(column, dtype), column.try_cast("int").between(low, high)))
+    return conditions[0] & conditions[1]
+
+
 def valid_keys(
     df: DataFrame, dow: str = "order_dow", hour: str = "order_hour_of_day"
 ) -> DataFrame:
     """Rows whose weekday is 0..6 and whose hour is an integer, keys typed."""
-    day, time = F.col(quoted(dow)), F.col(quoted(hour))
-    day_type, time_type = df.schema[dow].dataType, df.schema[hour].dataType
-    in_week = day.try_cast("int").between(WEEKDAYS[0], WEEKDAYS[-1])
-    kept = df.filter(
-        F.when(is_int(day, day_type), in_week) & F.when(is_int(time, time_type), time.try_cast("int").isNotNull())
-    )
-    return kept.withColumns({dow: day.try_cast("int"), hour: time.try_cast("int")})
+    typed = {name: parse_int(F.col(quoted(name)), df.schema[name].dataType) for name in (dow, hour)}
+    return df.filter(has_valid_keys(df, dow, hour)).withColumns(typed)

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..errors import MalformedKey
 from ..functions.keys import KEYS, join_key, split_key
 
 
@@ -44,10 +45,14 @@ def latest_version_only(cache: DataFrame, version: int) -> DataFrame:
 
 def lookup(cache: DataFrame, key: str) -> DataFrame:
     """The row of one ``dow:hour:category`` key, found by three typed predicates."""
-    dow, hour, category = key.split(":", 2)
+    try:
+        dow, hour, category = key.split(":", 2)
+        dow, hour = int(dow), int(hour)
+    except ValueError as error:
+        raise MalformedKey(key) from error
     return cache.filter(
-        (F.col("order_dow") == int(dow))
-        & (F.col("order_hour_of_day") == int(hour))
+        (F.col("order_dow") == dow)
+        & (F.col("order_hour_of_day") == hour)
         & (F.col("category") == category)
     )
 

@@ -2,85 +2,57 @@
 
 Days at or below the mark are never read again, so a day that arrives late is left out.
 ``IncrementalAggregation`` takes late days in; this is for callers who need the strict
-rule. Both write the same tables.
+rule. Both keep the same tables, so either state can be trained on.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.aggregate import PARTIAL_SCHEMA, basket_partials, finish_totals, merge_partials
-from ..sinks.runlog import append_run, read_run_log
-from ..sources.baskets import available_days, read_days
-from ..sources.tables import BatchTable, literal_rows
+from ..operators.aggregate import basket_ledger
+from ..sinks.runlog import logged_run
+from ..sources.baskets import ARRIVAL_DAY, MALFORMED, available_days, day_folders, read_days
+from .state import AggregationState, day_table, pending_days
 
-DAY_SCHEMA = T.StructType([T.StructField("day", T.IntegerType())])
-MANIFEST_SCHEMA = T.StructType(
-    [T.StructField("day", T.IntegerType()), T.StructField("batch_id", T.LongType())]
-)
 
+class HighWaterAggregation(AggregationState):
+    job = "highwater"
 
-def day_table(spark: SparkSession, days: Sequence[int]) -> DataFrame:
-    return literal_rows(spark, [(d,) for d in days], DAY_SCHEMA)
-
-
-def pending_days(available: DataFrame, processed: DataFrame) -> DataFrame:
-    """Days that arrived and were not processed yet."""
-    return available.join(processed.select("day"), "day", "left_anti")
-
-
-class HighWaterAggregation:
     def __init__(
         self,
         spark: SparkSession,
         landing: str,
         state: str,
         id_columns: Sequence[str],
+        compact_every: int = 100,
     ):
-        self.spark = spark
-        self.landing = landing
+        super().__init__(spark, state, landing, compact_every)
         self.id_columns = list(id_columns)
-        self.partials = BatchTable(spark, f"{state}/partials", PARTIAL_SCHEMA, merge_partials)
-        self.manifest = BatchTable(spark, f"{state}/manifest", MANIFEST_SCHEMA, lambda rows: rows)
-        self.log_path = f"{state}/run_log"
 
     def mark(self) -> int:
         """The last processed day, -1 before the first run."""
-        return self.manifest.read().agg(F.coalesce(F.max("day"), F.lit(-1))).first()[0]
+        return self.processed_days().agg(F.coalesce(F.max("day"), F.lit(-1))).first()[0]
 
     def available(self) -> DataFrame:
         return day_table(self.spark, available_days(self.spark, self.landing))
 
     def skipped_days(self) -> DataFrame:
         """Days that arrived below the mark and so will not be read."""
-        late = pending_days(self.available(), self.manifest.read())
+        late = pending_days(self.available(), self.processed_days())
         return late.filter(F.col("day") < self.mark())
 
     def run(self) -> list[int]:
         """Aggregate the days above the mark; returns them."""
-        mark = self.mark()
-        days = [d for d in available_days(self.spark, self.landing) if d > mark]
-        if not days:
-            append_run(self.spark, self.log_path, "highwater", "idle")
-            return []
-        batch_id = max(self.manifest.batches(), default=-1) + 1
-        try:
-            baskets = read_days(self.spark, self.landing, days, with_day=False)
-            self.partials.write(batch_id, basket_partials(baskets, self.id_columns))
-            done = literal_rows(self.spark, [(d, batch_id) for d in days], MANIFEST_SCHEMA)
-            self.manifest.write(batch_id, done)
-        except Exception:
-            append_run(self.spark, self.log_path, "highwater", "failed", batch_id, days)
-            raise
-        append_run(
-            self.spark, self.log_path, "highwater", "done", batch_id, days, output=self.partials.path
-        )
-        return days
-
-    def totals(self) -> DataFrame:
-        return finish_totals(self.partials.read())
-
-    def run_log(self) -> DataFrame:
-        return read_run_log(self.spark, self.log_path)
-
-
+        generation, mark = self.generation(), self.mark()
+        with logged_run(self.spark, self.log_path, self.job) as log:
+            above = [d for d in day_folders(self.spark, self.landing) if d > mark]
+            days = available_days(self.spark, self.landing, among=above)
+            if not days:
+                log("idle")
+                return []
+            batch_id = max([self.manifest.base(), *self.manifest.batches()], default=-1) + 1
+            baskets = read_days(self.spark, self.landing, days, keep_malformed=True)
+            ledger = basket_ledger(baskets, self.id_columns, [ARRIVAL_DAY], malformed=MALFORMED)
+            self.write_batch(generation, batch_id, ledger)
+            self.record_quiet_days(days)
+            return days

@@ -1,13 +1,14 @@
 """Batch scoring, the predictions table and the prediction cache."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.keys import KEYS
 from ..operators.metrics import round_prediction
 from ..operators.serving import cache_rows, latest_per_key
 from ..sinks.csv import export_csv
 from ..sinks.keyvalue import write_keyvalue
-from ..sinks.runlog import append_run
+from ..sinks.runlog import logged_run
 from ..sources import files
 from ..sources.models import ModelStore
 from ..sources.tables import BatchTable
@@ -54,20 +55,27 @@ def score(
     Every run gets a folder of its own, ``v=N/run=K``, so one that repeats a score does not
     pull files from under a reader. Returns the predictions as stored.
     """
-    version = store.current() if version is None else version
-    model = store.load(version)
-    rows = store.split(version, "test") if rows is None else rows
-    runs = files.numbered_dirs(spark, f"{output}/v={version}", prefix="run=")
-    path = f"{output}/v={version}/run={max(runs, default=0) + 1}"
-    predict(model, rows).write.mode("overwrite").parquet(path)
-    predictions = spark.read.parquet(path)
-    if csv_output:
-        export_csv(predictions, csv_output)
-    if run_log:
-        append_run(spark, run_log, "score", "done", version, output=path)
+    with logged_run(spark, run_log, "score") as log:
+        version = store.current() if version is None else version
+        model = store.load(version)
+        rows = store.split(version, "test") if rows is None else rows
+        path = _own_run(spark, f"{output}/v={version}")
+        predict(model, rows).write.mode("overwrite").parquet(path)
+        predictions = spark.read.parquet(path)
+        if csv_output:
+            export_csv(predictions, csv_output)
+        log("done", batch_id=version, output=path)
     return predictions
 
 
+def _own_run(spark: SparkSession, root: str) -> str:
+    """A folder ``run=K`` that no run before or beside this one has."""
+    run = max(files.numbered_dirs(spark, root, prefix="run="), default=0) + 1
+    while not files.create(spark, f"{root}/_claims/{run}"):
+        run += 1
+    return f"{root}/run={run}"
+
+
 def score_and_cache(
     spark: SparkSession,
     store: ModelStore,
@@ -94,13 +102,48 @@ def score_and_cache(
 
 
 def refresh_cache(
-    cache: BatchTable, predictions: DataFrame, version: int, batch: int | None = None
+    cache: BatchTable, predictions: DataFrame, version: int, compact_every: int = 50
 ) -> None:
-    """Add the predictions of one model version to the cache.
+    """Add the predictions of one model version to the cache, as a batch of their own.
+
+    Readers are not disturbed. Adding the same predictions twice changes nothing, as the last
+    version of a key wins. Every ``compact_every`` batches the cache is folded, and what the fold
+    before made superfluous is deleted, so a lookup never opens many folders.
+    """
+    batch = cache.append(cache_rows(predictions, version))
+    if (batch + 1) % compact_every == 0:
+        cache.vacuum()
+        cache.compact()
+
+
+def cached_version(cache: BatchTable) -> int:
+    """The newest model version in the cache, 0 if it is empty."""
+    return cache.rows().agg(F.coalesce(F.max("model_version"), F.lit(0))).first()[0]
+
+
+def refresh_if_retrained(
+    spark: SparkSession,
+    store: ModelStore,
+    output: str,
+    cache: BatchTable,
+    rows: DataFrame | None = None,
+    run_log: str | None = None,
+    **more,
+) -> int | None:
+    """Score and cache again if a newer model version was published; returns that version.
 
-    Without a batch number they become a new batch, and readers are not disturbed. Adding
-    the same predictions twice changes nothing, as the last version of a key wins.
+    ``rows`` are the rows the cache serves; without them, the version's test set and every key
+    that is in the cache already, so no key stays at an older version.
     """
-    if batch is None:
-        batch = max([cache.base(), *cache.batches()]) + 1
-    cache.write(batch, cache_rows(predictions, version))
+    version = store.current()
+    if version <= cached_version(cache):
+        with logged_run(spark, run_log, "refresh") as log:
+            log("idle")
+        return None
+    if rows is None:
+        known = cache.read().select(*KEYS)
+        rows = store.split(version, "test").select(*KEYS, "items")
+        old = known.join(rows.select(*KEYS), [*KEYS], "left_anti").withColumn("items", F.lit(None).cast("bigint"))
+        rows = rows.unionByName(old)
+    score_and_cache(spark, store, output, cache, rows, version, run_log=run_log, **more)
+    return version

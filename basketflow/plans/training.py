@@ -11,7 +11,7 @@ from ..functions.keys import KEYS
 from ..operators.features import feature_stages, unseen_categories
 from ..operators.metrics import squared_error
 from ..operators.sampling import label_split
-from ..sinks.runlog import append_run
+from ..sinks.runlog import logged_run
 from ..sources.models import METRICS_SCHEMA, ModelStore
 from ..sources.tables import literal_rows
 
@@ -26,7 +26,7 @@ class ForestSettings:
     # Fail on unseen categories and drop the rarest category's slot.
     strict: bool = False
     # Bagging draws per partition, so the row layout is part of the model's definition.
-    partitions: int = 8
+    rows_per_partition: int = 100_000
 
 
 def forest(settings: ForestSettings) -> RandomForestRegressor:
@@ -45,10 +45,26 @@ def fixed_layout(rows: DataFrame, partitions: int) -> DataFrame:
     return rows.repartition(partitions, *KEYS).sortWithinPartitions(*KEYS, "items")
 
 
-def fit_forest(train: DataFrame, settings: ForestSettings = ForestSettings()) -> PipelineModel:
-    """Index, one-hot, assemble and forest as one fitted pipeline."""
+def fit_forest(
+    train: DataFrame, settings: ForestSettings = ForestSettings(), rows: int | None = None
+) -> PipelineModel:
+    """Index, one-hot, assemble and forest as one fitted pipeline.
+
+    The layout follows from the number of rows; it is kept while the stages pass over it.
+    """
+    rows = train.count() if rows is None else rows
     stages = [*feature_stages(settings.strict), forest(settings)]
-    return Pipeline(stages=stages).fit(fixed_layout(train, settings.partitions))
+    laid_out = fixed_layout(train, max(1, -(-rows // settings.rows_per_partition))).persist()
+    try:
+        return Pipeline(stages=stages).fit(laid_out)
+    finally:
+        laid_out.unpersist()
+
+
+def fingerprint(totals: DataFrame) -> str:
+    """A checksum of an aggregate table, whatever the order of its rows."""
+    digest = F.xxhash64(*totals.columns).cast("decimal(38,0)")
+    return "/".join(str(v) for v in totals.agg(F.count(F.lit(1)), F.sum(digest)).first())
 
 
 def train_model(
@@ -63,24 +79,41 @@ def train_model(
     The split is written once and both halves are read back from it, so the aggregate
     is computed a single time and the test set stays with its model.
     """
-    version = store.next_version()
-    labelled = label_split(totals, settings.test_share, seed=settings.seed)
-    store.save_split(version, labelled)
-    try:
-        train, test = store.split(version, "train"), store.split(version, "test")
-    except EmptyInput:
-        if run_log:
-            append_run(spark, run_log, "train", "no input", version)
-        raise
-    model = fit_forest(train, settings)
-    store.save_model(version, model)
-    quality = (
-        squared_error(model.transform(test))
-        .agg(F.count(F.lit(1)).alias("n_test"), F.avg("squared_error").alias("mse"))
-        .first()
-    )
-    row = (version, train.count(), quality["n_test"], unseen_categories(test, train).count(), quality["mse"])
-    store.publish(version, literal_rows(spark, [row], METRICS_SCHEMA))
-    if run_log:
-        append_run(spark, run_log, "train", "done", version, output=store.root)
+    with logged_run(spark, run_log, "train", output=store.root) as log:
+        version = store.claim_version()
+        labelled = label_split(totals, settings.test_share, seed=settings.seed)
+        store.save_split(version, labelled)
+        try:
+            train, test = store.split(version, "train"), store.split(version, "test")
+        except EmptyInput:
+            log("no input", batch_id=version)
+            raise
+        n_train = train.count()
+        model = fit_forest(train, settings, n_train)
+        store.save_model(version, model)
+        quality = (
+            squared_error(model.transform(test))
+            .agg(F.count(F.lit(1)).alias("n_test"), F.avg("squared_error").alias("mse"))
+            .first()
+        )
+        row = (version, n_train, quality["n_test"], unseen_categories(test, train).count(), quality["mse"])
+        both = train.unionByName(test).select(*totals.columns)
+        store.save_input(version, fingerprint(both))
+        store.publish(version, literal_rows(spark, [row], METRICS_SCHEMA))
+        log("done", batch_id=version)
     return version
+
+
+def train_if_changed(
+    spark: SparkSession,
+    totals: DataFrame,
+    store: ModelStore,
+    settings: ForestSettings = ForestSettings(),
+    run_log: str | None = None,
+) -> int | None:
+    """``train_model``, unless the newest version was trained on just these totals."""
+    if store.versions() and store.input() == fingerprint(totals.select(*KEYS, "items")):
+        with logged_run(spark, run_log, "train") as log:
+            log("idle")
+        return None
+    return train_model(spark, totals.select(*KEYS, "items"), store, settings, run_log)

@@ -4,14 +4,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import KEYS
 from ..functions.quantity import quantity
-from ..operators.aggregate import basket_totals, basket_totals_by_column, positive_items, total_items
+from ..operators.aggregate import (
+    basket_ledger,
+    basket_totals,
+    basket_totals_by_column,
+    ledger_rejects,
+    ledger_totals,
+    positive_items,
+    total_items,
+)
 from ..operators.features import cast_features
 from ..operators.quality import quarantined_baskets, quarantined_cells
 from ..operators.reshape import melt_baskets, valid_keys
 from ..plans.aggregation import full_aggregation, split_orders, weekday
 from ..session import working_dir
+from ..sources import files
 from ..sinks.csv import export_csv, write_day_folders
-from ..sources.baskets import melt_drifting_files, read_csv, read_days, text_schema, union_days
+from ..sources.baskets import ARRIVAL_DAY, MALFORMED, melt_drifting_files, read_csv, read_days, text_schema, union_days
 from .inputs import (
     EVENT_FACTS_SQL,
     EVENT_IDS,
@@ -20,6 +29,7 @@ from .inputs import (
     ORDER_IDS,
     ORDER_TOTALS_SQL,
     RAW_FACTS_SQL,
+    RAW_TOTALS_SQL,
     event_baskets,
     event_totals,
     event_totals_sql,
@@ -43,20 +53,36 @@ def agg_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agg_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts with decimals: fractions add up before the sum is cut to an integer."""
-    return basket_totals(raw_event_baskets(spark, sf_dir).drop("scaled", "note"), EVENT_IDS)
+    return basket_totals(raw_event_baskets(spark, sf_dir), EVENT_IDS)
 
 
 AGG_FRACTIONS_SQL = f"""
     SELECT CAST(order_dow AS INTEGER) AS order_dow,
            CAST(order_hour_of_day AS INTEGER) AS order_hour_of_day,
-           category,
-           CAST(trunc(sum(CAST(items AS DECIMAL(18,2)))) AS BIGINT) AS items
-    FROM ({RAW_FACTS_SQL})
-    WHERE category = 'amount'
-      AND order_dow IN ('0', '1', '2', '3', '4', '5', '6')
-      AND regexp_full_match(order_hour_of_day, '[0-9]+')
-      AND CAST(items AS DECIMAL(18,2)) >= 1
-    GROUP BY ALL
+           category, CAST(total AS BIGINT) AS items
+    FROM ({RAW_TOTALS_SQL}) WHERE total <= 9223372036854775807
+"""
+
+
+def agg_large_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of a dozen more digits: what the sums are, and what no BIGINT holds."""
+    baskets = raw_event_baskets(spark, sf_dir)
+    raised = F.concat("scaled", F.lit("00"))
+    ledger = basket_ledger(baskets.withColumn("scaled", raised), EVENT_IDS)
+    totals = ledger_totals(ledger).select(
+        *[F.col(k).cast("string").alias(k) for k in KEYS], F.col("items").cast("string").alias("items")
+    )
+    beyond = ledger_rejects(ledger).filter("reason = 'total_too_large'")
+    return totals.withColumn("fits", F.lit(True)).unionByName(
+        beyond.select(*KEYS, "items").withColumn("fits", F.lit(False))
+    )
+
+
+AGG_LARGE_SQL = f"""
+    SELECT order_dow, order_hour_of_day, category, CAST(CAST(total AS DECIMAL(38,0)) AS VARCHAR) AS items,
+           total <= 9223372036854775807 AS fits
+    FROM (SELECT * REPLACE (CASE WHEN category = 'scaled' THEN total * 100 ELSE total END AS total)
+          FROM ({RAW_TOTALS_SQL}))
 """
 
 
@@ -82,7 +108,7 @@ POSITIVE_ITEMS_SQL = f"""
     SELECT event_id, category, CAST(items AS DOUBLE) AS quantity
     FROM ({RAW_FACTS_SQL})
     WHERE category <> 'note' AND CAST(items AS DOUBLE) >= 1
-      AND CAST(items AS DOUBLE) < 9007199254740992
+      AND CAST(items AS DOUBLE) < 1e38
 """
 
 
@@ -119,7 +145,7 @@ QUARANTINE_SQL = f"""
         SELECT order_dow, order_hour_of_day, category, items,
                CASE {_KEY_REASON_SQL}
                WHEN NOT regexp_full_match(items, '[0-9]+([.][0-9]*)?') THEN 'items_not_numeric'
-               WHEN CAST(items AS DOUBLE) >= 9007199254740992 THEN 'items_too_large' END AS reason
+               WHEN CAST(items AS DOUBLE) >= 1e38 THEN 'items_too_large' END AS reason
         FROM ({RAW_FACTS_SQL})
     ) WHERE reason IS NOT NULL
 """
@@ -146,7 +172,8 @@ def split_by_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_days(spark, folders, range(7), text_schema(baskets.columns))
     return rows.select(
         *[F.col(c).cast("bigint").alias(c) for c in ("event_id", "user_id")],
-        *[F.col(c).cast("int").alias(c) for c in ("order_dow", "order_hour_of_day", "day")],
+        *[F.col(c).cast("int").alias(c) for c in ("order_dow", "order_hour_of_day")],
+        F.col(ARRIVAL_DAY).alias("day"),
     )
 
 
@@ -163,7 +190,7 @@ def split_orders_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     split_orders(
         spark, f"{base}/orders/*.csv", f"{base}/raw", quarantine=f"{base}/bad", rebalance=True
     )
-    kept = read_days(spark, f"{base}/raw", range(7)).groupBy("day").count()
+    kept = read_days(spark, f"{base}/raw", range(7)).groupBy(F.col(ARRIVAL_DAY).alias("day")).count()
     bad = spark.read.parquet(f"{base}/bad").groupBy("reason").count()
     return kept.select(F.col("day").cast("string").alias("target"), F.col("count").alias("baskets")).unionByName(
         bad.select(F.col("reason").alias("target"), F.col("count").alias("baskets"))
@@ -178,6 +205,38 @@ SPLIT_ORDERS_SQL = f"""
 """
 
 
+def split_orders_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export with broken lines: every line once, in a weekday folder or in quarantine."""
+    base = working_dir(spark, "split_orders_malformed")
+    baskets = raw_event_baskets(spark, sf_dir)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in baskets.columns])
+    broken = (
+        F.when(F.col("event_id") % 7 == 0, F.concat(line, F.lit(",more")))
+        .when(F.col("event_id") % 7 == 1, F.substring_index(line, ",", 5))
+        .otherwise(line)
+    )
+    # A table of whole lines, headed by the header.
+    baskets.select(broken.alias(",".join(baskets.columns))).write.option("header", True).option("sep", "|").option(
+        "escapeQuotes", False
+    ).csv(f"{base}/orders")
+    split_orders(spark, f"{base}/orders/*.csv", f"{base}/raw", quarantine=f"{base}/bad")
+    schema = text_schema(baskets.columns)
+    kept = read_days(spark, f"{base}/raw", range(7), schema).select(
+        "event_id", F.col(ARRIVAL_DAY).cast("string").alias("target")
+    )
+    whole = F.substring_index(F.coalesce(F.col(MALFORMED), F.col("event_id")), ",", 1)
+    bad = spark.read.parquet(f"{base}/bad").select(whole.alias("event_id"), F.col("reason").alias("target"))
+    rows = kept.unionByName(bad)
+    return rows.select(F.col("event_id").cast("bigint").alias("event_id"), "target")
+
+
+SPLIT_MALFORMED_SQL = f"""
+    SELECT event_id, CASE WHEN event_id % 7 < 2 THEN 'malformed_line'
+                          ELSE coalesce(CASE {_KEY_REASON_SQL} END, order_dow) END AS target
+    FROM ({RAW_FACTS_SQL}) WHERE category = 'amount'
+"""
+
+
 def weekday_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekday(event_baskets(spark, sf_dir), 3)
 
@@ -195,7 +254,7 @@ def day_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     baskets = event_baskets(spark, sf_dir)
     write_day_folders(baskets, folders)
     rows = read_days(spark, folders, range(10), text_schema(baskets.columns))
-    return rows.groupBy("day").agg(
+    return rows.groupBy(F.col(ARRIVAL_DAY).alias("day")).agg(
         F.count(F.lit(1)).alias("baskets"),
         F.sum(F.coalesce(*[quantity(F.col(k), rows.schema[k].dataType) for k in EVENT_TYPES]))
         .cast("bigint")
@@ -241,17 +300,19 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     baskets = event_baskets(spark, sf_dir)
     weekdays = baskets.filter(F.col("order_dow").between(1, 5))
     weekend = baskets.filter(~F.col("order_dow").between(1, 5))
-    renamed = weekend.withColumnRenamed("view", "it's: a view, seen").drop("signup")
+    renamed = weekend.withColumnsRenamed({"view": "it's: a view, seen", "error": "day"}).drop("signup")
     weekdays.write.option("header", True).csv(f"{base}/week")
     renamed.select(*reversed(renamed.columns)).write.option("header", True).csv(f"{base}/weekend")
+    files.create(spark, f"{base}/weekend/empty.csv")
     facts = melt_drifting_files(spark, f"{base}/*/*.csv", EVENT_IDS)
     return total_items(valid_keys(facts))
 
 
 SCHEMA_DRIFT_SQL = f"""
     SELECT order_dow, order_hour_of_day,
-           CASE WHEN category = 'view' AND order_dow NOT BETWEEN 1 AND 5
-                THEN 'it''s: a view, seen' ELSE category END AS category,
+           CASE WHEN category = 'view' AND order_dow NOT BETWEEN 1 AND 5 THEN 'it''s: a view, seen'
+                WHEN category = 'error' AND order_dow NOT BETWEEN 1 AND 5 THEN 'day'
+                ELSE category END AS category,
            CAST(sum(items) AS BIGINT) AS items
     FROM ({EVENT_FACTS_SQL})
     WHERE items > 0 AND NOT (category = 'signup' AND order_dow NOT BETWEEN 1 AND 5)
@@ -275,5 +336,7 @@ QUERIES = {
     "day_union": (day_union, DAY_UNION_SQL),
     "day_union_by_name": (day_union_by_name, DAY_UNION_BY_NAME_SQL),
     "csv_roundtrip": (csv_roundtrip, event_totals_sql()),
+    "agg_large_quantities": (agg_large_quantities, AGG_LARGE_SQL),
+    "split_orders_malformed": (split_orders_malformed, SPLIT_MALFORMED_SQL),
     "schema_drift": (schema_drift, SCHEMA_DRIFT_SQL),
 }

@@ -6,7 +6,17 @@ from ..plans.highwater import HighWaterAggregation
 from ..session import working_dir
 from ..streaming.incremental import IncrementalAggregation
 from .arrivals import COLUMNS, IN_ORDER, LATE_DAY, Arrivals
-from .inputs import EVENT_FACTS_SQL, EVENT_IDS, event_baskets, event_totals_sql
+from ..sources import files
+from .inputs import (
+    EVENT_FACTS_SQL,
+    EVENT_IDS,
+    EVENT_TYPES,
+    RAW_FACTS_SQL,
+    RAW_TOTALS_SQL,
+    event_baskets,
+    event_totals_sql,
+    raw_event_baskets,
+)
 
 
 def _run(arrivals: Arrivals, script, **options) -> IncrementalAggregation:
@@ -61,6 +71,9 @@ def agg_incremental_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day in range(7):
         rows = arrivals.staged_day(day)
         rows = rows.drop("purchase") if day < 2 else rows.select(*reversed(COLUMNS))
+        rows = rows.withColumnRenamed("error", "day")
+        if day == 1:
+            files.create(spark, f"{arrivals.landing}/9/empty.csv")
         rows.write.option("header", True).csv(f"{arrivals.landing}/{day}")
         if day in (1, 6):
             job.run_available()
@@ -92,6 +105,62 @@ def pending_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.pending_days()
 
 
+def pending_days_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``pending_days``, with the state folded after every batch and the folded batches deleted."""
+    arrivals = Arrivals(spark, sf_dir, "pending_days_compacted")
+    _run(arrivals, LATE_DAY[:2], compact_every=1).compact()
+    job = _run(arrivals, LATE_DAY[2:4], compact_every=1)
+    arrivals.arrive([4])
+    return job.pending_days()
+
+
+def pending_days_quiet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days without a positive quantity, or without any basket, are processed like others."""
+    arrivals = Arrivals(spark, sf_dir, "pending_days_quiet")
+    zero = arrivals.staged_day(3).withColumns({kind: F.lit("0") for kind in EVENT_TYPES})
+    zero.write.option("header", True).csv(f"{arrivals.landing}/3")
+    zero.limit(0).write.option("header", True).csv(f"{arrivals.landing}/5")
+    job = _run(arrivals, ([0],), compact_every=1)
+    done = job.processed_days().select("day", F.lit("processed").alias("state"))
+    arrivals.arrive([6])
+    return done.unionByName(job.pending_days().withColumn("state", F.lit("pending")))
+
+
+PENDING_QUIET_SQL = f"""
+    SELECT DISTINCT order_dow AS day, CASE WHEN order_dow = 6 THEN 'pending' ELSE 'processed' END AS state
+    FROM ({EVENT_FACTS_SQL}) WHERE order_dow IN (0, 3, 5, 6)
+"""
+
+
+def quarantine_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dirty export in two arrivals: every cell that did not count, with the reason."""
+    base = working_dir(spark, "quarantine_incremental")
+    baskets = raw_event_baskets(spark, sf_dir)
+    job = IncrementalAggregation(spark, f"{base}/landing", f"{base}/state", EVENT_IDS, baskets.columns)
+    for day in range(2):
+        part = baskets.filter(F.col("event_id") % 2 == day)
+        part.write.option("header", True).csv(f"{base}/landing/{day}")
+        job.run_available()
+    return job.quarantine()
+
+
+QUARANTINE_INCREMENTAL_SQL = f"""
+    SELECT order_dow, order_hour_of_day, category, items, reason, count(*) AS cells FROM (
+        SELECT order_dow, order_hour_of_day, category, items,
+               CASE WHEN order_dow IS NULL THEN 'order_dow_missing'
+                    WHEN NOT regexp_full_match(order_dow, '[0-9]+') THEN 'order_dow_not_integer'
+                    WHEN order_dow NOT IN ('0', '1', '2', '3', '4', '5', '6') THEN 'order_dow_out_of_range'
+                    WHEN NOT regexp_full_match(order_hour_of_day, '[0-9]+') THEN 'order_hour_not_integer'
+                    WHEN NOT regexp_full_match(items, '[0-9]+([.][0-9]*)?') THEN 'items_not_numeric'
+                    END AS reason
+        FROM ({RAW_FACTS_SQL}) WHERE items NOT IN ('0', '0.0')
+    ) WHERE reason IS NOT NULL GROUP BY ALL
+    UNION ALL
+    SELECT order_dow, order_hour_of_day, category, CAST(CAST(total AS DECIMAL(38,0)) AS VARCHAR), 'total_too_large', cells
+    FROM ({RAW_TOTALS_SQL}) WHERE total > 9223372036854775807
+"""
+
+
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(Arrivals(spark, sf_dir, "watermark_state"), LATE_DAY).processed_days()
 
@@ -135,7 +204,10 @@ RUN_LOG_SQL = f"""
     UNION ALL SELECT 'incremental', NULL, NULL, NULL, 'idle'
 """
 
-DRIFT_SQL = event_totals_sql("NOT (category = 'purchase' AND order_dow < 2)")
+DRIFT_SQL = f"""
+    SELECT * REPLACE (CASE category WHEN 'error' THEN 'day' ELSE category END AS category)
+    FROM ({event_totals_sql("NOT (category = 'purchase' AND order_dow < 2)")})
+"""
 
 QUERIES = {
     "agg_incremental": (agg_incremental, event_totals_sql()),
@@ -147,6 +219,12 @@ QUERIES = {
     "agg_highwater": (agg_highwater, event_totals_sql("order_dow <> 2")),
     "skipped_days": (skipped_days, f"SELECT DISTINCT order_dow AS day FROM ({EVENT_FACTS_SQL}) WHERE order_dow = 2"),
     "pending_days": (pending_days, f"SELECT DISTINCT order_dow AS day FROM ({EVENT_FACTS_SQL}) WHERE order_dow IN (2, 4)"),
+    "pending_days_compacted": (
+        pending_days_compacted,
+        f"SELECT DISTINCT order_dow AS day FROM ({EVENT_FACTS_SQL}) WHERE order_dow = 4",
+    ),
+    "pending_days_quiet": (pending_days_quiet, PENDING_QUIET_SQL),
+    "quarantine_incremental": (quarantine_incremental, QUARANTINE_INCREMENTAL_SQL),
     "watermark_state": (watermark_state, WATERMARK_STATE_SQL),
     "watermark_reset": (watermark_reset, WATERMARK_RESET_SQL),
     "run_log": (run_log, RUN_LOG_SQL),

@@ -146,10 +146,22 @@ RAW_FACTS_SQL = """
 """
 
 
-def split_sql(totals: str, split: str) -> str:
+RAW_TOTALS_SQL = f"""
+    SELECT order_dow, order_hour_of_day, category, trunc(sum(CAST(items AS DECIMAL(38,2)))) AS total,
+           count(*) AS cells
+    FROM ({RAW_FACTS_SQL})
+    WHERE category <> 'note'
+      AND order_dow IN ('0', '1', '2', '3', '4', '5', '6')
+      AND regexp_full_match(order_hour_of_day, '[0-9]+')
+      AND CAST(items AS DECIMAL(38,2)) >= 1
+    GROUP BY ALL
+"""
+
+
+def split_sql(totals: str, split: str, seed: int = 42) -> str:
     """Rows of one side of the 90/10 split of an aggregate table."""
     side = "<" if split == "test" else ">="
-    key = "concat_ws(':', '42', order_dow, order_hour_of_day, category)"
+    key = f"concat_ws(':', '{seed}', order_dow, order_hour_of_day, category)"
     return f"""
     SELECT * FROM ({totals})
     WHERE CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 1000 {side} 100

@@ -7,8 +7,8 @@ from ..functions.keys import KEYS
 from ..operators import metrics
 from ..operators.features import category_encoder, category_indexer, feature_pipeline, unseen_categories
 from ..operators.sampling import hash_split, label_split
-from ..plans.scoring import predict, prediction_cache, score, score_and_cache
-from ..plans.training import train_model
+from ..plans.scoring import predict, prediction_cache, refresh_if_retrained, score, score_and_cache
+from ..plans.training import ForestSettings, train_model
 from ..session import working_dir
 from ..sources.models import ModelStore
 from ..sources.tables import BatchTable
@@ -154,7 +154,26 @@ def trained(spark: SparkSession, sf_dir: str, label: str) -> ModelStore:
 
 
 def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trained(spark, sf_dir, "rf_train_metrics").metrics()
+    """Sizes of the sets, and whether the forest beats the best constant on the test set."""
+    store = trained(spark, sf_dir, "rf_train_metrics")
+    mean = store.split(1, "train").agg(F.avg("items")).first()[0]
+    constant = store.split(1, "test").agg(F.avg(F.pow(F.col("items") - mean, 2))).first()[0]
+    return store.metrics().select(
+        "n_train",
+        "n_test",
+        "n_unseen",
+        F.round(F.lit(constant), 4).alias("mse_of_constant"),
+        (F.col("mse") < 0.98 * constant).alias("better"),
+    )
+
+
+RF_METRICS_SQL = f"""
+    WITH train AS ({TRAIN_SQL}), test AS ({TEST_SQL})
+    SELECT (SELECT count(*) FROM train) AS n_train, count(*) AS n_test,
+           count(*) FILTER (category NOT IN (SELECT category FROM train)) AS n_unseen,
+           round(avg(power(items - (SELECT avg(items) FROM train), 2)), 4) AS mse_of_constant, TRUE AS better
+    FROM test
+"""
 
 
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +226,27 @@ def stream_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _agreement(cache, predict(store.load(), store.split(1, "test")))
 
 
+def cache_after_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model trained again with another split: every cached key gets the new version's score."""
+    store = trained(spark, sf_dir, "cache_after_retrain")
+    cache = prediction_cache(spark, f"{store.root}-cache")
+    refresh_if_retrained(spark, store, f"{store.root}-predictions", cache)
+    totals = order_totals(spark, sf_dir)
+    train_model(spark, totals, store, ForestSettings(seed=7, num_trees=10))
+    for _ in range(2):  # the second finds nothing to do
+        refresh_if_retrained(spark, store, f"{store.root}-predictions", cache)
+    expected = predict(store.load(2), totals).select(*KEYS, F.col("prediction").alias("expected"))
+    return cache.read().join(expected, [*KEYS]).select(
+        "key", "model_version", F.expr("prediction <=> expected").alias("agrees")
+    )
+
+
+CACHE_AFTER_RETRAIN_SQL = f"""
+    SELECT concat_ws(':', order_dow, order_hour_of_day, category) AS key, 2 AS model_version, TRUE AS agrees
+    FROM (SELECT * FROM ({TEST_SQL}) UNION SELECT * FROM ({split_sql(ORDER_TOTALS_SQL, "test", 7)}))
+"""
+
+
 def _agreement(cache: BatchTable, predictions: DataFrame) -> DataFrame:
     expected = predictions.select(*KEYS, F.col("prediction").alias("expected"))
     return (
@@ -232,10 +272,11 @@ QUERIES = {
     "mse": (mse, MSE_SQL),
     "round_prediction": (round_prediction, ROUND_PREDICTION_SQL),
     "preview_top20": (preview_top20, PREVIEW_SQL),
-    "rf_train_metrics": (rf_train_metrics, None),
+    "rf_train_metrics": (rf_train_metrics, RF_METRICS_SQL),
     "rf_predict": (rf_predict, None),
     "rf_predict_range": (rf_predict_range, f"SELECT *, TRUE AS within_range FROM ({TEST_SQL})"),
     "rf_cache": (rf_cache, RF_CACHE_SQL),
     "stream_cache": (stream_cache, RF_CACHE_SQL),
+    "cache_after_retrain": (cache_after_retrain, CACHE_AFTER_RETRAIN_SQL),
     "stream_score": (stream_score, f"SELECT *, TRUE AS as_batch FROM ({TEST_SQL})"),
 }

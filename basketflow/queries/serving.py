@@ -1,9 +1,9 @@
 """Prediction cache queries.
 
 Predictions come from the category-mean model, so that SQL can check what is served. Two
-model versions are cached: the first is trained on the first half of January and scores
-a fifth of the keys, the second on everything and scores a tenth. Keys that only the
-first one scored stay in the cache.
+model versions are cached, both trained on all events: the first scores a fifth of the keys, the
+second another tenth, by another seed of the split. Keys that only the first one scored stay in
+the cache.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,13 +18,8 @@ from ..sources.models import ModelStore
 from ..sources.tables import BatchTable
 from .inputs import EVENT_FACTS_SQL, EVENT_IDS, event_baskets, event_totals_sql, table
 
-# Fixed value: version 1 knows the events before this one.
-FIRST_HALF_END = "2024-01-16"
-
-
-def _first_half_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first_half = table(spark, sf_dir, "events").filter(F.col("ts") < FIRST_HALF_END)
-    return basket_totals(event_baskets(spark, sf_dir, events=first_half), EVENT_IDS)
+# Version, share of the test set, seed of the split.
+VERSIONS = ((1, 0.2, 7), (2, 0.1, 42))
 
 
 def _filled_cache(spark: SparkSession, sf_dir: str, label: str) -> tuple[BatchTable, DataFrame]:
@@ -32,8 +27,8 @@ def _filled_cache(spark: SparkSession, sf_dir: str, label: str) -> tuple[BatchTa
     base = working_dir(spark, label)
     store, cache = ModelStore(spark, f"{base}/splits"), prediction_cache(spark, f"{base}/cache")
     everything = basket_totals(event_baskets(spark, sf_dir), EVENT_IDS)
-    for version, totals, share in ((1, _first_half_totals(spark, sf_dir), 0.2), (2, everything, 0.1)):
-        store.save_split(version, label_split(totals, share))
+    for version, share, seed in VERSIONS:
+        store.save_split(version, label_split(everything, share, seed=seed))
         means = category_mean_model(store.split(version, "train"))
         scored = round_prediction(apply_category_means(store.split(version, "test"), means))
         refresh_cache(cache, scored, version)
@@ -95,9 +90,9 @@ def cache_serve_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _version_sql(version: int, where: str, limit: int) -> str:
+def _version_sql(version: int, seed: int, limit: int) -> str:
     bucket = (
-        "CAST('0x' || substr(md5(concat_ws(':', '42', order_dow, order_hour_of_day, category)), 1, 8)"
+        f"CAST('0x' || substr(md5(concat_ws(':', '{seed}', order_dow, order_hour_of_day, category)), 1, 8)"
         " AS BIGINT) % 1000"
     )
     return f"""
@@ -106,13 +101,13 @@ def _version_sql(version: int, where: str, limit: int) -> str:
            CAST(round(prediction) AS INTEGER) AS prediction, {version} AS model_version
     FROM (SELECT *, avg(items) FILTER ({bucket} >= {limit}) OVER (PARTITION BY category) AS prediction,
                  {bucket} AS bucket
-          FROM ({event_totals_sql(where)}))
+          FROM ({event_totals_sql()}))
     WHERE bucket < {limit}
     """
 
 
-_VERSION_1_SQL = _version_sql(1, f"ts < '{FIRST_HALF_END}'", 200)
-_VERSION_2_SQL = _version_sql(2, "TRUE", 100)
+_VERSION_1_SQL = _version_sql(1, 7, 200)
+_VERSION_2_SQL = _version_sql(2, 42, 100)
 
 CACHE_SQL = f"""
     SELECT * FROM (({_VERSION_1_SQL}) UNION ALL ({_VERSION_2_SQL}))

@@ -30,13 +30,13 @@ def build_session(app_name: str = "basketflow", master: str | None = None, **con
 def working_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path for working tables, reachable by every executor.
 
-    The parent is the shared folder named in ``spark.checkpoint.dir``. A temporary
-    folder is used only in local mode, and only when that setting is absent.
+    The parent is the shared folder named in ``spark.checkpoint.dir``. Only in local mode, and
+    only when that setting is absent, a folder of this application below the temporary one
+    takes its place; the session is left as it is.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="basketflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{tempfile.gettempdir()}/basketflow-{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -59,8 +59,10 @@ class RedisClient:
             import redis
         except ImportError as error:
             raise RuntimeError("the redis package is not installed on the executors") from error
+        if "host" not in options:
+            raise ValueError("option 'host' must name the server as the executors see it")
         self._connection = redis.Redis(
-            host=options.get("host", "localhost"),
+            host=options["host"],
             port=int(options.get("port", 6379)),
             db=int(options.get("db", 0)),
         )

@@ -1,17 +1,20 @@
 """Scans of wide basket CSV files, one folder per arrival day."""
 
+import csv
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import EmptyInput
-from ..session import working_dir
 from . import files
 
 # A day folder is called ``3`` or ``day=3``.
 DAY_OF_PATH = r"/(?:day=)?([0-9]+)/[^/]*$"
 MALFORMED = "_malformed_line"
+# The folder's day next to a basket's columns; a category may well be called ``day``.
+ARRIVAL_DAY = "_arrival_day"
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -28,9 +31,20 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
-def csv_options(reader):
-    """Header on, and a header that differs from the schema is an error."""
-    return reader.option("header", True).option("sep", ",").option("enforceSchema", False)
+def malformed_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([*text_schema(columns).fields, T.StructField(MALFORMED, T.StringType())])
+
+
+def csv_options(reader, keep_malformed: bool = False):
+    """Header on, and a header that differs from the schema is an error.
+
+    ``keep_malformed`` fills ``MALFORMED`` with the text of lines that have too few or too many
+    fields; field counts are only checked when every column is parsed.
+    """
+    reader = reader.option("header", True).option("sep", ",").option("enforceSchema", False)
+    if keep_malformed:
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+    return reader
 
 
 def read_csv(
@@ -38,21 +52,23 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType | None = None,
     keep_malformed: bool = False,
+    folders: bool = False,
 ) -> DataFrame:
     """CSV files or globs as text columns, under one explicit schema.
 
     Without ``schema``, the first file's header names the columns; every other file has
     to agree with it. ``keep_malformed`` adds a column with the text of lines that have
-    too few or too many fields.
+    too few or too many fields. ``folders``: the paths are folders; their files need not be
+    listed one by one to name them.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
-        schema = text_schema(csv_columns(spark, paths[0]))
-    reader = csv_options(spark.read)
+        schema = text_schema(csv_columns(spark, f"{paths[0]}/*.csv" if folders else paths[0]))
+    reader = csv_options(spark.read, keep_malformed)
     if keep_malformed:
-        schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
-        # Field counts are only checked when every column is parsed.
-        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+        schema = malformed_schema(schema.names)
+    if folders:
+        reader = reader.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     try:
         return reader.schema(schema).csv(paths)
     except AnalysisException as error:
@@ -71,14 +87,26 @@ def days_glob(root: str, days: Iterable[int]) -> str:
     return f"{root}/{{{names}}}/*.csv"
 
 
+def _folder_names(spark: SparkSession, root: str) -> dict[int, list[str]]:
+    """Folders of each day, from one listing of the root."""
+    found: dict[int, list[str]] = {}
+    for path in files.glob(spark, f"{root}/*"):
+        day = re.fullmatch(r"(?:day=)?([0-9]+)", path.rsplit("/", 1)[-1])
+        if day:
+            found.setdefault(int(day[1]), []).append(path)
+    return found
+
+
 def day_folders(spark: SparkSession, root: str) -> list[int]:
     """Days that have a folder, with or without files."""
-    plain, named = (files.numbered_dirs(spark, root, prefix=p) for p in ("", "day="))
-    return sorted({*plain, *named})
+    return sorted(_folder_names(spark, root))
 
 
 def available_days(spark: SparkSession, root: str, among: Iterable[int] | None = None) -> list[int]:
-    """Days (``among`` the given ones) whose folder holds at least one CSV file."""
+    """Days (``among`` the given ones) whose folder holds at least one CSV file.
+
+    One listing of the root and one of each folder asked for.
+    """
     days = day_folders(spark, root) if among is None else among
     return sorted(d for d in days if files.exists(spark, days_glob(root, [d])))
 
@@ -89,13 +117,24 @@ def read_days(
     days: Iterable[int],
     schema: T.StructType | None = None,
     with_day: bool = True,
+    keep_malformed: bool = False,
 ) -> DataFrame:
-    """The union of the given day folders in one scan; folders that are absent are skipped."""
-    days = list(days)
-    if not days:
+    """The union of the given day folders in one scan; folders that are absent are skipped.
+
+    ``with_day`` adds the folder's day as ``ARRIVAL_DAY``.
+    """
+    found = _folder_names(spark, root)
+    paths = [path for day in sorted(set(days)) for path in found.get(day, [])]
+    if not paths:
         raise EmptyInput(root)
-    baskets = read_csv(spark, days_glob(root, days), schema)
-    return baskets.withColumn("day", day_of_file()) if with_day else baskets
+    if schema is None:
+        with_files = (p for p in paths if files.exists(spark, f"{p}/*.csv"))
+        first = next(with_files, None)
+        if first is None:
+            raise EmptyInput(root)
+        schema = text_schema(csv_columns(spark, f"{first}/*.csv"))
+    baskets = read_csv(spark, paths, schema, keep_malformed, folders=True)
+    return baskets.withColumn(ARRIVAL_DAY, day_of_file()) if with_day else baskets
 
 
 def union_days(tables: Iterable[DataFrame]) -> DataFrame:
@@ -124,42 +163,72 @@ def melt_drifting_files(
     return melt_drifting_lines(lines.select("value", F.col("_metadata.file_path").alias("file")), id_columns)
 
 
+def line_width(line: str) -> int:
+    """How many fields a header has."""
+    return len(next(csv.reader([line])))
+
+
 def melt_drifting_lines(
     lines: DataFrame,
     id_columns: Sequence[str] = ("order_dow", "order_hour_of_day"),
     keep: Sequence[str] = (),
+    rejects: bool = False,
 ) -> DataFrame:
     """Long facts from CSV lines (``file``, ``value``) whose files differ in their headers.
 
-    Columns may come in any order, and any column but ``id_columns`` is a category. A
-    file's header is the line that names all id columns. Headers are written to a small
-    table, one row per file, and joined to the lines by file: broadcast while that table
-    is small, sort-merge beyond. ``keep`` names further columns of ``lines`` to retain.
+    Columns may come in any order, and any column but ``id_columns`` is a category. A file's
+    header is the line that names all id columns; a file without one has no rows. Files are
+    joined to their headers by a hash of the path, two numbers per file, which Spark broadcasts
+    while that is small; the headers that differ, a few, are literals. ``keep`` names further
+    columns of ``lines`` to retain.
+
+    A line with fewer or more fields than its file's header has no facts. With ``rejects`` it
+    comes as one row, its text as ``items`` and ``fault`` saying so, and every other line comes
+    with one more row that has neither category nor fault.
     """
-    spark = lines.sparkSession
     is_header = F.lit(True)
     for name in id_columns:
         is_header = is_header & F.contains("value", F.lit(name))
-    headers_path = working_dir(spark, "headers")
-    lines.filter(is_header).select("file", F.col("value").alias("header")).write.parquet(headers_path)
-    headers = spark.read.parquet(headers_path)
-    width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0]
-    if width is None:
-        raise EmptyInput("no header line names " + ", ".join(id_columns))
-
-    def fields(line: str):
-        parsed = F.from_csv(F.col(line), ", ".join(f"c{i} string" for i in range(width)))
-        return F.array(*[parsed[f"c{i}"] for i in range(width)])
-
-    named = headers.select("file", fields("header").alias("names"))
-    cells = lines.filter(~is_header & (F.col("value") != "")).withColumn("cells", fields("value"))
-    joined = cells.join(named, "file")
-    ids = [
-        F.get("cells", F.array_position("names", name).cast("int") - 1).alias(name)
-        for name in id_columns
-    ]
+    found = lines.filter(is_header).select(F.xxhash64("file").alias("of"), F.xxhash64("value").alias("header"), "value")
+    headers = {r.header: r.value for r in found.select("header", "value").distinct().collect()}
+    width = max(map(line_width, headers.values()), default=1)
+
+    def fields(line: Column) -> Column:
+        # One field more than any header has, so that surplus cells show.
+        parsed = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width + 1)))
+        return F.array(*[parsed[f"c{i}"] for i in range(width + 1)])
+
+    named = found.select("of", "header").distinct()
+    cells = lines.filter(~is_header & (F.col("value") != "")).withColumn("of", F.xxhash64("file"))
+    joined = cells.join(named, "of").withColumn("cells", fields(F.col("value")))
+    names = F.lit(None).cast("array<string>")
+    for code, line in headers.items():
+        # A column without a name is no category, but it has its place.
+        parts = F.slice(fields(F.lit(line)), 1, line_width(line))
+        own = F.transform(parts, lambda c: F.coalesce(c, F.lit("")))
+        names = F.when(F.col("header") == code, own).otherwise(names)
+    joined = joined.withColumn("names", names)
+    ids = [F.get("cells", F.array_position("names", name).cast("int") - 1).alias(name) for name in id_columns]
+    # Quoted commas make a line look longer, never shorter; beyond the header a cell tells.
+    known = F.size("names")
+    bad = (F.size(F.split("value", ",")) < known) | F.get("cells", known).isNotNull()
+    pair = lambda name, cell: F.struct(name.cast("string").alias("names"), cell.cast("string").alias("cells"))
+    whole = F.arrays_zip("names", F.slice("cells", F.lit(1), known).alias("cells"))
+    if rejects:
+        line = F.array(pair(F.lit(None), F.col("value")))
+        cell = F.when(bad, line).otherwise(F.concat(whole, F.array(pair(F.lit(""), F.lit(None)))))
+    else:
+        cell = whole
+        joined = joined.filter(~bad)
+    facts = joined.select(*keep, *ids, F.explode(cell).alias("cell")).select(
+        *keep, *id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items")
+    )
+    named = F.col("category").isNotNull() & (F.col("category") != "") & ~F.col("category").isin(*id_columns)
+    if not rejects:
+        return facts.filter(named)
+    fault = F.when(F.col("category").isNull(), "malformed_line")
     return (
-        joined.select(*keep, *ids, F.explode(F.arrays_zip("names", "cells")).alias("cell"))
-        .select(*keep, *id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items"))
-        .filter(F.col("category").isNotNull() & ~F.col("category").isin(*id_columns))
+        facts.withColumn("fault", fault)
+        .filter(named | F.col("fault").isNotNull() | (F.col("category") == ""))
+        .withColumn("category", F.nullif("category", F.lit("")))
     )

@@ -1,5 +1,7 @@
 """Directory listings on whatever file system a path names (local, HDFS, object store)."""
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -29,6 +31,25 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already, so of several callers one succeeds."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    try:
+        fs.create(hadoop_path, False).close()
+    except Exception:
+        if fs.exists(hadoop_path):
+            return False
+        raise
+    return True
+
+
+def older(spark: SparkSession, path: str, seconds: float) -> bool:
+    """Whether a file was last changed more than so many seconds ago."""
+    fs, hadoop_path = _file_system(spark, path)
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000 > seconds
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

@@ -29,8 +29,12 @@ class ModelStore:
         self.spark = spark
         self.root = root
 
-    def next_version(self) -> int:
-        return max(files.numbered_dirs(self.spark, self.root, prefix="v="), default=0) + 1
+    def claim_version(self) -> int:
+        """A version of one's own: trainings that run at once get different ones."""
+        version = max(files.numbered_dirs(self.spark, self.root, prefix="v="), default=0) + 1
+        while not files.create(self.spark, f"{self._dir(version)}/_claim"):
+            version += 1
+        return version
 
     def versions(self) -> list[int]:
         return files.numbered_dirs(
@@ -66,6 +70,18 @@ class ModelStore:
     def publish(self, version: int, metrics: DataFrame) -> None:
         metrics.write.mode("overwrite").parquet(f"{self._dir(version)}/metrics")
 
+    def save_input(self, version: int, fingerprint: str) -> None:
+        """Note what the version was trained on; before ``publish``."""
+        row = self.spark.createDataFrame([(fingerprint,)], "fingerprint string")
+        row.coalesce(1).write.mode("overwrite").text(f"{self._dir(version)}/input")
+
+    def input(self, version: int | None = None) -> str | None:
+        version = self.current() if version is None else version
+        path = f"{self._dir(version)}/input"
+        if not files.exists(self.spark, path):
+            return None
+        return self.spark.read.text(path).first()[0]
+
     def metrics(self, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version
         return self.spark.read.schema(METRICS_SCHEMA).parquet(f"{self._dir(version)}/metrics")

@@ -56,6 +56,18 @@ class BatchTable:
     def write(self, batch: int, rows: DataFrame) -> None:
         self._save(rows, f"{self.path}/batches/batch={batch}")
 
+    def append(self, rows: DataFrame) -> int:
+        """Write ``rows`` as a batch of their own; no two writers get the same number."""
+        while True:
+            batch = max([self.base(), *self.batches()], default=-1) + 1
+            batch = max(batch, self._claimed() + 1)
+            if files.create(self.spark, f"{self.path}/claims/{batch}"):
+                self.write(batch, rows)
+                return batch
+
+    def _claimed(self) -> int:
+        return max(files.numbered_dirs(self.spark, f"{self.path}/claims"), default=-1)
+
     def read_batch(self, batch: int) -> DataFrame:
         return self._read(f"{self.path}/batches/batch={batch}")
 
@@ -73,9 +85,10 @@ class BatchTable:
             default=-1,
         )
 
-    def rows(self) -> DataFrame:
-        """Base rows and the batches after it, not folded together."""
-        upto, last = self.base(), max(self.batches(), default=-1)
+    def rows(self, last: int | None = None) -> DataFrame:
+        """Base rows and the batches after it (up to ``last``), not folded together."""
+        upto = self.base()
+        last = max(self.batches(), default=-1) if last is None else last
         schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
         recent = (
             read_or_empty(self.spark, f"{self.path}/batches", schema)
@@ -94,10 +107,20 @@ class BatchTable:
         return self.fold(self.rows())
 
     def compact(self) -> int:
-        """Fold everything written so far into a new base; returns the last batch in it."""
-        last = max(self.batches(), default=-1)
-        if last > self.base():
-            self._save(self.read(), f"{self.path}/base/upto={last}")
+        """Fold what was written so far into a new base; returns the last batch.
+
+        A batch that someone is still writing, and those after it, wait for the next time. A
+        claim of a day ago belongs to a writer that has died.
+        """
+        done, base = self.batches(), self.base()
+        last = max(done, default=-1)
+        claims = files.numbered_dirs(self.spark, f"{self.path}/claims")
+        waiting = [
+            c for c in set(claims) - set(done) if c > base and not files.older(self.spark, f"{self.path}/claims/{c}", 86400)
+        ]
+        upto = min([last, *[c - 1 for c in waiting]])
+        if upto > base:
+            self._save(self.fold(self.rows(upto)), f"{self.path}/base/upto={upto}")
         return last
 
     def vacuum(self) -> None:
@@ -106,6 +129,9 @@ class BatchTable:
         for batch in self.batches():
             if batch <= upto:
                 files.remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
+        for claim in files.numbered_dirs(self.spark, f"{self.path}/claims"):
+            if claim < upto:
+                files.remove_dir(self.spark, f"{self.path}/claims/{claim}")
         for old in files.numbered_dirs(self.spark, f"{self.path}/base", prefix="upto="):
             if old < upto:
                 files.remove_dir(self.spark, f"{self.path}/base/upto={old}")

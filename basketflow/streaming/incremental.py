@@ -4,56 +4,41 @@ Progress is the stream's checkpoint, file by file. A day that arrives late, a se
 file for a day already processed, or a second week are all just new files.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..errors import EmptyInput
-from ..functions.keys import KEYS
-from ..operators.aggregate import (
-    PARTIAL_SCHEMA,
-    basket_partials,
-    finish_totals,
-    merge_partials,
-    partial_totals,
-)
-from ..operators.reshape import valid_keys
-from ..plans.highwater import DAY_SCHEMA, MANIFEST_SCHEMA, day_table, pending_days
-from ..sinks.runlog import append_run, read_run_log
+from ..operators.aggregate import basket_ledger, facts_ledger
+from ..plans.state import AggregationState
+from ..sinks.runlog import append_run, logged_run
 from ..sources import files
 from ..sources.baskets import (
+    ARRIVAL_DAY,
+    MALFORMED,
     available_days,
     csv_options,
     day_folders,
     day_of_file,
+    malformed_schema,
     melt_drifting_lines,
-    text_schema,
 )
-from ..sources.tables import BatchTable, literal_rows
 
 # By default the file source ignores files a week older than the newest one, which is
 # just what a day that arrives late may be.
 MAX_FILE_AGE = "36500d"
 
-# Partial sums are kept per arrival day.
-DAILY_KEYS = ("day", *KEYS)
-DAILY_SCHEMA = T.StructType([*DAY_SCHEMA.fields, *PARTIAL_SCHEMA.fields])
-
-
-def first_batches(manifest: DataFrame) -> DataFrame:
-    """One row per day: the first batch it was part of."""
-    return manifest.groupBy("day").agg(F.min("batch_id").alias("batch_id"))
 
-
-class IncrementalAggregation:
-    """Partial sums per micro-batch, written under the batch id, merged on read.
+class IncrementalAggregation(AggregationState):
+    """Sums and rejects per micro-batch, written under the batch id, merged on read.
 
     ``columns`` is the header of the basket files. Without it the files may differ in
     their categories and column order, and each file's own header counts.
 
-    Every ``compact_every`` batches the partial sums are folded into one table, so that
-    ``totals`` does not have to open ever more folders.
+    The stream's checkpoint remembers files up to ``max_file_age``; a landing folder that keeps
+    years of files needs a bound on it, or ``archive``, a folder that processed files are moved
+    to so that a trigger does not list them again.
     """
 
     def __init__(
@@ -65,125 +50,54 @@ class IncrementalAggregation:
         columns: Sequence[str] | None = None,
         max_files_per_trigger: int | None = None,
         compact_every: int = 100,
+        max_file_age: str = MAX_FILE_AGE,
+        archive: str | None = None,
     ):
-        self.spark = spark
-        self.landing = landing
-        self.state = state
+        super().__init__(spark, state, landing, compact_every)
         self.id_columns = list(id_columns)
         self.columns = list(columns) if columns else None
         self.max_files_per_trigger = max_files_per_trigger
-        self.compact_every = compact_every
-        self.log_path = f"{state}/run_log"
-
-    # --- tables of the current generation -------------------------------------------
-
-    def generation(self) -> int:
-        """Number of resets so far; each generation has its own checkpoint and tables."""
-        return max(files.numbered_dirs(self.spark, self.state, prefix="gen="), default=0)
-
-    @property
-    def partials(self) -> BatchTable:
-        return self._partials(self.generation())
-
-    @property
-    def manifest(self) -> BatchTable:
-        return self._manifest(self.generation())
-
-    def totals(self) -> DataFrame:
-        """The aggregate table over everything processed so far."""
-        return finish_totals(merge_partials(self.partials.rows()))
-
-    def processed_days(self) -> DataFrame:
-        """One row per processed day with the first batch it was part of."""
-        return first_batches(self.manifest.rows())
-
-    def pending_days(self) -> DataFrame:
-        available = day_table(self.spark, available_days(self.spark, self.landing))
-        return pending_days(available, self.processed_days())
-
-    def run_log(self) -> DataFrame:
-        return read_run_log(self.spark, self.log_path)
-
-    # --- runs -----------------------------------------------------------------------
+        self.max_file_age = max_file_age
+        self.archive = archive
 
     def run_available(self) -> list[int]:
         """Process what has arrived, then stop; returns the ids of the new batches."""
-        folders = set(day_folders(self.spark, self.landing))
-        before = set(self.manifest.batches())
-        try:
-            self._writer().trigger(availableNow=True).start().awaitTermination()
-        except Exception:
-            append_run(self.spark, self.log_path, "incremental", "failed")
-            raise
-        new = sorted(set(self.manifest.batches()) - before)
-        if not new:
-            append_run(self.spark, self.log_path, "incremental", "idle")
-        self._record_quiet_days(folders)
+        with logged_run(self.spark, self.log_path, self.job) as log:
+            done = {r.day for r in self.processed_days().collect()}
+            unknown = set(day_folders(self.spark, self.landing)) - done
+            arrived = available_days(self.spark, self.landing, among=unknown)
+            before = set(self.manifest.batches())
+            self._writer(self.apply_batch).trigger(availableNow=True).start().awaitTermination()
+            new = sorted(set(self.manifest.batches()) - before)
+            if new:
+                self.record_quiet_days(arrived)
+            else:
+                log("idle")
         return new
 
     def run_every(self, interval: str = "4 seconds") -> StreamingQuery:
         """Keep processing: one micro-batch at a time, no backlog of missed triggers."""
-        return self._writer().trigger(processingTime=interval).start()
-
-    def reset(self) -> None:
-        """Start over: an empty checkpoint and empty partial sums, in one step."""
-        files.make_dirs(self.spark, f"{self.state}/gen={self.generation() + 1}")
+        return self._writer(self._logged_batch).trigger(processingTime=interval).start()
 
     def apply_batch(self, batch: DataFrame, batch_id: int, generation: int | None = None) -> None:
         """Write one micro-batch; writing it again replaces what it wrote before."""
         generation = self.generation() if generation is None else generation
-        partials, manifest = self._partials(generation), self._manifest(generation)
         if self.columns:
-            sums = basket_partials(batch, [*self.id_columns, "day"], DAILY_KEYS)
+            malformed = MALFORMED if MALFORMED in batch.columns else None
+            ledger = basket_ledger(batch, self.id_columns, [ARRIVAL_DAY], malformed=malformed)
         else:
-            facts = melt_drifting_lines(batch, self.id_columns, keep=("day",))
-            sums = partial_totals(valid_keys(facts), DAILY_KEYS)
-        partials.write(batch_id, sums)
-        written = partials.read_batch(batch_id).agg(F.collect_set("day"), F.count(F.lit(1)))
-        days, rows = written.first()
-        self._write_days(manifest, batch_id, set(days))
-        if (batch_id + 1) % self.compact_every == 0:
-            partials.compact()
-            manifest.compact()
-        append_run(
-            self.spark,
-            self.log_path,
-            "incremental",
-            "done",
-            batch_id,
-            sorted(days),
-            rows,
-            partials.path,
-        )
+            facts = melt_drifting_lines(batch, self.id_columns, keep=(ARRIVAL_DAY,), rejects=True)
+            ledger = facts_ledger(facts, [ARRIVAL_DAY])
+        self.write_batch(generation, batch_id, ledger)
 
     # --- parts ----------------------------------------------------------------------
 
-    def _record_quiet_days(self, folders: set[int]) -> None:
-        """Note the days that had a folder when a finished run began, and left no sums.
-
-        Their files hold no basket with a positive quantity; they count as processed.
-        """
-        manifest = self.manifest
-        last = max(manifest.batches(), default=None)
-        unknown = folders - {r.day for r in manifest.rows().collect()}
-        quiet = set(available_days(self.spark, self.landing, among=unknown))
-        if last is not None and quiet:
-            days = quiet | {r.day for r in manifest.read_batch(last).collect()}
-            self._write_days(manifest, last, days)
-
-    def _write_days(self, manifest: BatchTable, batch_id: int, days: set[int]) -> None:
-        done = [(day, batch_id) for day in sorted(days)]
-        manifest.write(batch_id, literal_rows(self.spark, done, MANIFEST_SCHEMA))
-
-    def _partials(self, generation: int) -> BatchTable:
-        path = f"{self.state}/gen={generation}/partials"
-        return BatchTable(
-            self.spark, path, DAILY_SCHEMA, lambda rows: merge_partials(rows, DAILY_KEYS)
-        )
-
-    def _manifest(self, generation: int) -> BatchTable:
-        path = f"{self.state}/gen={generation}/manifest"
-        return BatchTable(self.spark, path, MANIFEST_SCHEMA, first_batches)
+    def _logged_batch(self, batch: DataFrame, batch_id: int, generation: int) -> None:
+        try:
+            self.apply_batch(batch, batch_id, generation)
+        except Exception:
+            append_run(self.spark, self.log_path, self.job, "failed", batch_id)
+            raise
 
     def _stream(self) -> DataFrame:
         if not files.exists(self.spark, self.landing):
@@ -191,21 +105,23 @@ class IncrementalAggregation:
         reader = (
             self.spark.readStream.option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.csv")
-            .option("maxFileAge", MAX_FILE_AGE)
+            .option("maxFileAge", self.max_file_age)
         )
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        if self.archive:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", self.archive)
         if self.columns:
-            source = csv_options(reader).schema(text_schema(self.columns)).csv(self.landing)
-            return source.withColumn("day", day_of_file())
+            source = csv_options(reader, keep_malformed=True).schema(malformed_schema(self.columns)).csv(self.landing)
+            return source.withColumn(ARRIVAL_DAY, day_of_file())
         return reader.text(self.landing).select(
-            "value", F.col("_metadata.file_path").alias("file"), day_of_file().alias("day")
+            "value", F.col("_metadata.file_path").alias("file"), day_of_file().alias(ARRIVAL_DAY)
         )
 
-    def _writer(self) -> DataStreamWriter:
+    def _writer(self, apply: Callable[[DataFrame, int, int], None]) -> DataStreamWriter:
         generation = self.generation()
         return (
             self._stream()
             .writeStream.option("checkpointLocation", f"{self.state}/gen={generation}/checkpoint")
-            .foreachBatch(lambda batch, batch_id: self.apply_batch(batch, batch_id, generation))
+            .foreachBatch(lambda batch, batch_id: apply(batch, batch_id, generation))
         )

@@ -37,14 +37,15 @@ def score_stream(
 def cache_stream(
     rows: DataFrame, store: ModelStore, cache: BatchTable, checkpoint: str
 ) -> DataStreamWriter:
-    """Keeps a cache of its own current: each micro-batch is scored with the newest model.
+    """Adds new rows to the cache: each micro-batch is scored with the newest model.
 
-    Start it with ``trigger(processingTime="20 seconds")`` for periodic refreshes, or with
-    ``trigger(availableNow=True)`` for a single one.
+    Rows scored by an older version stay at it; ``refresh_if_retrained`` scores them again, beside
+    this stream if need be. Start the stream with ``trigger(processingTime="20 seconds")``, or
+    with ``trigger(availableNow=True)`` for a single run.
     """
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         version = store.current()
-        refresh_cache(cache, predict(store.load(version), batch), version, batch_id)
+        refresh_cache(cache, predict(store.load(version), batch), version)
 
     return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply_batch)

@@ -12,7 +12,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from basketflow.operators.aggregate import basket_totals
+from basketflow.operators.aggregate import basket_ledger, basket_totals
+from basketflow.operators.serving import cache_rows, lookup
 from basketflow.plans.scoring import prediction_cache, score_and_cache
 from basketflow.plans.training import train_model
 from basketflow.queries.arrivals import COLUMNS, LATE_DAY, Arrivals
@@ -70,7 +71,10 @@ def main():
     baskets.write.option("header", True).csv(f"{base}/baskets")
     wide = lambda: read_csv(spark, f"{base}/baskets/*.csv", text_schema(baskets.columns))
     timings["csv_melt_aggregate"] = best(lambda: run(basket_totals(wide(), ORDER_IDS)))
+    timings["csv_sums_and_rejects"] = best(lambda: run(basket_ledger(wide(), ORDER_IDS)))
     timings["csv_split_by_weekday"] = best(lambda: write_day_folders(wide(), f"{base}/days"))
+    whole = lambda: read_csv(spark, f"{base}/baskets/*.csv", text_schema(baskets.columns), keep_malformed=True)
+    timings["csv_split_with_quarantine"] = best(lambda: write_day_folders(whole(), f"{base}/sorted"))
 
     arrivals = Arrivals(spark, SF_DIR, "bench")
     job = IncrementalAggregation(spark, arrivals.landing, arrivals.state, EVENT_IDS, COLUMNS)
@@ -102,6 +106,15 @@ def main():
         lambda: score_and_cache(spark, store, f"{base}/predictions", cache)
     )
 
+    # A lookup in a cache of many refreshes, before and after folding.
+    many = prediction_cache(spark, f"{base}/many")
+    predictions = spark.read.parquet(f"{base}/predictions/v=1/run=1")
+    for _ in range(60):
+        many.append(cache_rows(predictions, 1))
+    timings["lookup_in_60_batches"] = best(lambda: lookup(many.read(), "3:8:Brand#11").collect())
+    many.compact()
+    timings["lookup_in_folded_cache"] = best(lambda: lookup(many.read(), "3:8:Brand#11").collect())
+
     for name in QUERIES:
         timings[name] = best(lambda: run(REGISTRY[name][0](spark, SF_DIR)))
 

@@ -11,7 +11,10 @@ def test_all_jobs_in_turn(spark, folder, capfd):
     job("split", "@/orders.csv", "@/raw", "--quarantine", "@/bad")
     job("full", "@/raw", "@/aggregate", "--csv", "@/aggregate_csv")
     job("incremental", "@/raw", "@/state", "--csv", "@/incremental_csv")
-    job("highwater", "@/raw", "@/strict")
+    job("highwater", "@/raw", "@/strict", "--ids", "order_id,user_id,order_dow,order_hour_of_day")
+    job("train", "@/strict", "@/strict_models")
+    job("incremental", "@/raw", "@/drift", "--drift", "--quarantine", "@/drift_bad")
+    assert spark.read.parquet(f"{root}/drift_bad").count() == 0
     full = spark.read.parquet(f"{root}/aggregate")
     exported = spark.read.option("header", True).csv(f"{root}/incremental_csv")
     assert full.count() == exported.count() > 0
@@ -19,10 +22,30 @@ def test_all_jobs_in_turn(spark, folder, capfd):
     job("predict", "@/models", "@/predictions", "--csv", "@/predictions_csv")
     job("predict-cached", "@/models", "@/predictions", "@/cache")
     key = prediction_cache(spark, f"{root}/cache").read().first().key
-    job("get", "@/cache", key)
+    assert job("get", "@/cache", key) == 0 and job("get", "@/cache", "0:0:none") == 1
     job("keys", "@/cache")
-    assert key in capfd.readouterr().out
-    job("reset", "@/raw", "@/state")
+    printed = capfd.readouterr().out.splitlines()
+    assert set(printed) >= {r.key for r in prediction_cache(spark, f"{root}/cache").read().collect()}
+    job("keys", "@/cache", "@/keys_csv")
+    assert spark.read.option("header", True).csv(f"{root}/keys_csv").count() == prediction_cache(spark, f"{root}/cache").read().count()
+    job("train", "@/models", "--input", "@/aggregate")
+    job("refresh", "@/models", "@/predictions", "@/cache")
+    assert {r.model_version for r in prediction_cache(spark, f"{root}/cache").read().collect()} == {2}
+    job("predict", "@/models", "@/predictions", "--input", "@/aggregate", "--csv", "@/all_csv")
+    assert spark.read.option("header", True).csv(f"{root}/all_csv").count() == full.count()
+    job("compact-cache", "@/cache")
+    job("compact", "@/state")
+    job("reset", "@/state")
+
+
+def test_malformed_key_is_a_failure(spark, tmp_path, capsys):
+    assert main(["get", str(tmp_path), "no key"]) == 1
+    assert "MalformedKey" in capsys.readouterr().out
+
+
+def test_options_of_a_client():
+    args = arguments(["refresh", "m", "p", "c", "--client", "a:b", "--client-option", "host=h", "--client-option", "port=1", "--every", "20 seconds"])
+    assert dict(args.client_option) == {"host": "h", "port": "1"} and args.every == "20 seconds"
 
 
 def test_missing_input_is_a_failure(spark, tmp_path, capsys):

@@ -10,6 +10,7 @@ from basketflow.operators.aggregate import basket_totals
 from basketflow.plans.highwater import HighWaterAggregation
 from basketflow.queries.arrivals import COLUMNS, LATE_DAY, Arrivals
 from basketflow.queries.inputs import EVENT_IDS, event_baskets
+from basketflow.sources.baskets import ARRIVAL_DAY
 from basketflow.streaming.incremental import IncrementalAggregation
 from conftest import rows
 
@@ -41,7 +42,7 @@ def test_replayed_batch_does_not_count_twice(spark, folder):
     job = job_on(spark, root)
     job.run_available()
     before = rows(job.totals())
-    batch = spark.read.option("header", True).csv(f"{root}/landing/0").withColumn("day", F.lit(0))
+    batch = spark.read.option("header", True).csv(f"{root}/landing/0").withColumn(ARRIVAL_DAY, F.lit(0))
     job.apply_batch(batch, 0)
     job.apply_batch(batch, 0)
     assert rows(job.totals()) == before == [(0, 5, "fruit", 2)]
@@ -166,7 +167,95 @@ def test_compaction_on_the_way(spark, folder):
         folder(**{f"landing__{day}__a": HEADER + f"1,1,0,5,{day + 1},\n"})
         job.run_available()
     assert job.partials.base() == 3
+    assert job.partials.batches() == [2, 3, 4]
     job.partials.vacuum()
     assert job.partials.batches() == [4]
     assert rows(job.totals()) == [(0, 5, "fruit", 15)]
     assert rows(job.processed_days()) == [(d, d) for d in range(5)]
+
+
+def test_everything_left_out_is_listed(spark, folder):
+    lines = ["1,1,0,5,2,oops", "2,1,9,5,1,0", "3,1,x,5,1,", "4,1,0", "5,1,1,5,,", "6,1,2,late,3,3"]
+    root = folder(landing__0__a=HEADER + "\n".join(lines) + "\n", landing__3__a=HEADER + "7,1,3,5,1,\n")
+    want = [
+        ("0", "5", "bread", "oops", "items_not_numeric", 1),
+        ("2", "late", "bread", "3", "order_hour_not_integer", 1),
+        ("2", "late", "fruit", "3", "order_hour_not_integer", 1),
+        ("9", "5", "bread", "0", "order_dow_out_of_range", 1),
+        ("9", "5", "fruit", "1", "order_dow_out_of_range", 1),
+        ("x", "5", "fruit", "1", "order_dow_not_integer", 1),
+        (None, None, None, "4,1,0", "malformed_line", 1),
+    ]
+    jobs = [job_on(spark, root), HighWaterAggregation(spark, f"{root}/landing", f"{root}/strict", IDS)]
+    jobs.append(IncrementalAggregation(spark, f"{root}/landing", f"{root}/drift", IDS))
+    for job in jobs:
+        job.run_available() if isinstance(job, IncrementalAggregation) else job.run()
+        assert rows(job.quarantine()) == sorted(want, key=repr)
+        assert rows(job.totals()) == [(0, 5, "fruit", 2), (3, 5, "fruit", 1)]
+        assert sorted(r.day for r in job.processed_days().collect()) == [0, 3]
+
+
+def test_a_category_called_day(spark, folder):
+    header = HEADER.replace("bread", "day")
+    root = folder(landing__0__a=header + "1,1,0,5,2,7\n")
+    for columns in (header.strip().split(","), None):
+        job = IncrementalAggregation(spark, f"{root}/landing", f"{root}/state-{columns is None}", IDS, columns)
+        job.run_available()
+        assert rows(job.totals()) == [(0, 5, "day", 7), (0, 5, "fruit", 2)]
+
+
+def test_days_are_noted_whatever_the_compaction(spark, folder):
+    root = folder()
+    job = job_on(spark, root, compact_every=1)
+    folder(landing__0__a=HEADER + "1,1,0,5,2,\n", landing__1__a=HEADER + "1,1,1,5,0,\n", landing__2__a=HEADER)
+    job.run_available()
+    folder(landing__3__a=HEADER + "1,1,3,5,2,\n", landing__1__b=HEADER + "1,1,1,5,4,\n")
+    job.run_available()
+    job.compact()
+    assert rows(job.processed_days()) == [(0, 0), (1, 0), (2, 0), (3, 1)]
+    assert job.pending_days().count() == 0
+    assert rows(job.totals()) == [(0, 5, "fruit", 2), (1, 5, "fruit", 4), (3, 5, "fruit", 2)]
+
+
+def test_periodic_runs_note_days_without_sums(spark, folder):
+    root = folder(landing__0__a=HEADER + "1,1,0,5,0,\n")
+    job = job_on(spark, root)
+    query = job.run_every("1 seconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+        query.awaitTermination(30)
+    assert rows(job.processed_days()) == [(0, 0)] and job.pending_days().count() == 0
+
+
+def test_an_empty_file_does_not_stop_a_drifting_stream(spark, folder):
+    root = folder(landing__0__a="", landing__1__a=HEADER + "1,1,1,5,2,\n")
+    job = IncrementalAggregation(spark, f"{root}/landing", f"{root}/state", IDS)
+    assert job.run_available() == [0]
+    folder(landing__2__a="")
+    job.run_available()
+    assert rows(job.totals()) == [(1, 5, "fruit", 2)]
+
+
+def test_processed_files_can_be_archived(spark, folder, tmp_path):
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n")
+    job = job_on(spark, root, archive=str(tmp_path / "archive"))
+    job.run_available()
+    for day in (1, 2):
+        folder(**{f"landing__{day}__a": HEADER + f"1,1,{day},5,2,\n"})
+        job.run_available()
+    assert rows(job.totals()) == [(d, 5, "fruit", 2) for d in range(3)]
+
+
+def test_highwater_state_can_be_reset_and_read_like_the_other(spark, folder):
+    from basketflow.plans.state import AggregationState
+
+    root = folder(landing__3__a=HEADER + "1,1,3,5,2,\n")
+    job = HighWaterAggregation(spark, f"{root}/landing", f"{root}/state", IDS)
+    job.run()
+    assert rows(AggregationState(spark, f"{root}/state").totals()) == [(3, 5, "fruit", 2)]
+    job.reset()
+    assert job.mark() == -1 and job.run() == [3]
+    job.compact()
+    assert job.mark() == 3 and job.run() == []

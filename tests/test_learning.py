@@ -7,8 +7,16 @@ from basketflow.functions.keys import KEYS
 from basketflow.operators import serving
 from basketflow.operators.metrics import mean_squared_error, round_prediction
 from basketflow.operators.sampling import hash_split
-from basketflow.plans.scoring import predict, prediction_cache, refresh_cache, score, score_and_cache
-from basketflow.plans.training import ForestSettings, fit_forest, train_model
+from basketflow.plans.periodic import repeat, seconds
+from basketflow.plans.scoring import (
+    predict,
+    prediction_cache,
+    refresh_cache,
+    refresh_if_retrained,
+    score,
+    score_and_cache,
+)
+from basketflow.plans.training import ForestSettings, fit_forest, train_if_changed, train_model
 from basketflow.sinks.runlog import read_run_log
 from basketflow.sources.models import ModelStore
 from basketflow.streaming.scoring import cache_stream, read_fact_stream
@@ -34,7 +42,7 @@ def store(spark, totals, tmp_path_factory):
 
 
 def test_training_publishes_a_version(spark, store, totals):
-    assert store.current() == 1 and store.next_version() == 2
+    assert store.current() == 1 and store.versions() == [1]
     metrics = store.metrics().first()
     train, test = hash_split(totals)
     assert (metrics.n_train, metrics.n_test, metrics.n_unseen) == (train.count(), test.count(), 0)
@@ -85,7 +93,7 @@ def test_unpublished_versions_are_invisible(spark, tmp_path, totals):
     store.save_model(1, fit_forest(train, SMALL))
     with pytest.raises(ModelNotFound):
         store.current()
-    assert store.next_version() == 2
+    assert store.claim_version() == 2
 
 
 def test_no_rows_to_train_on(spark, tmp_path, totals):
@@ -191,3 +199,67 @@ def test_serving_a_hot_key_without_broadcast(spark):
         assert rows(served) == want and len(want) == 3000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_periodic_training_skips_what_is_known(spark, tmp_path, totals):
+    store, log = ModelStore(spark, str(tmp_path / "m")), str(tmp_path / "log")
+    inputs = [totals, totals.repartition(3).orderBy(F.desc("items")), totals.filter("order_dow < 6")]
+    trained = []
+    repeat(lambda: trained.append(train_if_changed(spark, inputs[len(trained)], store, SMALL, log)), "0.1 seconds", runs=3)
+    assert trained == [1, None, 2]
+    assert sorted(r.status for r in read_run_log(spark, log).collect()) == ["done", "done", "idle"]
+
+
+def test_intervals():
+    assert [seconds(t) for t in ("20 seconds", "1 minute", "0.5 hours")] == [20, 60, 1800]
+    with pytest.raises(ValueError):
+        seconds("soon")
+
+
+def test_cache_follows_a_new_model(spark, tmp_path, totals):
+    store, cache = ModelStore(spark, str(tmp_path / "m")), prediction_cache(spark, str(tmp_path / "cache"))
+    refresh = lambda: refresh_if_retrained(spark, store, str(tmp_path / "out"), cache)
+    train_model(spark, totals, store, SMALL)
+    assert refresh() == 1 and refresh() is None
+    keys = rows(cache.read().select("key"))
+    train_model(spark, totals, store, ForestSettings(num_trees=3, seed=7))
+    assert refresh() == 2 and refresh() is None
+    assert {r.model_version for r in cache.read().collect()} == {2}
+    assert set(keys) <= set(rows(cache.read().select("key")))
+
+
+def test_trainings_at_once_get_their_own_versions(spark, tmp_path, totals):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = ModelStore(spark, str(tmp_path / "m"))
+    with ThreadPoolExecutor(2) as pool:
+        versions = list(pool.map(lambda _: train_model(spark, totals, store, SMALL), range(2)))
+    assert sorted(versions) == store.versions() == [1, 2]
+
+
+def test_cache_is_folded_on_the_way(spark, tmp_path):
+    cache = prediction_cache(spark, str(tmp_path / "cache"))
+    schema = "order_dow int, order_hour_of_day int, category string, prediction int"
+    for version in range(1, 8):
+        refresh_cache(cache, spark.createDataFrame([(0, 1, "a", version)], schema), version, compact_every=3)
+    assert cache.base() == 5 and cache.batches() == [3, 4, 5, 6]
+    assert rows(cache.read()) == [("0:1:a", 0, 1, "a", 7, 7)]
+
+
+def test_a_batch_being_written_is_not_folded_over(spark, tmp_path):
+    from basketflow.sources import files
+
+    cache = prediction_cache(spark, str(tmp_path / "cache"))
+    schema = "order_dow int, order_hour_of_day int, category string, prediction int"
+    refresh_cache(cache, spark.createDataFrame([(0, 1, "a", 1)], schema), 1)
+    assert files.create(spark, f"{cache.path}/claims/1")
+    refresh_cache(cache, spark.createDataFrame([(0, 2, "a", 1)], schema), 1)
+    cache.compact()
+    assert cache.base() == 0 and cache.batches() == [0, 2] and cache.read().count() == 2
+
+
+def test_a_failed_training_is_logged(spark, tmp_path, totals):
+    log = str(tmp_path / "log")
+    with pytest.raises(EmptyInput):
+        train_model(spark, totals.limit(0), ModelStore(spark, str(tmp_path / "m")), run_log=log)
+    assert "failed" in [r.status for r in read_run_log(spark, log).collect()]

@@ -1,8 +1,22 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from basketflow.functions.quantity import fraction_part, is_positive, parse_int, quantity, whole_part
-from basketflow.operators.aggregate import positive_items, total_items
+from basketflow.functions.quantity import (
+    fraction_part,
+    is_positive,
+    large_part,
+    parse_int,
+    quantity,
+    whole_part,
+)
+from basketflow.operators.aggregate import (
+    finish_totals,
+    merge_partials,
+    overflowed_totals,
+    partial_totals,
+    positive_items,
+    total_items,
+)
 
 # text, quantity where it is kept, None where it is dropped
 CASES = [
@@ -26,9 +40,10 @@ CASES = [
     ("2147483647", 2147483647.0),
     ("2147483648", 2147483648.0),
     ("9007199254740991", 9007199254740991.0),
-    ("9007199254740992", None),
-    ("9999999999999999999", None),
-    ("99999999999999999999999", None),
+    ("9007199254740993", 9007199254740992.0),
+    ("9999999999999999999", 1e19),
+    ("99999999999999999999999", 1e23),
+    ("9" * 39, None),
     ("2.", 2.0),
     (".5", None),
 ]
@@ -77,3 +92,41 @@ def test_quantity_of_numbers(spark):
     df = spark.createDataFrame([(1.5,)], "q double")
     assert df.select(quantity(F.col("q"), T.DoubleType())).first()[0] == 1.5
     assert df.filter(is_positive(F.col("q"), T.DoubleType())).count() == 1
+
+
+SCHEMA = "order_dow int, order_hour_of_day int, category string, items string"
+
+
+def test_large_quantities_are_exact(spark):
+    text = T.StringType()
+    df = spark.createDataFrame([("9007199254740993.25",), ("999999",), ("1000000",), (" +0001000001",)], "items string")
+    got = df.select(
+        whole_part(F.col("items"), text).alias("w"),
+        large_part(F.col("items"), text).cast("string").alias("l"),
+        fraction_part(F.col("items"), text).cast("double").alias("f"),
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        (None, "9007199254740993", 0.25), (999999, None, None), (None, "1000000", None), (None, "1000001", None)
+    ]
+    odd = spark.createDataFrame([(1, 2, "c", "9007199254740993")] * 3 + [(1, 2, "c", "2")], SCHEMA)
+    assert total_items(odd).first()["items"] == 3 * 9007199254740993 + 2
+
+
+@pytest.mark.parametrize(("dtype", "value"), [("bigint", 2**62), ("decimal(38,2)", 2**62), ("double", 2.0**62)])
+def test_typed_totals_beyond_bigint_are_listed(spark, dtype, value):
+    df = spark.range(3).select(
+        F.lit(1).alias("order_dow"), F.lit(2).alias("order_hour_of_day"), F.lit("c").alias("category"),
+        F.lit(value).cast(dtype).alias("items"),
+    )
+    partials = merge_partials(partial_totals(df).unionByName(partial_totals(df)))
+    assert finish_totals(partials).count() == 0
+    assert [tuple(r) for r in overflowed_totals(partials).collect()] == [
+        ("1", "2", "c", str(6 * 2**62), "total_too_large", 6)
+    ]
+
+
+def test_totals_past_38_digits_do_not_stop_the_others(spark):
+    rows = [(1, 2, "c", "9" + "0" * 37)] * 20 + [(1, 2, "d", "5")]
+    partials = partial_totals(spark.createDataFrame(rows, SCHEMA))
+    assert [tuple(r) for r in finish_totals(partials).collect()] == [(1, 2, "d", 5)]
+    assert [tuple(r) for r in overflowed_totals(partials).collect()] == [("1", "2", "c", None, "total_too_large", 20)]

@@ -15,6 +15,7 @@ from basketflow.sinks.keyvalue import write_keyvalue
 from basketflow.sinks.runlog import append_run, read_run_log
 from basketflow.sources import files
 from basketflow.sources.baskets import (
+    ARRIVAL_DAY,
     MALFORMED,
     available_days,
     melt_drifting_files,
@@ -34,7 +35,7 @@ def test_first_day_missing(spark, folder):
     root = folder(**{"1__a": HEADER + "1,1,1,5,2,\n", "day=2__b": HEADER + "2,1,2,6,,3\n"})
     assert available_days(spark, root) == [1, 2]
     got = read_days(spark, root, range(7))
-    assert rows(got.select("order_id", "day")) == [("1", 1), ("2", 2)]
+    assert rows(got.select("order_id", ARRIVAL_DAY)) == [("1", 1), ("2", 2)]
 
 
 def test_no_day_at_all(spark, folder):
@@ -100,7 +101,7 @@ def test_export_is_one_file_even_when_empty(spark, tmp_path):
     path = str(tmp_path / "out")
     df = spark.range(100).repartition(5).select("id", F.lit("a,b").alias("text"))
     for frame, lines in ((df, 101), (df.limit(0), 1)):
-        export_csv(frame, path)
+        export_csv(frame, path, single_file=True)
         parts = [p for p in os.listdir(path) if p.endswith(".csv")]
         assert len(parts) == 1
         assert len(open(f"{path}/{parts[0]}").read().splitlines()) == lines
@@ -116,8 +117,8 @@ def test_day_folders_keep_all_columns(spark, tmp_path, rebalance):
     write_day_folders(df, path, rebalance=rebalance)
     assert available_days(spark, path) == list(range(7))
     back = read_days(spark, path, range(7))
-    assert rows(back.drop("day")) == rows(df.filter("order_dow < 7"))
-    assert back.filter("day <> order_dow").count() == 0
+    assert rows(back.drop(ARRIVAL_DAY)) == rows(df.filter("order_dow < 7"))
+    assert back.filter(f"{ARRIVAL_DAY} <> order_dow").count() == 0
 
 
 def test_split_then_full_aggregation(spark, folder):
@@ -132,8 +133,8 @@ def test_split_then_full_aggregation(spark, folder):
     want = [(0, 5, "bread", 2), (0, 5, "fruit", 5), (6, 23, "bread", 4)]
     assert rows(totals) == want
     assert rows(read_csv(spark, f"{root}/csv/*.csv")) == [tuple(map(str, r)) for r in want]
-    assert rows(spark.read.parquet(f"{root}/bad_cells").select("items", "reason")) == [
-        ("oops", "items_not_numeric")
+    assert rows(spark.read.parquet(f"{root}/bad_cells").select("items", "reason", "cells")) == [
+        ("oops", "items_not_numeric", 1)
     ]
     assert rows(basket_totals(read_csv(spark, f"{root}/orders.csv"), IDS)) == want
 
@@ -216,3 +217,69 @@ def test_working_dir_follows_the_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = working_dir(spark, "a"), working_dir(spark, "a")
     assert first.startswith(base) and first != second
+
+
+def test_each_line_goes_to_one_folder_as_it_was(spark, folder):
+    lines = ["1,1,0, 05 ,2,", "2,1,0,5", "3,1,0,5,2,1,9", "4,1,x,5,1,1", "5,1,3,late,1,1", "6,1,,5,1,1", '7,1,6,5,"1",2', "8,1,,,,"]
+    root = folder(orders=HEADER + "\n".join(lines) + "\n")
+    split_orders(spark, f"{root}/orders.csv", f"{root}/raw", quarantine=f"{root}/bad", run_log=f"{root}/log")
+    kept = read_days(spark, f"{root}/raw", range(7))
+    assert rows(kept.select(*IDS)) == [("1", "1", "0", " 05 "), ("7", "1", "6", "5")]
+    bad = spark.read.parquet(f"{root}/bad")
+    assert rows(bad.select("order_id", MALFORMED, "reason")) == sorted([
+        (None, "2,1,0,5", "malformed_line"), (None, "3,1,0,5,2,1,9", "malformed_line"),
+        ("4", None, "order_dow_not_integer"), ("5", None, "order_hour_not_integer"),
+        ("6", None, "order_dow_missing"), ("8", None, "order_dow_missing"),
+    ], key=repr)
+    assert [r.status for r in read_run_log(spark, f"{root}/log").collect()] == ["done"]
+    with pytest.raises(EmptyInput):
+        split_orders(spark, f"{root}/none.csv", f"{root}/raw2", run_log=f"{root}/log")
+    assert sorted(r.status for r in read_run_log(spark, f"{root}/log").collect()) == ["done", "failed"]
+
+
+def test_day_folders_are_root_paths(spark, folder):
+    root = folder(**{f"{d}__{f}": HEADER + f"1,1,{d},5,2,\n" for d in range(3) for f in "abcd"})
+    scan = read_days(spark, root, range(3))
+    assert scan.count() == 12
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "(3 paths)" in plan or plan.count(f"{root}/") <= 3
+
+
+def test_typed_keys_are_pushed_down(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("int(id) AS order_dow", "id AS order_hour_of_day", "1 AS a").write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = valid_keys(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for bound in ("GreaterThanOrEqual(order_dow,0)", "LessThanOrEqual(order_dow,6)", "IsNotNull(order_hour_of_day)"):
+        assert bound in plan
+
+
+def test_drifting_files_without_header_or_rows(spark, folder):
+    root = folder(a=HEADER + "1,1,0,5,2,\n", empty="", other="x,y\n1,2\n")
+    facts = melt_drifting_files(spark, f"{root}/*.csv", IDS)
+    assert rows(total_items(valid_keys(facts))) == [(0, 5, "fruit", 2)]
+    assert melt_drifting_files(spark, f"{root}/empty.csv", IDS).count() == 0
+
+
+def test_two_writers_never_share_a_batch(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    frame = spark.createDataFrame([(1,)], "v int")
+    table = BatchTable(spark, str(tmp_path / "t"), frame.schema, lambda df: df)
+    with ThreadPoolExecutor(4) as pool:
+        batches = list(pool.map(lambda _: table.append(frame), range(8)))
+    assert sorted(batches) == list(range(8)) and table.rows().count() == 8
+
+
+def test_run_log_is_folded(spark, tmp_path):
+    from basketflow.sinks.runlog import compact_run_log, logged_run
+
+    path = str(tmp_path / "log")
+    with pytest.raises(ZeroDivisionError), logged_run(spark, path, "job"):
+        1 / 0
+    for _ in range(4):
+        append_run(spark, path, "job", "idle")
+    compact_run_log(spark, path, at_least=3)
+    assert sorted(r.status for r in read_run_log(spark, path).collect()) == ["failed", "idle", "idle", "idle", "idle"]
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
