@@ -325,6 +325,7 @@ def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFram
     best = roots.join(least, "fingerprint").groupBy("root").agg(F.min("at").alias("best"))
     best = keep(best.select(F.col("best.doc_id").alias("best_id"), F.col("best.row").alias("best_row")), "best")
     whole = docs.select(F.struct(*columns).alias("document"), F.col("doc_id").alias("id"), row)
-    chosen = whole.join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("row") == F.col("best_row")))
-    # Only rows that are equal in all columns still share a key and a hash.
-    return chosen.dropDuplicates(["id", "row"]).select("document.*")
+    # By the hash alone, so that one shuffle serves the join and the removal of equal rows.
+    same_id = F.coalesce(F.col("id") == F.col("best_id"), F.col("id").isNull() & F.col("best_id").isNull())
+    chosen = whole.join(best, F.col("row") == F.col("best_row")).where(same_id)
+    return chosen.dropDuplicates(["row"]).select("document.*")
