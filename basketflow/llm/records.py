@@ -2,9 +2,9 @@
 
 A record is framed as
     length of the payload   8 bytes, little-endian
-    masked CRC-32C of them  4 bytes
+    masked CRC-32 of them   4 bytes
     payload                 16 bytes of header (``HEADER``), then the ids, 2 or 4 bytes each
-    masked CRC-32C of it    4 bytes
+    masked CRC-32 of it     4 bytes
 and the index file holds the offset of every record and the end of the file, 8 bytes each.
 
 A folder of records is what its manifest lists: a Parquet table with a row per file, written by
@@ -24,7 +24,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm.crc32c import Crc32c, masked
 from basketflow.llm.tables import documents
 from basketflow.llm.tokenize import Encoder
 from basketflow.session import working_dir
@@ -48,56 +47,68 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (key if known else None), ids.astype("<u4")
 
 
-class Framing:
-    """Puts payloads into frames and takes them out, checking both checksums."""
-
-    def __init__(self):
-        self.crc = Crc32c()
-
-    def frame(self, payload: bytes) -> bytes:
-        length = struct.pack("<Q", len(payload))
-        head = struct.pack("<I", masked(self.crc.of_8(length)))
-        return b"".join((length, head, payload, struct.pack("<I", masked(self.crc.of(payload)))))
-
-    def parse(self, data: bytes, at: int = 0) -> tuple[bytes, int]:
-        """The payload that starts at an offset, and the offset after it."""
-        size, head = struct.unpack_from("<QI", data, at)
-        payload = data[at + 12 : at + 12 + size]
-        if head != masked(self.crc.of_8(data[at : at + 8])) or len(payload) < size:
-            raise ValueError(f"damaged length at offset {at}")
-        (tail,) = struct.unpack_from("<I", data, at + 12 + size)
-        if tail != masked(self.crc.of(payload)):
-            raise ValueError(f"damaged record at offset {at}")
-        return payload, at + FRAME + size
-
-    def payloads(self, path: str) -> Iterator[bytes]:
-        """The payloads of a file in order, read in pieces."""
-        fs, name = open_uri(path)
-        with fs.open_input_stream(name) as stream:
-            rest, at = b"", 0
-            while True:
-                while len(rest) - at >= FRAME:
-                    size, head = struct.unpack_from("<QI", rest, at)
-                    if head != masked(self.crc.of_8(rest[at : at + 8])):
-                        raise ValueError(f"{path}: damaged length")
-                    if len(rest) - at < FRAME + size:
-                        break
-                    payload, at = self.parse(rest, at)
-                    yield payload
-                more = stream.read(WRITE_AT)
-                if not more:
-                    if at < len(rest):
-                        raise ValueError(f"{path} ends within a record")
-                    return
-                rest, at = rest[at:] + more, 0
-
-    def read_at(self, path: str, begin: int, end: int) -> tuple[int | None, list[int]]:
-        """The record between two offsets of an index."""
-        fs, name = open_uri(path)
-        with fs.open_input_file(name) as file:
-            payload, _ = self.parse(file.read_at(end - begin, begin))
-        key, ids = unpack(payload)
-        return key, ids.tolist()
+MASK_DELTA = 0xA282EAD8
+
+
+def masked(data: bytes) -> int:
+    """The CRC-32 of some bytes, rotated and shifted.
+
+    The mask keeps a checksum over data that holds checksums of its own a good one.
+    """
+    checksum = zlib.crc32(data)
+    return ((checksum >> 15 | checksum << 17) + MASK_DELTA) & 0xFFFFFFFF
+
+
+def frame(payload: bytes) -> bytes:
+    length = struct.pack("<Q", len(payload))
+    return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
+
+
+def parse(data: bytes, at: int = 0) -> tuple[bytes, int] | None:
+    """The payload that starts at an offset and the offset after it; None if it is not all there.
+
+    Both checksums must hold.
+    """
+    if len(data) - at < FRAME:
+        return None
+    size, head = struct.unpack_from("<QI", data, at)
+    if head != masked(data[at : at + 8]):
+        raise ValueError(f"damaged length at offset {at}")
+    end = at + FRAME + size
+    if len(data) < end:
+        return None
+    payload = data[at + 12 : end - 4]
+    if struct.unpack_from("<I", data, end - 4) != (masked(payload),):
+        raise ValueError(f"damaged record at offset {at}")
+    return payload, end
+
+
+def payloads(path: str) -> Iterator[bytes]:
+    """The payloads of a file in order, read in pieces."""
+    fs, name = open_uri(path)
+    with fs.open_input_stream(name) as stream:
+        rest, at = b"", 0
+        while True:
+            while found := parse(rest, at):
+                payload, at = found
+                yield payload
+            more = stream.read(WRITE_AT)
+            if not more:
+                if at < len(rest):
+                    raise ValueError(f"{path} ends within a record")
+                return
+            rest, at = rest[at:] + more, 0
+
+
+def read_at(path: str, begin: int, end: int) -> tuple[int | None, list[int]]:
+    """The record between two offsets of an index."""
+    fs, name = open_uri(path)
+    with fs.open_input_file(name) as file:
+        found = parse(file.read_at(end - begin, begin))
+    if found is None:
+        raise ValueError(f"{path} has no record from {begin} to {end}")
+    key, ids = unpack(found[0])
+    return key, ids.tolist()
 
 
 # Writing
@@ -155,7 +166,6 @@ class RecordWriter:
     """One record file and its index."""
 
     def __init__(self, stem: str):
-        self.framing = Framing()
         self.path = f"{stem}.rec"
         self.stem = stem
         fs, path = open_uri(self.path)
@@ -169,7 +179,7 @@ class RecordWriter:
         return len(self.offsets) - 1
 
     def append(self, payload: bytes) -> None:
-        framed = self.framing.frame(payload)
+        framed = frame(payload)
         self.waiting.append(framed)
         self.size += len(framed)
         self.pending += len(framed)
@@ -232,14 +242,13 @@ def _per_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def _reader(of_ids, kind: pa.DataType):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        framing = Framing()
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _rows(framing, row)
+                yield from _rows(row)
 
-    def _rows(framing: Framing, row: dict) -> Iterator[pa.RecordBatch]:
+    def _rows(row: dict) -> Iterator[pa.RecordBatch]:
         start, found, size, position = row["base"], [], 0, -1
-        for position, payload in enumerate(framing.payloads(row["path"])):
+        for position, payload in enumerate(payloads(row["path"])):
             key, ids = unpack(payload)
             found.append((row["shard"], position, start, key, of_ids(ids)))
             start += len(ids)
@@ -284,11 +293,8 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in spans.split(", ")])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        framing = Framing()
         for batch in batches:
-            found = [
-                (r["shard"], r["position"], *framing.read_at(r["path"], r["begin"], r["end"])) for r in batch.to_pylist()
-            ]
+            found = [(r["shard"], r["position"], *read_at(r["path"], r["begin"], r["end"])) for r in batch.to_pylist()]
             types = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["shard", "position", "key", "ids"])
