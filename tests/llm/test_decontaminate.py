@@ -65,7 +65,7 @@ def test_edited_passages_equal_brute_force(spark, docs_of, monkeypatch, scan):
 
     items = [(n, text(rng.randrange(12, 130))) for n in range(6)] + [(6, "short"), (7, None), (8, ""), (None, text(40))]
     docs = [(1, None), (2, ""), (3, "tiny")]
-    for n in range(4, 60):
+    for n in range(4, 30):
         sought = list(rng.choice(items[:6])[1])
         for _ in range(rng.randrange(0, int(len(sought) * 0.12) + 1)):
             at = rng.randrange(len(sought))
