@@ -30,6 +30,13 @@ TYPES = {
 # Linking
 
 
+def left_join(df: DataFrame, other: DataFrame, key: str, to: str) -> DataFrame:
+    """A left join; rows without a key stay where they are instead of meeting in one task."""
+    known = df.where(F.col(key).isNotNull()).join(other, F.col(key) == F.col(to), "left")
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in other.dtypes]
+    return known.unionByName(df.where(F.col(key).isNull()).select("*", *nothing))
+
+
 def one_per_id(rows: DataFrame, columns: list[str]) -> DataFrame:
     """One row per ``call_id``: the least by ``columns``; ``copies`` and ``conflict`` tell of others."""
     values = F.struct(*columns)
@@ -86,14 +93,14 @@ def depths(calls: DataFrame) -> DataFrame:
     on one another in a circle, and those that build on them, have no depth (null).
     """
     there = calls.select(F.col("call_id").alias("_there"))
-    hops = calls.join(there, calls.after == there["_there"], "left").select(
+    hops = left_join(calls, there, "after", "_there").select(
         "call_id", F.col("_there").alias("to"), F.when(F.col("_there").isNull(), 0).otherwise(1).cast("long").alias("depth")
     )
     hops = keep(hops, "hops")
     longest, reach = hops.count(), 1
     while reach <= longest and hops.where("to IS NOT NULL").take(1):
         way = hops.select(F.col("call_id").alias("_id"), F.col("to").alias("_to"), F.col("depth").alias("_depth"))
-        joined = hops.join(way, F.col("to") == F.col("_id"), "left")
+        joined = left_join(hops, way, "to", "_id")
         hops = keep(
             joined.select("call_id", F.col("_to").alias("to"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")),
             "hops",
@@ -155,14 +162,15 @@ def from_turns(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     systems = one_per_id(turns.where("role = 'system'").select(F.col("id-1").alias("call_id"), "text"), ["text"])
     systems = systems.where("call_id IS NOT NULL").select(F.col("call_id").alias("_id"), F.col("text").alias("_system"))
     arguments = F.struct(F.col("_system").alias("system"), "text", "turn")
-    calls = users.join(systems, F.col("id0") == F.col("_id"), "left").select(
+    calls = left_join(users, systems, "id0", "_id").select(
         F.col("id0").alias("call_id"), F.lit("reply").alias("name"), F.to_json(arguments).alias("arguments"), F.col("id2").alias("after")
     )
+    # System turns that no user's turn follows.
     asked = users.select(F.col("id0").alias("_asked")).where("_asked IS NOT NULL").distinct()
-    rest = turns.where("role IS NULL OR role <> 'user'")
-    lead = F.coalesce(F.col("role") == "system", F.lit(False))
-    rest = rest.join(asked, F.when(lead, F.col("id-1")) == F.col("_asked"), "left").where("_asked IS NULL")
-    results = rest.select(F.when(F.col("role") == "assistant", F.col("id1")).otherwise(F.concat(F.col("id0"), F.lit("!"))).alias("call_id"), F.col("text").alias("output"))
+    alone = turns.where("role = 'system'").join(asked, F.col("id-1") == F.col("_asked"), "left_anti")
+    rest = turns.where("role IS NULL OR role NOT IN ('user', 'system')").unionByName(alone)
+    answered = F.when(F.col("role") == "assistant", F.col("id1")).otherwise(F.concat(F.col("id0"), F.lit("!")))
+    results = rest.select(answered.alias("call_id"), F.col("text").alias("output"))
     return calls, results
 
 
@@ -175,7 +183,7 @@ def format_calls(calls: DataFrame, results: DataFrame, tools: dict[str, Schema])
     linked = keep(link(calls, results), "linked")
     ordered = depths(linked.where("call_id IS NOT NULL AND status <> 'orphan'").select("call_id", "after"))
     ordered = ordered.withColumnRenamed("call_id", "_id")
-    rows = linked.join(ordered, F.col("call_id") == F.col("_id"), "left").drop("_id")
+    rows = left_join(linked, ordered, "call_id", "_id").drop("_id")
     orphan = F.col("status") == "orphan"
     checked = F.when(orphan, F.array(F.lit("no call"))).otherwise(problems(F.col("name"), F.col("arguments"), tools))
     parsed = F.try_parse_json("arguments")
