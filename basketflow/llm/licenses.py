@@ -1,7 +1,11 @@
 """License notices in texts: MinHash bands over overlapping windows, then exact containment.
 
 A text and a template are sequences of lower-case words without punctuation; shingles are five
-words. Templates of like length share a class with windows of ``span`` words every ``stride``
+words. A template of fewer words is one shingle, of its own length: it has a class of its own whose
+windows are as long as the template and start at every word. Such a window is the template or
+shares nothing with it, so the bands of its one shingle all say the same and one is looked up.
+
+Templates of like length share a class with windows of ``span`` words every ``stride``
 words: any stretch of words as long as the longest template of the class lies within one window.
 Each window has a MinHash signature of ``BANDS`` bands of ``ROWS`` values; a template that shares
 a band with a window is its candidate. If the window holds ``CONTAINMENT`` of a template's shingles,
@@ -28,7 +32,8 @@ MOST_MISSED = 1e-3
 SCAN_WORDS = 1 << 16
 FILTER_BITS = 16
 
-# Notices by the identifier of the license they announce.
+# Notices by the identifier of the license they announce. Of the AGPL, LGPL and GPL 2
+# only the words that tell them from their relatives: too few are shared to count as contained.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
@@ -38,12 +43,36 @@ TEMPLATES = {
         'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
         "the specific language governing permissions and limitations under the License."
     ),
+    "AGPL-3.0-header": "GNU Affero General Public License as published by the Free Software Foundation",
     "BSD-2-Clause": "Use of this source code is governed by a BSD 2-Clause license that can be found in the LICENSE file.",
     "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "BSD-2-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution."
+    ),
+    "BSD-3-Clause-text": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "EPL-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"
+    ),
+    "GPL-2.0": "GNU General Public License, version 2.",
+    "GPL-2.0-header": (
+        "GNU General Public License as published by the Free Software Foundation; either version 2 of the License"
+    ),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -51,6 +80,15 @@ TEMPLATES = {
         "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
     ),
+    "ISC": "Released under the ISC License.",
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "LGPL-2.1-header": (
+        "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"
+    ),
+    "LGPL-header": "GNU Lesser General Public License as published by the Free Software Foundation",
     "MIT": "Released under the MIT License.",
     "MIT-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -63,11 +101,25 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."
+    ),
 }
+# Notices of fewer words than a shingle, and tags. The tag alone stands for identifiers not listed.
+_TAGGED = (
+    "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0",
+    "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense",
+)
+NOTICES = {
+    "All-rights-reserved": "All rights reserved.",
+    "SPDX": "SPDX-License-Identifier:",
+} | {f"SPDX-{name}": f"SPDX-License-Identifier: {name}" for name in _TAGGED}
 
 
-def shingles(words: list[bytes]) -> list[tuple[bytes, ...]]:
-    return [tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
+def shingles(words: list[bytes], size: int = SHINGLE) -> list[tuple[bytes, ...]]:
+    return [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
 def least_similarity(shortest: int, span: int, share: float = CONTAINMENT) -> float:
@@ -108,6 +160,15 @@ class Templates:
         self.shifts = rng.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64)
         self.hashes = WordHashes()
         words = {name: plain_words(text.encode()) for name, text in sorted(texts.items())}
+        # Templates of fewer words than a shingle, by their length and words.
+        self.short: dict[int, dict[tuple[bytes, ...], list[str]]] = {}
+        for name, own in words.items():
+            if 0 < len(own) < SHINGLE:
+                self.short.setdefault(len(own), {}).setdefault(tuple(own), []).append(name)
+        self.short_bands = {
+            n: self._seen(self._mixed(np.concatenate([self._hashed(self.hashes.of(list(own)), n) for own in known])))
+            for n, known in self.short.items()
+        }
         self.names = [name for name, own in words.items() if len(own) >= SHINGLE]
         self.shingles = [set(shingles(words[name])) for name in self.names]
         length = np.array([len(words[name]) for name in self.names], np.int64)
@@ -120,18 +181,31 @@ class Templates:
             band = np.concatenate(values, axis=1).ravel() if values else np.zeros(0, np.uint64)
             template = np.tile(own, BANDS)
             order = np.argsort(band, kind="stable")
-            seen = np.zeros(1 << FILTER_BITS, bool)
-            seen[(band >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.bands.append((band[order], template[order], seen))
+            self.bands.append((band[order], template[order], self._seen(band)))
+
+    @staticmethod
+    def _seen(band: np.ndarray) -> np.ndarray:
+        seen = np.zeros(1 << FILTER_BITS, bool)
+        seen[(band >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        return seen
+
+    @staticmethod
+    def _hashed(words: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of shingles of ``size`` words, over the hashes of a text's words."""
+        n = len(words) - size + 1
+        whole = words[:n]
+        for at in range(1, size):
+            whole = (whole ^ (whole >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + words[at : at + n]
+        return whole ^ (whole >> np.uint64(29))
+
+    @staticmethod
+    def _mixed(whole: np.ndarray) -> np.ndarray:
+        """The band of a short template: of one shingle, the least value is its own."""
+        return whole * np.uint64(0xD6E8FEB86659FD93)
 
     def _values(self, words: np.ndarray) -> np.ndarray:
         """Hash functions by shingles, over the hashes of a text's words."""
-        n = len(words) - SHINGLE + 1
-        whole = words[:n]
-        for at in range(1, SHINGLE):
-            whole = (whole ^ (whole >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + words[at : at + n]
-        whole = whole ^ (whole >> np.uint64(29))
-        return ((whole * self.factors + self.shifts) >> np.uint64(32)).astype(np.uint32)
+        return ((self._hashed(words, SHINGLE) * self.factors + self.shifts) >> np.uint64(32)).astype(np.uint32)
 
     def _bands(self, least: np.ndarray) -> np.ndarray:
         """Bands by windows: the values of a band and its number in one well-mixed number."""
@@ -148,22 +222,36 @@ class Templates:
         window, which starts at the first word given.
         """
         words = plain_words(text)
+        hashes = self.hashes.of(words)
         best: dict[int, tuple[float, int]] = {}
         hits: dict[int, int] = {}
-        for number, begin in self._candidates(words):
+        for number, begin in self._candidates(words, hashes):
             _, _, span, _ = self.classes[number[0]]
             own = self.shingles[number[1]]
             found = len(own.intersection(shingles(words[begin : begin + span]))) / len(own)
             if found >= self.share - 1e-9:
                 hits[number[1]] = hits.get(number[1], 0) + 1
                 best[number[1]] = max(best.get(number[1], (0.0, 0)), (found, -begin))
-        return [(self.names[t], -begin, hits[t], found) for t, (found, begin) in sorted(best.items())]
-
-    def _candidates(self, words: list[bytes]) -> Iterator[tuple[tuple[int, int], int]]:
+        long = [(self.names[t], -begin, hits[t], found) for t, (found, begin) in sorted(best.items())]
+        return long + self._short_ones(words, hashes)
+
+    def _short_ones(self, words: list[bytes], hashes: np.ndarray) -> list[tuple[str, int, int, float]]:
+        """As ``search``, for templates of fewer words than a shingle."""
+        places: dict[str, list[int]] = {}
+        for n, known in self.short.items():
+            if len(words) < n:
+                continue
+            band = self._mixed(self._hashed(hashes, n))
+            likely = np.flatnonzero(self.short_bands[n][(band >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+            for i in likely.tolist():
+                for name in known.get(tuple(words[i : i + n]), ()):
+                    places.setdefault(name, []).append(i)
+        return [(name, at[0], len(at), 1.0) for name, at in sorted(places.items())]
+
+    def _candidates(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[tuple[int, int], int]]:
         """``((class, template), first word)`` for each window and template that share a band."""
         if len(words) < SHINGLE:
             return
-        hashes = self.hashes.of(words)
         widest = max((span for _, _, span, _ in self.classes), default=0)
         for at in range(0, len(words), SCAN_WORDS):
             values = None
@@ -214,13 +302,15 @@ FOUND = "doc_id long, license string, first_word int, windows int, containment d
 
 
 def licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, share: float = CONTAINMENT, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, templates: dict[str, str] = TEMPLATES | NOTICES, share: float = CONTAINMENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``(doc_id, license, first_word, windows, containment)`` for each template in each row.
 
-    A template of fewer than five words has no shingles and is not searched for. Null and empty
-    texts hold nothing; rows with equal keys are searched on their own. Templates are parameters,
-    so what a task keeps of them does not grow with the data.
+    A template of fewer than five words is found where all its words stand in a row; one without
+    words is not searched for. One notice may hold several templates (a GPL 3 header is most of an
+    AGPL header); the containment tells which is whole. Null and empty texts hold nothing; rows
+    with equal keys are searched on their own. Templates are parameters, so what a task keeps of
+    them does not grow with the data.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
 

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -86,3 +87,46 @@ def test_empty_tables_and_templates(spark, docs_of):
     assert l.licenses(docs_of([])).count() == 0
     assert l.licenses(docs_of([(1, "a b c d e")]), {}).count() == 0
     assert l.licenses(docs_of([(1, "a b c d")]), {"short": "a b c d"}).count() == 0
+
+
+def test_short_templates_have_a_class_of_their_own(spark, docs_of):
+    rows = [
+        (1, "Text.\nAll rights reserved.\nMore, ALL RIGHTS RESERVED"),
+        (2, "// SPDX-License-Identifier: MIT"),
+        (3, "SPDX-License-Identifier: Custom-1.0"),
+        (4, "all rights are reserved"),
+        (5, "reserved"),
+        (6, None),
+        (None, "all rights reserved"),
+    ]
+    got = sorted((str(r.doc_id), r.license, r.first_word, r.windows, r.containment) for r in l.licenses(docs_of(rows)).collect())
+    assert got == [
+        ("1", "All-rights-reserved", 1, 2, 1.0),
+        ("2", "SPDX", 0, 1, 1.0),
+        ("2", "SPDX-MIT", 0, 1, 1.0),
+        ("3", "SPDX", 0, 1, 1.0),
+        ("None", "All-rights-reserved", 0, 1, 1.0),
+    ]
+    pair = l.licenses(docs_of([(1, "x a b c d")]), {"one": "a", "same": "A.", "four": "a b c d", "none": "..."}).collect()
+    assert sorted((r.license, r.first_word) for r in pair) == [("four", 1), ("one", 1), ("same", 1)]
+
+
+def test_common_licenses_are_known_by_their_own_words():
+    known = l.Templates(l.TEMPLATES | l.NOTICES, l.CONTAINMENT)
+    for name, text in (l.TEMPLATES | l.NOTICES).items():
+        assert (name, 1.0) in {(hit[0], hit[3]) for hit in known.search(f"before it {text} after it".encode())}
+    for version, license in (("2", "GPL-2.0"), ("3", "GPL-3.0-header")):
+        header = l.TEMPLATES["GPL-3.0-header"].replace("version 3", f"version {version}")
+        names = {hit[0] for hit in known.search(header.encode()) if hit[3] == 1.0}
+        assert names == ({"GPL-2.0-header"} if version == "2" else {license})
+
+
+def test_every_planted_line_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    planted = docs.where("text RLIKE '(?i)licen[sc]e|rights reserved|spdx'").select("doc_id")
+    hits = l.op5_licenses(spark, "/root/testdata/sf0.1").collect()
+    got = {r.doc_id for r in hits}
+    assert {r.doc_id for r in planted.collect()} == got and len(got) == 328
+    assert Counter(r.license for r in hits) == {
+        "All-rights-reserved": 66, "Apache-2.0": 57, "CC-BY-NC-4.0": 63, "GPL-3.0": 79, "MIT": 63,
+    }
