@@ -152,6 +152,7 @@ def melt_drifting_files(
     spark: SparkSession,
     path: str | list[str],
     id_columns: Sequence[str] = ("order_dow", "order_hour_of_day"),
+    rejects: bool = False,
 ) -> DataFrame:
     """``melt_drifting_lines`` over CSV files."""
     try:
@@ -160,7 +161,7 @@ def melt_drifting_files(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise EmptyInput(str(path)) from error
         raise
-    return melt_drifting_lines(lines.select("value", F.col("_metadata.file_path").alias("file")), id_columns)
+    return melt_drifting_lines(lines.select("value", F.col("_metadata.file_path").alias("file")), id_columns, rejects=rejects)
 
 
 def line_width(line: str) -> int:
@@ -177,14 +178,15 @@ def melt_drifting_lines(
     """Long facts from CSV lines (``file``, ``value``) whose files differ in their headers.
 
     Columns may come in any order, and any column but ``id_columns`` is a category. A file's
-    header is the line that names all id columns; a file without one has no rows. Files are
+    header is the line that names all id columns; a file without one has no facts. Files are
     joined to their headers by a hash of the path, two numbers per file, which Spark broadcasts
     while that is small; the headers that differ, a few, are literals. ``keep`` names further
     columns of ``lines`` to retain.
 
     A line with fewer or more fields than its file's header has no facts. With ``rejects`` it
-    comes as one row, its text as ``items`` and ``fault`` saying so, and every other line comes
-    with one more row that has neither category nor fault.
+    comes as one row, its text as ``items`` and the ``fault`` ``malformed_line``, and so does every
+    line of a file without a header, its first too, with ``header_missing``; every other line
+    comes with one more row that has neither category nor fault.
     """
     is_header = F.lit(True)
     for name in id_columns:
@@ -200,7 +202,8 @@ def melt_drifting_lines(
 
     named = found.select("of", "header").distinct()
     cells = lines.filter(~is_header & (F.col("value") != "")).withColumn("of", F.xxhash64("file"))
-    joined = cells.join(named, "of").withColumn("cells", fields(F.col("value")))
+    # Without rejects, lines that have no header have no facts and need not be kept.
+    joined = cells.join(named, "of", "left" if rejects else "inner").withColumn("cells", fields(F.col("value")))
     names = F.lit(None).cast("array<string>")
     for code, line in headers.items():
         # A column without a name is no category, but it has its place.
@@ -211,24 +214,25 @@ def melt_drifting_lines(
     ids = [F.get("cells", F.array_position("names", name).cast("int") - 1).alias(name) for name in id_columns]
     # Quoted commas make a line look longer, never shorter; beyond the header a cell tells.
     known = F.size("names")
-    bad = (F.size(F.split("value", ",")) < known) | F.get("cells", known).isNotNull()
+    headless = F.col("header").isNull()
+    bad = headless | (F.size(F.split("value", ",")) < known) | F.get("cells", known).isNotNull()
     pair = lambda name, cell: F.struct(name.cast("string").alias("names"), cell.cast("string").alias("cells"))
     whole = F.arrays_zip("names", F.slice("cells", F.lit(1), known).alias("cells"))
     if rejects:
         line = F.array(pair(F.lit(None), F.col("value")))
+        fault = F.when(headless, "header_missing").when(bad, "malformed_line")
         cell = F.when(bad, line).otherwise(F.concat(whole, F.array(pair(F.lit(""), F.lit(None)))))
     else:
         cell = whole
         joined = joined.filter(~bad)
-    facts = joined.select(*keep, *ids, F.explode(cell).alias("cell")).select(
-        *keep, *id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items")
+        fault = F.lit(None).cast("string")
+    facts = joined.select(*keep, *ids, fault.alias("fault"), F.explode(cell).alias("cell")).select(
+        *keep, *id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items"), "fault"
     )
     named = F.col("category").isNotNull() & (F.col("category") != "") & ~F.col("category").isin(*id_columns)
     if not rejects:
-        return facts.filter(named)
-    fault = F.when(F.col("category").isNull(), "malformed_line")
+        return facts.drop("fault").filter(named)
     return (
-        facts.withColumn("fault", fault)
-        .filter(named | F.col("fault").isNotNull() | (F.col("category") == ""))
+        facts.filter(named | F.col("fault").isNotNull() | (F.col("category") == ""))
         .withColumn("category", F.nullif("category", F.lit("")))
     )

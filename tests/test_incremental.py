@@ -259,3 +259,22 @@ def test_highwater_state_can_be_reset_and_read_like_the_other(spark, folder):
     assert job.mark() == -1 and job.run() == [3]
     job.compact()
     assert job.mark() == 3 and job.run() == []
+
+
+def test_lines_without_a_header_are_rejects_of_a_drifting_stream(spark, folder):
+    wrong = "order_id,user_id,Order_Dow,order_hour_of_day,fruit\n1,1,0,5,2\n\n2,1,0,5,3\n"
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n1,1\n", landing__0__b="9,9\n")
+    job = IncrementalAggregation(spark, f"{root}/landing", f"{root}/state", IDS)
+    job.run_available()
+    # A batch in which no file has a header.
+    folder(landing__1__a=wrong)
+    job.run_available()
+    assert rows(job.totals()) == [(0, 5, "fruit", 2)]
+    assert rows(job.processed_days()) == [(0, 0), (1, 1)]
+    assert rows(job.quarantine().select("items", "reason", "cells")) == [
+        ("1,1", "malformed_line", 1),
+        ("1,1,0,5,2", "header_missing", 1),
+        ("2,1,0,5,3", "header_missing", 1),
+        ("9,9", "header_missing", 1),
+        ("order_id,user_id,Order_Dow,order_hour_of_day,fruit", "header_missing", 1),
+    ]

@@ -262,6 +262,12 @@ def test_drifting_files_without_header_or_rows(spark, folder):
     assert melt_drifting_files(spark, f"{root}/empty.csv", IDS).count() == 0
 
 
+def test_lines_of_drifting_files_without_header_are_rejects(spark, folder):
+    root = folder(a=HEADER + "1,1,0,5,2,\n", empty="", other="x,y\n1,2\n")
+    facts = melt_drifting_files(spark, f"{root}/*.csv", IDS, rejects=True)
+    assert rows(facts.filter("fault IS NOT NULL").select("items", "fault")) == [("1,2", "header_missing"), ("x,y", "header_missing")]
+
+
 def test_two_writers_never_share_a_batch(spark, tmp_path):
     from concurrent.futures import ThreadPoolExecutor
 
