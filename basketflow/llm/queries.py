@@ -1,6 +1,6 @@
 """Name -> (query, SQL or None) of the operators in this subpackage."""
 
-from basketflow.llm import chat, decontaminate, licenses, mixing, quality, records, sharding, simhash, suffix_dedup, toxicity
+from basketflow.llm import bpe, chat, decontaminate, licenses, mixing, quality, records, sharding, simhash, suffix_dedup, toxicity
 
 REGISTRY = {
     "op1_token_records": (records.op1_token_records, None),
@@ -13,4 +13,5 @@ REGISTRY = {
     "op8_suffix_dedup": (suffix_dedup.op8_suffix_dedup, None),
     "op9_tool_calls": (chat.op9_tool_calls, chat.OP9_SQL),
     "op10_simhash": (simhash.op10_simhash, None),
+    "op13_byte_bpe": (bpe.op13_byte_bpe, None),
 }
