@@ -37,8 +37,3 @@ def folder(tmp_path):
         return str(tmp_path)
 
     return write
-
-
-def rows(df):
-    """The rows of a DataFrame as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

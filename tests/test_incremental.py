@@ -12,7 +12,7 @@ from basketflow.queries.arrivals import COLUMNS, LATE_DAY, Arrivals
 from basketflow.queries.inputs import EVENT_IDS, event_baskets
 from basketflow.sources.baskets import ARRIVAL_DAY
 from basketflow.streaming.incremental import IncrementalAggregation
-from conftest import rows
+from support import rows
 
 SF = "/root/testdata/sf0.001"
 HEADER = "order_id,user_id,order_dow,order_hour_of_day,fruit,bread\n"

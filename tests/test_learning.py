@@ -20,7 +20,7 @@ from basketflow.plans.training import ForestSettings, fit_forest, train_if_chang
 from basketflow.sinks.runlog import read_run_log
 from basketflow.sources.models import ModelStore
 from basketflow.streaming.scoring import cache_stream, read_fact_stream
-from conftest import rows
+from support import rows
 
 SMALL = ForestSettings(num_trees=5)
 
@@ -237,6 +237,57 @@ def test_trainings_at_once_get_their_own_versions(spark, tmp_path, totals):
     assert sorted(versions) == store.versions() == [1, 2]
 
 
+def test_claims_at_once_are_never_shared(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = ModelStore(spark, str(tmp_path / "m"))
+    cache = prediction_cache(spark, str(tmp_path / "cache"))
+    schema = "key string, order_dow int, order_hour_of_day int, category string, prediction int, model_version int"
+    row = spark.createDataFrame([("0:1:a", 0, 1, "a", 5, 1)], schema).coalesce(1)
+
+    def training(_):
+        version = store.claim_version()
+        row.write.parquet(f"{store.root}/v={version}/split")  # an existing folder is an error
+        return version
+
+    with ThreadPoolExecutor(2) as pool:
+        versions = [v for _ in range(50) for v in pool.map(training, range(2))]
+        batches = [b for _ in range(50) for b in pool.map(lambda _: cache.append(row), range(2))]
+    assert len(set(versions)) == len(set(batches)) == 100
+    assert sorted(batches) == cache.batches() and cache.rows().count() == 100
+
+
+def test_a_claim_waits_for_one_begun_before(spark, tmp_path, monkeypatch):
+    from basketflow.sources import files
+
+    monkeypatch.setattr(files, "PATIENCE", 0.5)
+    folder = str(tmp_path / "claims")
+    files.create(spark, f"{folder}/choosing/someone-who-died")
+    assert [files.claim_number(spark, folder, lambda: 4) for _ in range(2)] == [5, 6]
+    # A ticket of the same number that sorts first keeps it.
+    files.create(spark, f"{folder}/7-0")
+    assert files.claim_number(spark, folder, lambda: 6) == 8
+
+
+def test_refresh_goes_key_by_key(spark, tmp_path, totals):
+    store, cache = ModelStore(spark, str(tmp_path / "m")), prediction_cache(spark, str(tmp_path / "cache"))
+    refresh = lambda **more: refresh_if_retrained(spark, store, str(tmp_path / "out"), cache, **more)
+    train_model(spark, totals, store, SMALL)
+    assert refresh() == 1
+    train_model(spark, totals, store, ForestSettings(num_trees=3, seed=7))
+    one = cache.read().limit(1).select(*KEYS, F.lit(None).cast("bigint").alias("items"))
+    refresh_cache(cache, predict(store.load(2), one), 2)
+    assert {r.model_version for r in cache.read().collect()} == {1, 2}
+    assert refresh() == 2 and {r.model_version for r in cache.read().collect()} == {2}
+    assert refresh() is None
+    # Rows named by the caller: only those the cache lacks at this version, null keys too.
+    more = totals.limit(0).unionByName(spark.createDataFrame([(0, 1, None, None), (0, 1, "c1", 1)], totals.schema))
+    known = cache.read().filter("category = 'c1' and order_dow = 0 and order_hour_of_day = 1").count()
+    before = cache.rows().count()
+    assert refresh(rows=more) == 2 and cache.rows().count() == before + 2 - known
+    assert refresh(rows=more) is None
+
+
 def test_cache_is_folded_on_the_way(spark, tmp_path):
     cache = prediction_cache(spark, str(tmp_path / "cache"))
     schema = "order_dow int, order_hour_of_day int, category string, prediction int"

@@ -15,7 +15,7 @@ from basketflow.operators.aggregate import (
 from basketflow.operators.quality import quarantined_baskets, quarantined_cells
 from basketflow.operators.reshape import category_columns, melt_baskets, valid_keys
 from basketflow.operators.sampling import hash_split
-from conftest import rows
+from support import rows
 
 IDS = ["order_id", "user_id", "order_dow", "order_hour_of_day"]
 

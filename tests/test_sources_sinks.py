@@ -25,7 +25,7 @@ from basketflow.sources.baskets import (
     union_days,
 )
 from basketflow.sources.tables import BatchTable
-from conftest import rows
+from support import rows
 
 HEADER = "order_id,user_id,order_dow,order_hour_of_day,fruit,bread\n"
 IDS = ["order_id", "user_id", "order_dow", "order_hour_of_day"]
