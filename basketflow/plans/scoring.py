@@ -1,5 +1,7 @@
 """Batch scoring, the predictions table and the prediction cache."""
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -9,7 +11,6 @@ from ..operators.serving import cache_rows, latest_per_key
 from ..sinks.csv import export_csv
 from ..sinks.keyvalue import write_keyvalue
 from ..sinks.runlog import logged_run
-from ..sources import files
 from ..sources.models import ModelStore
 from ..sources.tables import BatchTable
 
@@ -52,14 +53,14 @@ def score(
 ) -> DataFrame:
     """Score ``rows`` (by default the test set kept with the model) into ``output``.
 
-    Every run gets a folder of its own, ``v=N/run=K``, so one that repeats a score does not
+    Every run gets a folder of its own, ``v=N/run=ID``, so one that repeats a score does not
     pull files from under a reader. Returns the predictions as stored.
     """
     with logged_run(spark, run_log, "score") as log:
         version = store.current() if version is None else version
         model = store.load(version)
         rows = store.split(version, "test") if rows is None else rows
-        path = _own_run(spark, f"{output}/v={version}")
+        path = f"{output}/v={version}/run={uuid.uuid4().hex}"
         predict(model, rows).write.mode("overwrite").parquet(path)
         predictions = spark.read.parquet(path)
         if csv_output:
@@ -68,14 +69,6 @@ def score(
     return predictions
 
 
-def _own_run(spark: SparkSession, root: str) -> str:
-    """A folder ``run=K`` that no run before or beside this one has."""
-    run = max(files.numbered_dirs(spark, root, prefix="run="), default=0) + 1
-    while not files.create(spark, f"{root}/_claims/{run}"):
-        run += 1
-    return f"{root}/run={run}"
-
-
 def score_and_cache(
     spark: SparkSession,
     store: ModelStore,
@@ -116,9 +109,11 @@ def refresh_cache(
         cache.compact()
 
 
-def cached_version(cache: BatchTable) -> int:
-    """The newest model version in the cache, 0 if it is empty."""
-    return cache.rows().agg(F.coalesce(F.max("model_version"), F.lit(0))).first()[0]
+def not_at_version(rows: DataFrame, cached: DataFrame, version: int) -> DataFrame:
+    """Rows whose key has no prediction of this version or a later one in the cache."""
+    current = cached.filter(F.col("model_version") >= version).select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+    return rows.join(current, same, "left_anti")
 
 
 def refresh_if_retrained(
@@ -130,20 +125,24 @@ def refresh_if_retrained(
     run_log: str | None = None,
     **more,
 ) -> int | None:
-    """Score and cache again if a newer model version was published; returns that version.
+    """Score and cache what is not yet at the published version; returns it, or None if all is.
 
     ``rows`` are the rows the cache serves; without them, the version's test set and every key
-    that is in the cache already, so no key stays at an older version.
+    that is in the cache already. Key by key: what a stream or another refresh has brought to
+    this version meanwhile is not scored again, and no key stays behind because others are ahead.
     """
     version = store.current()
-    if version <= cached_version(cache):
+    cached = cache.read().select(*KEYS, "model_version")
+    if rows is None:
+        test = store.split(version, "test").select(*KEYS, "items")
+        behind = cached.filter(F.col("model_version") < version).select(*KEYS, F.lit(None).cast("bigint").alias("items"))
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+        others = behind.join(test.select(*[F.col(k).alias(f"_{k}") for k in KEYS]), same, "left_anti")
+        rows = test.unionByName(others)
+    stale = not_at_version(rows, cached, version)
+    if stale.isEmpty():
         with logged_run(spark, run_log, "refresh") as log:
             log("idle")
         return None
-    if rows is None:
-        known = cache.read().select(*KEYS)
-        rows = store.split(version, "test").select(*KEYS, "items")
-        old = known.join(rows.select(*KEYS), [*KEYS], "left_anti").withColumn("items", F.lit(None).cast("bigint"))
-        rows = rows.unionByName(old)
-    score_and_cache(spark, store, output, cache, rows, version, run_log=run_log, **more)
+    score_and_cache(spark, store, output, cache, stale, version, run_log=run_log, **more)
     return version

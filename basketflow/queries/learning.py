@@ -241,12 +241,37 @@ def cache_after_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cache_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream brings the keys of one weekday to version 2, a refresh all others; then none is left."""
+    store = trained(spark, sf_dir, "cache_mixed_versions")
+    base = f"{store.root}-stream"
+    cache = prediction_cache(spark, f"{store.root}-cache")
+    refresh = lambda: refresh_if_retrained(spark, store, f"{store.root}-predictions", cache)
+    refresh()
+    totals = order_totals(spark, sf_dir)
+    train_model(spark, totals, store, ForestSettings(seed=7, num_trees=10))
+    store.split(1, "test").filter("order_dow = 3").write.parquet(f"{base}/rows")
+    writer = cache_stream(read_fact_stream(spark, f"{base}/rows"), store, cache, f"{base}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    first, second = refresh(), refresh()
+    expected = predict(store.load(2), totals).select(*KEYS, F.col("prediction").alias("expected"))
+    return cache.read().join(expected, [*KEYS]).select(
+        "key",
+        "model_version",
+        F.expr("prediction <=> expected").alias("agrees"),
+        F.lit(f"{first}, then {second}").alias("refreshed"),
+    )
+
+
 CACHE_AFTER_RETRAIN_SQL = f"""
     SELECT concat_ws(':', order_dow, order_hour_of_day, category) AS key, 2 AS model_version, TRUE AS agrees
     FROM (SELECT * FROM ({TEST_SQL}) UNION SELECT * FROM ({split_sql(ORDER_TOTALS_SQL, "test", 7)}))
 """
 
 
+CACHE_MIXED_SQL = f"SELECT *, '2, then None' AS refreshed FROM ({CACHE_AFTER_RETRAIN_SQL})"
+
+
 def _agreement(cache: BatchTable, predictions: DataFrame) -> DataFrame:
     expected = predictions.select(*KEYS, F.col("prediction").alias("expected"))
     return (
@@ -278,5 +303,6 @@ QUERIES = {
     "rf_cache": (rf_cache, RF_CACHE_SQL),
     "stream_cache": (stream_cache, RF_CACHE_SQL),
     "cache_after_retrain": (cache_after_retrain, CACHE_AFTER_RETRAIN_SQL),
+    "cache_mixed_versions": (cache_mixed_versions, CACHE_MIXED_SQL),
     "stream_score": (stream_score, f"SELECT *, TRUE AS as_batch FROM ({TEST_SQL})"),
 }

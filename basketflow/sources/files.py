@@ -1,6 +1,8 @@
 """Directory listings on whatever file system a path names (local, HDFS, object store)."""
 
 import time
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -31,8 +33,15 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+# How long a claim waits for another one that was begun before and not finished.
+PATIENCE = 30.0
+
+
 def create(spark: SparkSession, path: str) -> bool:
-    """Create an empty file; false if it is there already, so of several callers one succeeds."""
+    """Create an empty file; false if it is there already.
+
+    Not every file system lets only one of several callers succeed; see ``claim_number``.
+    """
     fs, hadoop_path = _file_system(spark, path)
     fs.mkdirs(hadoop_path.getParent())
     try:
@@ -44,10 +53,55 @@ def create(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def older(spark: SparkSession, path: str, seconds: float) -> bool:
-    """Whether a file was last changed more than so many seconds ago."""
-    fs, hadoop_path = _file_system(spark, path)
-    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000 > seconds
+def claim_number(spark: SparkSession, folder: str, taken: Callable[[], int]) -> int:
+    """A number above ``taken()`` and all claims in ``folder`` that no other caller gets.
+
+    Needs no exclusive create or rename, only listings that show finished writes. A ticket is a
+    file ``N-id``, its name the caller's own. Whoever draws one shows that with a file in
+    ``choosing`` until the ticket is there; after it, everyone seen choosing is waited for. Then all
+    tickets with the same number can be seen, and the least id keeps it; others draw again.
+    A caller that died while choosing holds others up for ``PATIENCE`` seconds, and one that takes half
+    of that itself begins anew.
+    """
+    me = uuid.uuid4().hex
+    choosing = f"{folder}/choosing"
+    while True:
+        begun = time.monotonic()
+        create(spark, f"{choosing}/{me}")
+        number = max(taken(), *_tickets(spark, folder), -1) + 1
+        in_time = time.monotonic() - begun < PATIENCE / 2
+        if in_time:
+            create(spark, f"{folder}/{number}-{me}")
+        remove_dir(spark, f"{choosing}/{me}")
+        if not in_time:
+            continue
+        before, asked = set(glob(spark, f"{choosing}/*")), time.monotonic()
+        while before and time.monotonic() - asked < PATIENCE:
+            time.sleep(0.02)
+            before &= set(glob(spark, f"{choosing}/*"))
+        if min(_tickets(spark, folder)[number]) == me:
+            return number
+        me = uuid.uuid4().hex
+
+
+def claimed_numbers(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(_tickets(spark, folder))
+
+
+def _tickets(spark: SparkSession, folder: str) -> dict[int, list[str]]:
+    """The ids of the tickets for each number."""
+    found: dict[int, list[str]] = {}
+    for path in glob(spark, f"{folder}/*"):
+        number, _, owner = path.rsplit("/", 1)[-1].partition("-")
+        if number.isdecimal():
+            found.setdefault(int(number), []).append(owner)
+    return found
+
+
+def older(spark: SparkSession, pattern: str, seconds: float) -> bool:
+    """Whether all files that match were last changed more than so many seconds ago."""
+    fs, path = _file_system(spark, pattern)
+    return all(time.time() - status.getModificationTime() / 1000 > seconds for status in fs.globStatus(path) or [])
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:

@@ -31,10 +31,11 @@ class ModelStore:
 
     def claim_version(self) -> int:
         """A version of one's own: trainings that run at once get different ones."""
-        version = max(files.numbered_dirs(self.spark, self.root, prefix="v="), default=0) + 1
-        while not files.create(self.spark, f"{self._dir(version)}/_claim"):
-            version += 1
-        return version
+        return files.claim_number(
+            self.spark,
+            f"{self.root}/claims",
+            lambda: max(files.numbered_dirs(self.spark, self.root, prefix="v="), default=0),
+        )
 
     def versions(self) -> list[int]:
         return files.numbered_dirs(

@@ -58,15 +58,11 @@ class BatchTable:
 
     def append(self, rows: DataFrame) -> int:
         """Write ``rows`` as a batch of their own; no two writers get the same number."""
-        while True:
-            batch = max([self.base(), *self.batches()], default=-1) + 1
-            batch = max(batch, self._claimed() + 1)
-            if files.create(self.spark, f"{self.path}/claims/{batch}"):
-                self.write(batch, rows)
-                return batch
-
-    def _claimed(self) -> int:
-        return max(files.numbered_dirs(self.spark, f"{self.path}/claims"), default=-1)
+        batch = files.claim_number(
+            self.spark, f"{self.path}/claims", lambda: max([self.base(), *self.batches()], default=-1)
+        )
+        self.write(batch, rows)
+        return batch
 
     def read_batch(self, batch: int) -> DataFrame:
         return self._read(f"{self.path}/batches/batch={batch}")
@@ -114,9 +110,9 @@ class BatchTable:
         """
         done, base = self.batches(), self.base()
         last = max(done, default=-1)
-        claims = files.numbered_dirs(self.spark, f"{self.path}/claims")
+        claims = files.claimed_numbers(self.spark, f"{self.path}/claims")
         waiting = [
-            c for c in set(claims) - set(done) if c > base and not files.older(self.spark, f"{self.path}/claims/{c}", 86400)
+            c for c in set(claims) - set(done) if c > base and not files.older(self.spark, f"{self.path}/claims/{c}{{,-*}}", 86400)
         ]
         upto = min([last, *[c - 1 for c in waiting]])
         if upto > base:
@@ -129,9 +125,10 @@ class BatchTable:
         for batch in self.batches():
             if batch <= upto:
                 files.remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
-        for claim in files.numbered_dirs(self.spark, f"{self.path}/claims"):
+        for claim in files.claimed_numbers(self.spark, f"{self.path}/claims"):
             if claim < upto:
-                files.remove_dir(self.spark, f"{self.path}/claims/{claim}")
+                for ticket in files.glob(self.spark, f"{self.path}/claims/{claim}{{,-*}}"):
+                    files.remove_dir(self.spark, ticket)
         for old in files.numbered_dirs(self.spark, f"{self.path}/base", prefix="upto="):
             if old < upto:
                 files.remove_dir(self.spark, f"{self.path}/base/upto={old}")

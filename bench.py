@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from basketflow.operators.aggregate import basket_ledger, basket_totals
 from basketflow.operators.serving import cache_rows, lookup
-from basketflow.plans.scoring import prediction_cache, score_and_cache
+from basketflow.plans.scoring import prediction_cache, score, score_and_cache
 from basketflow.plans.training import train_model
 from basketflow.queries.arrivals import COLUMNS, LATE_DAY, Arrivals
 from basketflow.queries.inputs import EVENT_IDS, ORDER_IDS, order_baskets, order_totals
@@ -108,7 +108,7 @@ def main():
 
     # A lookup in a cache of many refreshes, before and after folding.
     many = prediction_cache(spark, f"{base}/many")
-    predictions = spark.read.parquet(f"{base}/predictions/v={store.current()}/run=1")
+    predictions = score(spark, store, f"{base}/predictions")
     for _ in range(20):
         many.append(cache_rows(predictions, 1))
     timings["lookup_in_20_batches"] = best(lambda: lookup(many.read(), "3:8:Brand#11").collect(), runs=2)
