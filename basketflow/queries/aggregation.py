@@ -1,6 +1,6 @@
 """Reshape, filter, aggregate, CSV and quarantine queries."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.keys import KEYS
 from ..functions.quantity import quantity
@@ -8,6 +8,7 @@ from ..operators.aggregate import (
     basket_ledger,
     basket_totals,
     basket_totals_by_column,
+    facts_ledger,
     ledger_rejects,
     ledger_totals,
     positive_items,
@@ -319,6 +320,56 @@ SCHEMA_DRIFT_SQL = f"""
     GROUP BY ALL
 """
 
+def schema_drift_repeated_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per weekday made of two exports, one after the other, with other column orders.
+
+    Some lines stand before the first header, one kind of event is a column of the second export
+    only, a header is repeated in between, and a note spells out the names of the id columns.
+    """
+    path = working_dir(spark, "schema_drift_repeated_header")
+    first = [*EVENT_IDS, "click", "error", "view"]
+    second = ["note", *reversed(EVENT_TYPES), *EVENT_IDS]
+    baskets = event_baskets(spark, sf_dir).withColumn("note", F.lit(f"a field,{','.join(EVENT_IDS)},no header"))
+    part = F.when(F.col("event_id") % 50 == 0, 0).when(F.col("event_id") % 3 == 0, 1).otherwise(2)
+    quoted_note = F.concat(F.lit('"'), "note", F.lit('"'))
+
+    def line(columns: list[str]) -> Column:
+        texts = [quoted_note if c == "note" else F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+        return F.concat_ws(",", *texts)
+
+    lines = baskets.select(
+        F.col("order_dow").alias("day"),
+        part.alias("part"),
+        (F.col("event_id") + 1).alias("place"),
+        F.when(part < 2, line(first)).otherwise(line(second)).alias("value"),
+    )
+    headers = [(1, 0, ",".join(first)), (1, 1000, ",".join(first)), (2, 0, ",".join(second))]
+    places = F.array(
+        *[F.struct(F.lit(p).alias("part"), F.lit(i).cast("bigint").alias("place"), F.lit(v).alias("value")) for p, i, v in headers]
+    )
+    whole = lines.unionByName(lines.select("day").distinct().select("day", F.inline(places)))
+    ordered = whole.repartition("day").sortWithinPartitions("day", "part", "place")
+    ordered.select("day", "value").write.partitionBy("day").text(path)
+    ledger = facts_ledger(melt_drifting_files(spark, f"{path}/*/*.txt", EVENT_IDS, rejects=True))
+    lost = ledger_rejects(ledger).groupBy("reason").agg(F.sum("cells").alias("items"))
+    none = F.lit(None).cast("int")
+    return ledger_totals(ledger).unionByName(
+        lost.select(none.alias("order_dow"), none.alias("order_hour_of_day"), F.col("reason").alias("category"), "items")
+    )
+
+
+SCHEMA_DRIFT_REPEATED_SQL = f"""
+    WITH facts AS (
+        SELECT *, CASE WHEN event_id % 50 = 0 THEN 0 WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS part
+        FROM ({EVENT_FACTS_SQL})
+    )
+    SELECT order_dow, order_hour_of_day, category, CAST(sum(items) AS BIGINT) AS items
+    FROM facts WHERE items > 0 AND (part = 2 OR (part = 1 AND category IN ('click', 'error', 'view')))
+    GROUP BY ALL
+    UNION ALL SELECT NULL, NULL, 'header_missing', count(*) FROM facts WHERE part = 0
+    UNION ALL SELECT NULL, NULL, 'items_not_numeric', count(*) FROM facts WHERE part = 2
+"""
+
 QUERIES = {
     "agg_full": (agg_full, ORDER_TOTALS_SQL),
     "agg_full_by_column": (agg_full_by_column, ORDER_TOTALS_SQL),
@@ -339,4 +390,5 @@ QUERIES = {
     "agg_large_quantities": (agg_large_quantities, AGG_LARGE_SQL),
     "split_orders_malformed": (split_orders_malformed, SPLIT_MALFORMED_SQL),
     "schema_drift": (schema_drift, SCHEMA_DRIFT_SQL),
+    "schema_drift_repeated_header": (schema_drift_repeated_header, SCHEMA_DRIFT_REPEATED_SQL),
 }

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import EmptyInput
+from ..session import working_dir
 from . import files
 
 # A day folder is called ``3`` or ``day=3``.
@@ -161,12 +162,29 @@ def melt_drifting_files(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise EmptyInput(str(path)) from error
         raise
-    return melt_drifting_lines(lines.select("value", F.col("_metadata.file_path").alias("file")), id_columns, rejects=rejects)
+    return melt_drifting_lines(lines.select("value", *line_place()), id_columns, rejects=rejects)
 
 
-def line_width(line: str) -> int:
-    """How many fields a header has."""
-    return len(next(csv.reader([line])))
+def line_place() -> list[Column]:
+    """``file`` and ``block`` of a line: its file, and where the part of it begins that a task reads."""
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+
+
+def header_fields(line: str) -> list[str]:
+    return next(csv.reader([line]))
+
+
+# A comma with an even number of quotes after it.
+FIELD_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _may_be_header(id_columns: Sequence[str]) -> Column:
+    """Whether a line has all names among its fields; most lines fail the first, cheap look."""
+    names = F.array(*[F.lit(name.strip('"')) for name in id_columns])
+    fields = F.transform(F.split("value", FIELD_END), lambda f: F.replace(F.trim(f, F.lit('"')), F.lit('""'), F.lit('"')))
+    return F.when(
+        F.contains("value", F.lit(id_columns[0].replace('"', '""'))), F.size(F.array_except(names, fields)) == 0
+    ).otherwise(False)
 
 
 def melt_drifting_lines(
@@ -174,40 +192,67 @@ def melt_drifting_lines(
     id_columns: Sequence[str] = ("order_dow", "order_hour_of_day"),
     keep: Sequence[str] = (),
     rejects: bool = False,
+    headers_at: str | None = None,
 ) -> DataFrame:
-    """Long facts from CSV lines (``file``, ``value``) whose files differ in their headers.
+    """Long facts from CSV lines (``file``, ``block``, ``value``) whose files differ in their headers.
 
-    Columns may come in any order, and any column but ``id_columns`` is a category. A file's
-    header is the line that names all id columns; a file without one has no facts. Files are
-    joined to their headers by a hash of the path, two numbers per file, which Spark broadcasts
-    while that is small; the headers that differ, a few, are literals. ``keep`` names further
-    columns of ``lines`` to retain.
+    Columns may come in any order, and any column but ``id_columns`` is a category. A header is a
+    line that has all id columns among its fields; it holds for the lines after it in its file, up
+    to the next one, so exports may follow each other in a file. Lines before the first header have
+    no facts, nor do files without one. The text is read twice: the first pass writes headers and
+    their places to ``headers_at`` (default: a working folder). Files are joined to theirs by
+    a hash of the path, an array per file, which Spark broadcasts while that is small; the
+    headers that differ, a few, are literals. ``keep`` names further columns of ``lines`` to retain.
 
-    A line with fewer or more fields than its file's header has no facts. With ``rejects`` it
+    A line with fewer or more fields than its header has no facts. With ``rejects`` it
     comes as one row, its text as ``items`` and the ``fault`` ``malformed_line``, and so does every
-    line of a file without a header, its first too, with ``header_missing``; every other line
+    line without a header, with ``header_missing``; every other line
     comes with one more row that has neither category nor fault.
     """
-    is_header = F.lit(True)
-    for name in id_columns:
-        is_header = is_header & F.contains("value", F.lit(name))
-    found = lines.filter(is_header).select(F.xxhash64("file").alias("of"), F.xxhash64("value").alias("header"), "value")
-    headers = {r.header: r.value for r in found.select("header", "value").distinct().collect()}
-    width = max(map(line_width, headers.values()), default=1)
+    spark = lines.sparkSession
+    # Numbers ascend within a block, and are the same whenever the lines are read.
+    placed = lines.withColumn("line", F.monotonically_increasing_id())
+    headers_at = headers_at or working_dir(spark, "headers")
+    likely = placed.filter(_may_be_header(id_columns)).select(
+        F.xxhash64("file").alias("of"), F.struct("block", "line").alias("at"), F.xxhash64("value").alias("header"), "value"
+    )
+    likely.write.mode("overwrite").parquet(headers_at)
+    likely = spark.read.schema(likely.schema).parquet(headers_at)
+    headers = {
+        r.header: r.value
+        for r in likely.select("header", "value").distinct().collect()
+        if set(id_columns) <= set(header_fields(r.value))
+    }
+    width = max((len(header_fields(line)) for line in headers.values()), default=1)
 
     def fields(line: Column) -> Column:
-        # One field more than any header has, so that surplus cells show.
+        # One field more than any header has, so that surplus cells show. The lambda keeps the
+        # optimizer from parsing a line anew for every field of the struct.
         parsed = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width + 1)))
-        return F.array(*[parsed[f"c{i}"] for i in range(width + 1)])
+        quoted = F.transform(F.array(parsed), lambda p: F.array(*[p[f"c{i}"] for i in range(width + 1)]))
+        return F.when(F.contains(line, F.lit('"')), F.get(quoted, F.lit(0))).otherwise(F.split(line, ","))
 
-    named = found.select("of", "header").distinct()
-    cells = lines.filter(~is_header & (F.col("value") != "")).withColumn("of", F.xxhash64("file"))
+    in_file = likely.filter(F.col("header").isin(*headers)).groupBy("of").agg(
+        F.sort_array(F.collect_list(F.struct("at", "header"))).alias("all")
+    )
+    # A header that repeats the one before it in its file changes nothing.
+    new = lambda mark, i: (i == 0) | (mark["header"] != F.get("all", i - 1)["header"])
+    marks = in_file.select("of", F.filter("all", new).alias("marks"))
+    is_header = F.contains("value", F.lit(id_columns[0])) & F.col("value").isin(*headers.values())
+    cells = placed.filter(~is_header & (F.col("value") != "")).withColumn("of", F.xxhash64("file"))
     # Without rejects, lines that have no header have no facts and need not be kept.
-    joined = cells.join(named, "of", "left" if rejects else "inner").withColumn("cells", fields(F.col("value")))
+    here, only = F.struct("block", "line"), F.get("marks", F.lit(0))
+    past = F.filter("marks", lambda mark: mark["at"] < here)
+    header = F.when(F.size("marks") == 1, F.when(only["at"] < here, only["header"])).otherwise(
+        F.get(past, F.size(past) - 1)["header"]
+    )
+    joined = cells.join(marks, "of", "left" if rejects else "inner").withColumns(
+        {"header": header, "cells": fields(F.col("value"))}
+    )
     names = F.lit(None).cast("array<string>")
     for code, line in headers.items():
         # A column without a name is no category, but it has its place.
-        parts = F.slice(fields(F.lit(line)), 1, line_width(line))
+        parts = F.slice(fields(F.lit(line)), 1, len(header_fields(line)))
         own = F.transform(parts, lambda c: F.coalesce(c, F.lit("")))
         names = F.when(F.col("header") == code, own).otherwise(names)
     joined = joined.withColumn("names", names)
@@ -215,7 +260,7 @@ def melt_drifting_lines(
     # Quoted commas make a line look longer, never shorter; beyond the header a cell tells.
     known = F.size("names")
     headless = F.col("header").isNull()
-    bad = headless | (F.size(F.split("value", ",")) < known) | F.get("cells", known).isNotNull()
+    bad = headless | (F.size(F.split("value", ",")) < known) | (F.coalesce(F.get("cells", known), F.lit("")) != "")
     pair = lambda name, cell: F.struct(name.cast("string").alias("names"), cell.cast("string").alias("cells"))
     whole = F.arrays_zip("names", F.slice("cells", F.lit(1), known).alias("cells"))
     if rejects:
@@ -227,7 +272,7 @@ def melt_drifting_lines(
         joined = joined.filter(~bad)
         fault = F.lit(None).cast("string")
     facts = joined.select(*keep, *ids, fault.alias("fault"), F.explode(cell).alias("cell")).select(
-        *keep, *id_columns, F.col("cell.names").alias("category"), F.col("cell.cells").alias("items"), "fault"
+        *keep, *id_columns, F.col("cell.names").alias("category"), F.nullif("cell.cells", F.lit("")).alias("items"), "fault"
     )
     named = F.col("category").isNotNull() & (F.col("category") != "") & ~F.col("category").isin(*id_columns)
     if not rejects:

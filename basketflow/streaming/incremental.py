@@ -6,7 +6,7 @@ file for a day already processed, or a second week are all just new files.
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..errors import EmptyInput
@@ -21,6 +21,7 @@ from ..sources.baskets import (
     csv_options,
     day_folders,
     day_of_file,
+    line_place,
     malformed_schema,
     melt_drifting_lines,
 )
@@ -86,7 +87,8 @@ class IncrementalAggregation(AggregationState):
             malformed = MALFORMED if MALFORMED in batch.columns else None
             ledger = basket_ledger(batch, self.id_columns, [ARRIVAL_DAY], malformed=malformed)
         else:
-            facts = melt_drifting_lines(batch, self.id_columns, keep=(ARRIVAL_DAY,), rejects=True)
+            headers_at = f"{self.state}/gen={generation}/headers"
+            facts = melt_drifting_lines(batch, self.id_columns, (ARRIVAL_DAY,), rejects=True, headers_at=headers_at)
             ledger = facts_ledger(facts, [ARRIVAL_DAY])
         self.write_batch(generation, batch_id, ledger)
 
@@ -115,7 +117,7 @@ class IncrementalAggregation(AggregationState):
             source = csv_options(reader, keep_malformed=True).schema(malformed_schema(self.columns)).csv(self.landing)
             return source.withColumn(ARRIVAL_DAY, day_of_file())
         return reader.text(self.landing).select(
-            "value", F.col("_metadata.file_path").alias("file"), day_of_file().alias(ARRIVAL_DAY)
+            "value", *line_place(), day_of_file().alias(ARRIVAL_DAY)
         )
 
     def _writer(self, apply: Callable[[DataFrame, int, int], None]) -> DataStreamWriter:

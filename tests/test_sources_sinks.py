@@ -268,6 +268,36 @@ def test_lines_of_drifting_files_without_header_are_rejects(spark, folder):
     assert rows(facts.filter("fault IS NOT NULL").select("items", "fault")) == [("1,2", "header_missing"), ("x,y", "header_missing")]
 
 
+def test_a_header_holds_for_the_lines_after_it(spark, folder):
+    second = "bread,order_dow,order_hour_of_day,user_id,order_id,tea\n"
+    root = folder(
+        a="9,9,6,6,9,9\n" + HEADER + "1,1,0,5,2,\n" + HEADER + "2,1,0,5,1,\n" + second + "4,1,7,1,3,\n" + second + "8,1,7,1,4,1\n" + HEADER + "5,1,0,5,10,\n",
+        b=second + "1,2,3,1,5,\n",
+        c=HEADER + '6,1,0,5,"a, order_id,user_id,order_dow,order_hour_of_day",3\n',
+    )
+    facts = melt_drifting_files(spark, f"{root}/*.csv", IDS)
+    want = [(0, 5, "bread", 3), (0, 5, "fruit", 13), (1, 7, "bread", 12), (1, 7, "tea", 1), (2, 3, "bread", 1)]
+    assert rows(total_items(valid_keys(facts))) == want
+    whole = melt_drifting_files(spark, f"{root}/*.csv", IDS, rejects=True)
+    assert rows(whole.filter("fault IS NOT NULL").select("items", "fault")) == [("9,9,6,6,9,9", "header_missing")]
+    # Lines that are no headers are either counted once or rejected once.
+    assert whole.filter("fault IS NOT NULL OR category IS NULL").count() == 8
+
+
+def test_headers_in_files_that_are_read_in_parts(spark, folder):
+    """A file of many blocks, with another header in the middle."""
+    second = "bread,order_dow,order_hour_of_day,user_id,order_id,tea\n"
+    root = folder(a=HEADER + "1,1,0,5,2,\n" * 300 + second + "4,1,7,1,3,\n" * 300)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        facts = melt_drifting_files(spark, f"{root}/*.csv", IDS)
+        assert facts.rdd.getNumPartitions() > 4
+        assert rows(total_items(valid_keys(facts))) == [(0, 5, "fruit", 600), (1, 7, "bread", 1200)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_two_writers_never_share_a_batch(spark, tmp_path):
     from concurrent.futures import ThreadPoolExecutor
 
