@@ -70,6 +70,7 @@ def arguments(argv=None) -> argparse.Namespace:
     incremental.add_argument("--every", help="keep running with this interval, e.g. '4 seconds'")
     incremental.add_argument("--max-files", type=int, help="files per micro-batch")
     incremental.add_argument("--archive", help="folder to move processed files to")
+    incremental.add_argument("--compact-every", type=int, default=100, help="batches between folds")
     incremental.add_argument("--csv", help="export the merged aggregate")
     incremental.add_argument("--quarantine", help="a table of all that did not count")
 
@@ -137,6 +138,7 @@ def incremental_job(spark: SparkSession, args) -> IncrementalAggregation:
         None if args.drift else columns,
         max_files_per_trigger=args.max_files,
         archive=args.archive,
+        compact_every=args.compact_every,
     )
 
 
@@ -233,7 +235,9 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
         return AggregationState(spark, args.state).totals()
 
     if args.every:
-        repeat(lambda: train_if_changed(spark, totals(), store, settings, log), args.every)
+        version = lambda: None if args.input else AggregationState(spark, args.state).version()
+        poll = lambda: train_if_changed(spark, state=version(), totals=totals(), store=store, settings=settings, run_log=log)
+        repeat(poll, args.every)
     else:
         train_model(spark, totals(), store, settings, run_log=log)
         store.metrics().show()

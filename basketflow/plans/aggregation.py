@@ -52,10 +52,10 @@ def quarantined_rows(spark: SparkSession, output: str, columns: Sequence[str]) -
 
     A malformed line stands in ``MALFORMED`` as it was, its other columns are NULL.
     """
-    paths = files.glob(spark, f"{output}/day=[a-z]*")
+    paths = files.glob(spark, f"{output}/day{{=,_*=}}[a-z]*")
     if paths:
         rows = read_csv(spark, paths, text_schema(columns), folders=True)
-        reason = F.regexp_extract(F.col("_metadata.file_path"), "/day=([a-z_]+)/[^/]*$", 1)
+        reason = F.regexp_extract(F.col("_metadata.file_path"), "/day_*=([a-z_]+)/[^/]*$", 1)
         rows = rows.withColumn("reason", reason)
     else:
         rows = spark.createDataFrame([], text_schema([*columns, "reason"]))

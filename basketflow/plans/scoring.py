@@ -3,7 +3,7 @@
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.keys import KEYS
 from ..operators.metrics import round_prediction
@@ -29,17 +29,31 @@ CACHE_SCHEMA = T.StructType(
 )
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Rows with ``prediction`` rounded to INT; streaming rows work as well."""
-    return round_prediction(model.transform(rows).drop(*WORKING_COLUMNS))
+def category_count(model: PipelineModel) -> int:
+    """How many categories the model's indexer knows; an unseen one gets this index."""
+    return len(model.stages[0].labels)
+
+
+def predict(model: PipelineModel, rows: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Rows with ``prediction`` rounded to INT; streaming rows work as well.
+
+    ``counts`` gets the numbers of ``rows`` and of those with an ``unseen`` category, one that the
+    model was not trained on, from the job that uses the predictions; no scan of its own.
+    """
+    scored = model.transform(rows)
+    if counts is not None:
+        unseen = F.count_if(F.col("cat_idx") >= category_count(model))
+        scored = scored.observe(counts, F.count(F.lit(1)).alias("rows"), unseen.alias("unseen"))
+    return round_prediction(scored.drop(*WORKING_COLUMNS))
 
 
 def prediction_cache(spark: SparkSession, path: str) -> BatchTable:
     """The cache table, a batch per refresh.
 
-    Files are laid out by weekday, so a lookup of one key reads one weekday.
+    Files are laid out by weekday, so a lookup of one key reads one weekday; in a fold they are
+    sorted by key, so it skips row groups.
     """
-    return BatchTable(spark, path, CACHE_SCHEMA, latest_per_key, partition_by=("order_dow",))
+    return BatchTable(spark, path, CACHE_SCHEMA, latest_per_key, partition_by=("order_dow",), keys=KEYS)
 
 
 def score(
@@ -61,11 +75,14 @@ def score(
         model = store.load(version)
         rows = store.split(version, "test") if rows is None else rows
         path = f"{output}/v={version}/run={uuid.uuid4().hex}"
-        predict(model, rows).write.mode("overwrite").parquet(path)
+        counts = Observation()
+        predict(model, rows, counts).write.mode("overwrite").parquet(path)
         predictions = spark.read.parquet(path)
         if csv_output:
             export_csv(predictions, csv_output)
-        log("done", batch_id=version, output=path)
+        # Spark leaves the numbers out where it finds that there is nothing to count.
+        seen = {"rows": 0, "unseen": 0} | counts.get
+        log("done", batch_id=version, output=path, rows=seen["rows"], unseen=seen["unseen"])
     return predictions
 
 

@@ -65,6 +65,12 @@ class AggregationState:
     def manifest(self) -> BatchTable:
         return self._manifest(self.generation())
 
+    def version(self) -> str:
+        """Names what has been processed so far, from listings alone; folding does not change it."""
+        generation = self.generation()
+        partials = self._partials(generation)
+        return f"{generation}/{max([partials.base(), *partials.batches()], default=-1)}"
+
     def totals(self) -> DataFrame:
         """The aggregate table over everything processed so far."""
         return ledger_totals(self.partials.rows())

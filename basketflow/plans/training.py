@@ -110,10 +110,22 @@ def train_if_changed(
     store: ModelStore,
     settings: ForestSettings = ForestSettings(),
     run_log: str | None = None,
+    state: str | None = None,
 ) -> int | None:
-    """``train_model``, unless the newest version was trained on just these totals."""
-    if store.versions() and store.input() == fingerprint(totals.select(*KEYS, "items")):
+    """``train_model``, unless the newest version was trained on just these totals.
+
+    ``state`` is the version of the kept state that ``totals`` come from (``AggregationState.version``,
+    asked for before them); if the newest model was found to agree with it before, nothing is read.
+    """
+    versions = store.versions()
+    known = bool(versions and state) and store.state(versions[-1]) == state
+    if known or (versions and store.input(versions[-1]) == fingerprint(totals.select(*KEYS, "items"))):
         with logged_run(spark, run_log, "train") as log:
             log("idle")
+        if state and not known:
+            store.save_state(versions[-1], state)
         return None
-    return train_model(spark, totals.select(*KEYS, "items"), store, settings, run_log)
+    version = train_model(spark, totals.select(*KEYS, "items"), store, settings, run_log)
+    if state:
+        store.save_state(version, state)
+    return version

@@ -3,16 +3,19 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.keys import KEYS
+from ..functions.keys import KEYS, join_key
 from ..operators import metrics
 from ..operators.features import category_encoder, category_indexer, feature_pipeline, unseen_categories
 from ..operators.sampling import hash_split, label_split
 from ..plans.scoring import predict, prediction_cache, refresh_if_retrained, score, score_and_cache
-from ..plans.training import ForestSettings, train_model
+from ..plans.training import ForestSettings, fit_forest, train_model
 from ..session import working_dir
+from ..sinks.keyvalue import folder_pairs, stream_keyvalue
+from ..sinks.runlog import read_run_log
+from ..sources import files
 from ..sources.models import ModelStore
 from ..sources.tables import BatchTable
-from ..streaming.scoring import cache_stream, read_fact_stream, score_stream
+from ..streaming.scoring import FACT_SCHEMA, cache_stream, read_fact_stream, score_stream
 from .inputs import ORDER_TOTALS_SQL, event_totals, event_totals_sql, order_totals, split_sql
 
 
@@ -272,6 +275,49 @@ CACHE_AFTER_RETRAIN_SQL = f"""
 CACHE_MIXED_SQL = f"SELECT *, '2, then None' AS refreshed FROM ({CACHE_AFTER_RETRAIN_SQL})"
 
 
+def stream_to_keyvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions streamed to a key-value store in three batches; the last one is repeated."""
+    train, test = stored_split(spark, order_totals(spark, sf_dir), "stream_keyvalue")
+    base = working_dir(spark, "stream_keyvalue_run")
+    means = metrics.category_mean_model(train)
+    for part in range(3):
+        rows = test.filter(F.pmod(F.col("order_hour_of_day"), F.lit(3)) == part)
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/rows")
+    reader = spark.readStream.schema(FACT_SCHEMA).option("maxFilesPerTrigger", 1)
+    for _ in range(2):
+        scored = metrics.round_prediction(metrics.apply_category_means(reader.parquet(f"{base}/rows"), means))
+        pairs = scored.select(join_key().alias("key"), "prediction")
+        stream = stream_keyvalue(pairs, "folder", f"{base}/checkpoint", folder=f"{base}/store")
+        stream.trigger(availableNow=True).start().awaitTermination()
+        files.remove_dir(spark, f"{base}/checkpoint/commits/2")
+        files.remove_dir(spark, f"{base}/checkpoint/commits/.2.crc")
+    return folder_pairs(spark, f"{base}/store")
+
+
+STREAM_KEYVALUE_SQL = f"""
+    SELECT concat_ws(':', order_dow, order_hour_of_day, category) AS key,
+           CAST(CAST(round(prediction) AS INTEGER) AS VARCHAR) AS value
+    FROM ({MEAN_PREDICTIONS_SQL})
+"""
+
+
+def score_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run log tells of a scoring run with a model that does not know one category."""
+    store = ModelStore(spark, f"{working_dir(spark, 'score_counts')}/models")
+    version = store.claim_version()
+    store.save_split(version, label_split(event_totals(spark, sf_dir)))
+    model = fit_forest(store.split(version, "train").filter("category <> 'signup'"), ForestSettings(num_trees=2))
+    store.save_model(version, model)
+    score(spark, store, f"{store.root}-predictions", version=version, run_log=f"{store.root}-log")
+    return read_run_log(spark, f"{store.root}-log").select("job", "status", "rows", "unseen")
+
+
+SCORE_COUNTS_SQL = f"""
+    SELECT 'score' AS job, 'done' AS status, count(*) AS rows, count(*) FILTER (category = 'signup') AS unseen
+    FROM ({split_sql(event_totals_sql(), 'test')})
+"""
+
+
 def _agreement(cache: BatchTable, predictions: DataFrame) -> DataFrame:
     expected = predictions.select(*KEYS, F.col("prediction").alias("expected"))
     return (
@@ -304,5 +350,7 @@ QUERIES = {
     "stream_cache": (stream_cache, RF_CACHE_SQL),
     "cache_after_retrain": (cache_after_retrain, CACHE_AFTER_RETRAIN_SQL),
     "cache_mixed_versions": (cache_mixed_versions, CACHE_MIXED_SQL),
+    "stream_keyvalue": (stream_to_keyvalue, STREAM_KEYVALUE_SQL),
+    "score_counts": (score_counts, SCORE_COUNTS_SQL),
     "stream_score": (stream_score, f"SELECT *, TRUE AS as_batch FROM ({TEST_SQL})"),
 }

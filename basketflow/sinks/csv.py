@@ -2,10 +2,9 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..errors import MalformedBaskets
 from ..operators.quality import key_reason
 from ..operators.reshape import quoted
-from ..sources.baskets import MALFORMED
+from ..sources.baskets import DAY_FOLDER, MALFORMED
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -30,7 +29,8 @@ def write_day_folders(
     Rows whose weekday or hour cannot be used go to a folder named by the reason instead, such
     as ``day=order_dow_missing``; each row goes to one folder. With a column ``MALFORMED``,
     lines with too few or too many fields go to ``day=malformed_line``; the first column then
-    holds the line as it was. ``quarantined_rows`` reads those folders.
+    holds the line as it was. ``quarantined_rows`` reads those folders. If a column of the baskets is
+    called ``day``, the folders are called ``day_=0`` and so on; readers know both.
 
     By default each task writes its own file per day, without a shuffle. ``rebalance`` shuffles
     by day first: small files are merged, and a day too large for one task is spread over
@@ -45,12 +45,13 @@ def write_day_folders(
         kept = [F.when(~broken, c).alias(name) for c, name in zip(kept, columns, strict=True)]
         kept[0] = F.when(broken, F.col(MALFORMED)).otherwise(F.col(quoted(columns[0])).cast("string")).alias(columns[0])
     number = F.trim(F.col(quoted(day)).cast("string")).try_cast("int").cast("string")
-    if "day" in columns:
-        raise MalformedBaskets("a category cannot be called day: the folders are")
-    out = baskets.select(*kept, F.coalesce(reason, number).alias("day"))
+    folder = DAY_FOLDER
+    while folder.lower() in [c.lower() for c in columns]:
+        folder += "_"
+    out = baskets.select(*kept, F.coalesce(reason, number).alias(folder))
     if rebalance:
-        out = out.hint("rebalance", F.col("day"))
-    writer = out.write.mode("overwrite").partitionBy("day").option("header", True)
+        out = out.hint("rebalance", F.col(folder))
+    writer = out.write.mode("overwrite").partitionBy(folder).option("header", True)
     # Blanks around a value belong to it.
     for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
         writer = writer.option(side, False)

@@ -20,6 +20,7 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("output", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("ts", T.TimestampType()),
+        T.StructField("unseen", T.LongType()),
     ]
 )
 
@@ -33,9 +34,11 @@ def append_run(
     days: Sequence[int] | None = None,
     rows: int | None = None,
     output: str | None = None,
+    unseen: int | None = None,
 ) -> None:
+    """Note a run; ``unseen`` counts its rows whose category the model did not know."""
     now = dt.datetime.now(dt.timezone.utc)
-    row = (uuid.uuid4().hex, job, batch_id, days, rows, output, status, now)
+    row = (uuid.uuid4().hex, job, batch_id, days, rows, output, status, now, unseen)
     literal_rows(spark, [row], RUN_LOG_SCHEMA).write.mode("append").parquet(path)
 
 

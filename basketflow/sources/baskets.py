@@ -11,8 +11,9 @@ from ..errors import EmptyInput
 from ..session import working_dir
 from . import files
 
-# A day folder is called ``3`` or ``day=3``.
-DAY_OF_PATH = r"/(?:day=)?([0-9]+)/[^/]*$"
+# A day folder is called ``3`` or ``day=3``; ``day_=3`` where a category is called ``day``.
+DAY_FOLDER = "day"
+DAY_OF_PATH = r"/(?:day_*=)?([0-9]+)/[^/]*$"
 MALFORMED = "_malformed_line"
 # The folder's day next to a basket's columns; a category may well be called ``day``.
 ARRIVAL_DAY = "_arrival_day"
@@ -84,7 +85,7 @@ def day_of_file():
 
 
 def days_glob(root: str, days: Iterable[int]) -> str:
-    names = ",".join(f"{day},day={day}" for day in sorted(set(days)))
+    names = ",".join(f"{day},day={day},day_*={day}" for day in sorted(set(days)))
     return f"{root}/{{{names}}}/*.csv"
 
 
@@ -92,7 +93,7 @@ def _folder_names(spark: SparkSession, root: str) -> dict[int, list[str]]:
     """Folders of each day, from one listing of the root."""
     found: dict[int, list[str]] = {}
     for path in files.glob(spark, f"{root}/*"):
-        day = re.fullmatch(r"(?:day=)?([0-9]+)", path.rsplit("/", 1)[-1])
+        day = re.fullmatch(r"(?:day_*=)?([0-9]+)", path.rsplit("/", 1)[-1])
         if day:
             found.setdefault(int(day[1]), []).append(path)
     return found

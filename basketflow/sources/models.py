@@ -83,6 +83,13 @@ class ModelStore:
             return None
         return self.spark.read.text(path).first()[0]
 
+    def save_state(self, version: int, state: str) -> None:
+        """Note the version of the kept state whose totals this model was found to be trained on."""
+        files.write_text(self.spark, f"{self._dir(version)}/_state", state)
+
+    def state(self, version: int) -> str | None:
+        return files.read_text(self.spark, f"{self._dir(version)}/_state")
+
     def metrics(self, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version
         return self.spark.read.schema(METRICS_SCHEMA).parquet(f"{self._dir(version)}/metrics")

@@ -31,12 +31,19 @@ def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructTyp
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
+# Files of recent batches up to this size, compressed, are broadcast by key to be laid over a base.
+OVERLAY_BYTES = 4 << 20
+
+
 class BatchTable:
     """Parquet folders ``batches/batch=N``, and now and then a folded ``base/upto=N``.
 
     Writing a batch again replaces it, so a retried run cannot count twice. Readers see
     the newest complete base and the batches after it; partition pruning keeps folded
     batches out of the scan.
+
+    ``keys``: folding gives one row per key from the rows of that key alone. Then a base is sorted
+    by key, in ranges, and ``read`` lays recent batches over it instead of folding it again.
     """
 
     def __init__(
@@ -46,12 +53,14 @@ class BatchTable:
         schema: T.StructType,
         fold: Callable[[DataFrame], DataFrame],
         partition_by: tuple[str, ...] = (),
+        keys: tuple[str, ...] = (),
     ):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.fold = fold
         self.partition_by = partition_by
+        self.keys = keys
 
     def write(self, batch: int, rows: DataFrame) -> None:
         self._save(rows, f"{self.path}/batches/batch={batch}")
@@ -84,23 +93,39 @@ class BatchTable:
     def rows(self, last: int | None = None) -> DataFrame:
         """Base rows and the batches after it (up to ``last``), not folded together."""
         upto = self.base()
-        last = max(self.batches(), default=-1) if last is None else last
+        recent = self._recent(upto, max(self.batches(), default=-1) if last is None else last)
+        return recent if upto < 0 else self._read_base(upto).unionByName(recent)
+
+    def _recent(self, upto: int, last: int) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
-        recent = (
+        return (
             read_or_empty(self.spark, f"{self.path}/batches", schema)
             .filter((F.col("batch") > upto) & (F.col("batch") <= last))
             .select(*self.schema.names)
         )
-        if upto < 0:
-            return recent
-        return self._read_base(upto).unionByName(recent)
 
     def read(self) -> DataFrame:
-        """All rows folded; a plain scan where nothing came after the base."""
+        """All rows folded; a plain scan where nothing came after the base.
+
+        With ``keys``, rows of the base whose key no recent batch holds stay as they are: they are
+        told apart by a join with the recent keys, which are broadcast if their files are small
+        (``OVERLAY_BYTES``), so the base is neither shuffled nor sorted. Only rows with a recent key
+        are folded.
+        """
         upto = self.base()
-        if upto >= 0 and max(self.batches(), default=-1) <= upto:
+        newer = [batch for batch in self.batches() if batch > upto]
+        if upto >= 0 and not newer:
             return self._read_base(upto)
-        return self.fold(self.rows())
+        if upto < 0 or not self.keys:
+            return self.fold(self.rows())
+        recent, base = self._recent(upto, newer[-1]), self._read_base(upto)
+        touched = recent.select(*[F.col(k).alias(f"_{k}") for k in self.keys]).distinct()
+        size = sum(files.size(self.spark, f"{self.path}/batches/batch={batch}") for batch in newer)
+        if size <= OVERLAY_BYTES:
+            touched = F.broadcast(touched)
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
+        changed = self.fold(recent.unionByName(base.join(touched, same, "left_semi")))
+        return base.join(touched, same, "left_anti").unionByName(changed.select(*self.schema.names))
 
     def compact(self) -> int:
         """Fold what was written so far into a new base; returns the last batch.
@@ -116,7 +141,10 @@ class BatchTable:
         ]
         upto = min([last, *[c - 1 for c in waiting]])
         if upto > base:
-            self._save(self.fold(self.rows(upto)), f"{self.path}/base/upto={upto}")
+            rows = self.fold(self.rows(upto))
+            if self.keys:
+                rows = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+            self._save(rows, f"{self.path}/base/upto={upto}")
         return last
 
     def vacuum(self) -> None:

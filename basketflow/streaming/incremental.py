@@ -7,7 +7,7 @@ file for a day already processed, or a second week are all just new files.
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..errors import EmptyInput
 from ..operators.aggregate import basket_ledger, facts_ledger
@@ -60,6 +60,7 @@ class IncrementalAggregation(AggregationState):
         self.max_files_per_trigger = max_files_per_trigger
         self.max_file_age = max_file_age
         self.archive = archive
+        self.failed_batch: int | None = None
 
     def run_available(self) -> list[int]:
         """Process what has arrived, then stop; returns the ids of the new batches."""
@@ -77,8 +78,15 @@ class IncrementalAggregation(AggregationState):
         return new
 
     def run_every(self, interval: str = "4 seconds") -> StreamingQuery:
-        """Keep processing: one micro-batch at a time, no backlog of missed triggers."""
-        return self._writer(self._logged_batch).trigger(processingTime=interval).start()
+        """Keep processing: one micro-batch at a time, no backlog of missed triggers.
+
+        A listener notes idle triggers and failures in the run log, and days without baskets.
+        """
+        listener = RunListener(self)
+        self.spark.streams.addListener(listener)
+        query = self._writer(self._logged_batch).trigger(processingTime=interval).start()
+        listener.query = str(query.id)
+        return query
 
     def apply_batch(self, batch: DataFrame, batch_id: int, generation: int | None = None) -> None:
         """Write one micro-batch; writing it again replaces what it wrote before."""
@@ -98,6 +106,7 @@ class IncrementalAggregation(AggregationState):
         try:
             self.apply_batch(batch, batch_id, generation)
         except Exception:
+            self.failed_batch = batch_id
             append_run(self.spark, self.log_path, self.job, "failed", batch_id)
             raise
 
@@ -127,3 +136,41 @@ class IncrementalAggregation(AggregationState):
             .writeStream.option("checkpointLocation", f"{self.state}/gen={generation}/checkpoint")
             .foreachBatch(lambda batch, batch_id: apply(batch, batch_id, generation))
         )
+
+
+class RunListener(StreamingQueryListener):
+    """Notes what no batch can tell of: idle triggers, failures between batches, quiet days.
+
+    A day with files that an earlier event has seen and that is not processed now holds no basket:
+    a trigger has listed its files since then.
+    """
+
+    def __init__(self, job: IncrementalAggregation):
+        self.job = job
+        self.query: str | None = None
+        self.seen: set[int] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.id) == self.query:
+            self._note_days()
+
+    def onQueryIdle(self, event) -> None:
+        if str(event.id) == self.query:
+            self._note_days()
+            append_run(self.job.spark, self.job.log_path, self.job.job, "idle")
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) != self.query:
+            return
+        if event.exception and self.job.failed_batch is None:
+            append_run(self.job.spark, self.job.log_path, self.job.job, "failed")
+
+    def _note_days(self) -> None:
+        job = self.job
+        done = {r.day for r in job.processed_days().collect()}
+        job.record_quiet_days(self.seen - done)
+        unknown = set(day_folders(job.spark, job.landing)) - done - self.seen
+        self.seen = set(available_days(job.spark, job.landing, among=unknown))

@@ -127,6 +127,41 @@ def test_periodic_trigger(spark, folder):
         query.awaitTermination(30)
 
 
+def test_the_periodic_job_notes_quiet_days_and_idle_triggers(spark, folder):
+    import time
+
+    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "500")
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n", landing__4__a=HEADER)
+    job = job_on(spark, root)
+    query = job.run_every("200 milliseconds")
+    try:
+        query.processAllAvailable()
+        until = time.time() + 60
+        while time.time() < until and (rows(job.pending_days()) or "idle" not in [r.status for r in job.run_log().collect()]):
+            time.sleep(0.5)
+        assert [r.day for r in job.processed_days().orderBy("day").collect()] == [0, 4]
+        assert rows(job.pending_days()) == []
+        assert {r.status for r in job.run_log().collect()} >= {"done", "idle"}
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
+        query.stop()
+        query.awaitTermination(30)
+
+
+def test_a_failure_between_batches_is_noted(spark, folder):
+    import time
+
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n", landing__1__a=HEADER.replace("fruit,bread", "bread,fruit") + "1,1,1,5,2,\n")
+    job = job_on(spark, root)
+    query = job.run_every("200 milliseconds")
+    with pytest.raises(Exception, match="header does not conform"):
+        query.awaitTermination(60)
+    until = time.time() + 20
+    while time.time() < until and "failed" not in [r.status for r in job.run_log().collect()]:
+        time.sleep(0.5)
+    assert [r.status for r in job.run_log().collect()].count("failed") == 1
+
+
 def test_drifting_columns_in_the_stream(spark, folder):
     root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n")
     job = IncrementalAggregation(spark, f"{root}/landing", f"{root}/state", IDS)

@@ -210,6 +210,62 @@ def test_periodic_training_skips_what_is_known(spark, tmp_path, totals):
     assert sorted(r.status for r in read_run_log(spark, log).collect()) == ["done", "done", "idle"]
 
 
+def test_an_idle_poll_starts_no_job(spark, tmp_path, totals):
+    store = ModelStore(spark, str(tmp_path / "m"))
+    assert train_if_changed(spark, totals, store, SMALL, state="0/4") == 1
+
+    def jobs_of(poll):
+        spark.sparkContext.setJobGroup("poll", "poll")
+        try:
+            result = poll()
+            return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup("poll"))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    unread = totals.withColumn("items", F.raise_error(F.lit("read")).cast("bigint"))
+    assert jobs_of(lambda: train_if_changed(spark, unread, store, SMALL, state="0/4")) == (None, 0)
+    # A new state with the same totals is read once and then known.
+    assert train_if_changed(spark, totals, store, SMALL, state="0/5") is None
+    assert jobs_of(lambda: train_if_changed(spark, unread, store, SMALL, state="0/5")) == (None, 0)
+    assert train_if_changed(spark, totals.filter("order_dow < 6"), store, SMALL, state="0/6") == 2
+
+
+def test_scored_rows_are_counted_on_the_way(spark, tmp_path, totals):
+    store, log = ModelStore(spark, str(tmp_path / "m")), str(tmp_path / "log")
+    train, test = hash_split(totals)
+    store.save_model(1, fit_forest(train.filter("category <> 'c4'"), SMALL))
+    score(spark, store, str(tmp_path / "out"), test, 1, run_log=log)
+    score(spark, store, str(tmp_path / "out"), test.filter("category = 'c4'"), 1, run_log=log)
+    score(spark, store, str(tmp_path / "out"), test.limit(0), 1, run_log=log)
+    unseen = test.filter("category = 'c4'").count()
+    noted = sorted((r["rows"], r.unseen) for r in read_run_log(spark, log).collect())
+    assert noted == [(0, 0), (unseen, unseen), (test.count(), unseen)]
+
+
+def test_recent_batches_lie_over_the_base(spark, tmp_path):
+    cache = prediction_cache(spark, str(tmp_path / "cache"))
+    schema = "order_dow int, order_hour_of_day int, category string, prediction int"
+    every = [(d, h, c, d + h) for d in range(7) for h in range(24) for c in ("a", "b", None)]
+    refresh_cache(cache, spark.createDataFrame(every, schema), 2)
+    cache.compact()
+    for batch in range(20):
+        newer = [(3, batch, "a", 100 + batch), (3, batch, None, 200 + batch), (9, batch, "new", batch)]
+        refresh_cache(cache, spark.createDataFrame(newer, schema), 3 if batch % 2 else 1, compact_every=10**6)
+    want = rows(serving.latest_per_key(cache.rows()))
+    assert cache.base() == 0 and len(cache.batches()) == 21
+    assert rows(cache.read()) == want and len(want) == len(every) + 20
+    found = serving.lookup(cache.read(), "3:5:a")
+    assert rows(found) == [("3:5:a", 3, 5, "a", 105, 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Rows of the base meet the recent keys by broadcast joins, behind a pruned and filtered scan.
+    anti, semi = plan.index("LeftAnti, BuildRight"), plan.index("LeftSemi, BuildRight")
+    assert "Exchange" not in plan[anti : plan.index("FileScan", anti)]
+    assert "Exchange" not in plan[semi : plan.index("FileScan", semi)].replace("BroadcastExchange", "")
+    assert plan.count("PartitionFilters: [isnotnull(order_dow") >= 2 and "EqualTo(order_hour_of_day,5)" in plan
+    cache.compact()
+    assert rows(cache.read()) == want
+
+
 def test_intervals():
     assert [seconds(t) for t in ("20 seconds", "1 minute", "0.5 hours")] == [20, 60, 1800]
     with pytest.raises(ValueError):

@@ -205,6 +205,57 @@ def test_keyvalue_sink(spark, tmp_path, monkeypatch):
         write_keyvalue(cache, "no_such_module:Client")
 
 
+def test_folder_store_reads_committed_batches_only(spark, tmp_path):
+    from basketflow.sinks.keyvalue import FolderClient, folder_pairs
+
+    store = str(tmp_path / "store")
+    cache = spark.createDataFrame([(f"k{i}", i) for i in range(9)], "key string, prediction int")
+    write_keyvalue(cache.repartition(3), "folder", folder=store, batchsize="2")
+    lost = FolderClient({"folder": store})
+    lost.set_many({"k1": "wrong"})
+    again = FolderClient({"folder": store})
+    again.set_many({"k9": "first try"})
+    again.commit("7", again.parts)
+    again.parts = []
+    again.set_many({"k9": "9"})
+    again.commit("7", again.parts)
+    assert rows(folder_pairs(spark, store)) == sorted((f"k{i}", str(i)) for i in range(10))
+    again.abort(again.parts)
+    assert "k9" not in {r.key for r in folder_pairs(spark, store).collect()}
+    with pytest.raises(ValueError, match="folder"):
+        FolderClient({})
+
+
+def test_a_failed_stream_to_a_store_commits_nothing(spark, tmp_path):
+    from basketflow.sinks.keyvalue import folder_pairs, stream_keyvalue
+
+    schema = "key string, prediction int"
+    path, store = str(tmp_path / "rows"), str(tmp_path / "store")
+    spark.createDataFrame([("a", 1), ("b", 2)], schema).write.parquet(path)
+
+    def run(rows):
+        stream_keyvalue(rows, "folder", str(tmp_path / "checkpoint"), folder=store).trigger(availableNow=True).start().awaitTermination()
+
+    stream = spark.readStream.schema(schema).parquet(path)
+    bad = F.when(F.col("key") == "b", F.raise_error(F.lit("no"))).otherwise(F.col("key"))
+    with pytest.raises(Exception, match="no"):
+        run(stream.withColumn("key", bad))
+    assert not os.path.exists(f"{store}/commits")
+    run(stream)
+    assert rows(folder_pairs(spark, store)) == [("a", "1"), ("b", "2")]
+
+
+def test_a_category_called_day(spark, folder):
+    root = folder(orders=HEADER.replace("fruit", "day") + "1,1,1,5,2,\n2,1,x,5,3,\n3,1,2\n")
+    split_orders(spark, f"{root}/orders.csv", f"{root}/raw", quarantine=f"{root}/bad")
+    assert available_days(spark, f"{root}/raw") == [1]
+    back = read_days(spark, f"{root}/raw", range(7))
+    assert rows(back.select("order_id", "day", ARRIVAL_DAY)) == [("1", "2", 1)]
+    assert sorted(r.reason for r in spark.read.parquet(f"{root}/bad").collect()) == ["malformed_line", "order_dow_not_integer"]
+    totals = full_aggregation(spark, f"{root}/raw", f"{root}/out", IDS)
+    assert rows(totals) == [(1, 5, "day", 2)]
+
+
 def test_listing(spark, folder):
     root = folder(**{"v=1__x": "", "v=2__x": "", "v=zz__x": "", "day=10__x": ""})
     assert files.numbered_dirs(spark, root, prefix="v=") == [1, 2]
