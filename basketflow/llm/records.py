@@ -32,6 +32,7 @@ HEADER = "<BBHqI"  # 1 if there is a key, bytes an id, 0, key, number of ids
 HEADER_SIZE = struct.calcsize(HEADER)
 FRAME = 8 + 4 + 4  # bytes around a payload
 WRITE_AT = 1 << 22  # bytes gathered before they go to the file
+HEAD = 64
 SHARD_BYTES = 1 << 26  # bytes of text for one file: long shards meet most of their words again
 
 MANIFEST = "shard int, path string, records long, tokens long, bytes long, first long, last long"
@@ -129,14 +130,21 @@ def write_records(
     Records lie in ascending ``order`` within and across files. A null text is an empty one, a
     null key is kept as null, rows with equal keys are records of their own; an empty table gives
     a manifest without rows. ``folder`` is a URI or path that all executors share; a file takes
-    about ``shard_bytes`` bytes of text.
+    about ``shard_bytes`` bytes of text. Rows of equal order lie by the first ``HEAD`` characters of their
+    text, then by its hash, and may span files. Other columns of ``docs`` are not read, so they cannot clash.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(
         c.alias(f"order{i}") for i, c in enumerate(order)
     ))
-    names = [f"order{i}" for i in range(len(order))]
-    rows = rows.repartitionByRange(-(-size // shard_bytes) or 1, *names).sortWithinPartitions(*names, "text").select("key", "text")
+    # Rows that are equal in order, such as all without a key, are parted by text, equal texts by number.
+    # Not by the whole text: keys of a sample go to the driver.
+    rows = rows.withColumns(
+        {"head": F.substring("text", 1, HEAD), "digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()}
+    )
+    names = [*[f"order{i}" for i in range(len(order))], "head", "digest", "row"]
+    rows = rows.repartitionByRange(-(-size // shard_bytes) or 1, *names).sortWithinPartitions(*names).select("key", "text")
+    folder = qualified(docs.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -162,6 +170,14 @@ def write_records(
     return manifest(docs.sparkSession, folder)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as Spark resolves it, so that record files lie beside the manifest."""
+    jvm = spark._jvm
+    whole = jvm.org.apache.hadoop.fs.Path(path)
+    uri = whole.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(whole).toString()
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 class RecordWriter:
     """One record file and its index."""
 

@@ -41,7 +41,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, key:
         F.unhex(F.sha2(text_or_empty, 256)).alias("digest"),
         drawn(key).alias("drawn"),
     )
-    rows = rows.withColumn("all", F.lit(""))
+    rows = keep(rows.withColumn("all", F.lit("")), "digests")
     rows = keep(ranked(rows, "all", "drawn", ["doc_id", "digest"], "row").drop("all"), "rows")
     total = rows.count()
     if not total:

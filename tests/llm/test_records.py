@@ -102,3 +102,20 @@ def test_damage_is_found(tmp_path):
     (tmp_path / "bad.rec").write_bytes(data[:-3])
     with pytest.raises(ValueError):
         list(records.payloads(f"{tmp_path}/bad.rec"))
+
+
+def test_rows_without_a_key_span_files(spark, tokenizer, docs_of, tmp_path):
+    rows = [(None, "same text")] * 400 + [(None, f"text {i}") for i in range(400)] + [(i, f"key {i}") for i in range(1600)]
+    folder = str(tmp_path / "records")
+    found = records.write_records(docs_of(rows, 6), folder, records.tokenizer_path(), [F.col("doc_id")], shard_bytes=2000)
+    sizes = [r.records for r in found.collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 2 * len(rows) / len(sizes)
+    got = records.read_digests(spark, folder).orderBy("start").collect()
+    assert [r.key for r in got] == [None] * 800 + list(range(1600))
+    want = sorted((str(k), zlib.crc32(np.array(encoded(tokenizer, t), "<u4").tobytes())) for k, t in rows)
+    assert sorted((str(r.key), r.ids_crc32) for r in got) == want
+
+
+def test_paths_without_a_scheme_are_qualified(spark, tmp_path):
+    assert records.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert records.qualified(spark, f"file://{tmp_path}/a") == f"file://{tmp_path}/a"

@@ -96,3 +96,22 @@ def test_quotas_never_overfill():
         change[a] -= n
         change[b] += n
     assert all(change[i] <= room for i, room in enumerate([0, 3, 0]))
+
+
+def test_rows_without_a_key_are_numbered_in_many_tasks(spark, docs_of):
+    from basketflow.llm.ranking import in_ranges, ranked
+    from pyspark.sql import functions as F
+
+    rows = [(None, "same")] * 900 + [(None, f"t{i}") for i in range(900)] + [(i, f"k{i}") for i in range(1800)]
+    docs = docs_of(rows, 6).withColumn("all", F.lit("")).withColumn("drawn", s.drawn("doc_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in in_ranges(docs, ["all", "drawn", "doc_id"]).groupBy("_part").count().collect()]
+        assert len(sizes) == 8 and max(sizes) <= 2 * len(rows) / 8
+        found = ranked(docs, "all", "drawn", ["doc_id"], "place").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.place for r in found) == list(range(len(rows)))
+    order = [r.drawn for r in sorted(found, key=lambda r: r.place)]
+    assert order == sorted(order)
+    check(rows, s.shard_rows(docs_of(rows)).collect(), 24)
