@@ -10,8 +10,9 @@ Gray rank, so neighbours differ in few bits. Runs of neighbours get a parent tha
 they all share; a node keeps only the bits its parent lacks. A search goes down the levels, adds
 up differing bits, and drops a whole group once the sum exceeds ``max_bits``.
 
-Nothing is cut off: a bucket with more than ``TILE`` fingerprints is dealt to pairs of tiles, so
-that any two of its members still meet in some task.
+Nothing is cut off: a bucket with more than ``TILE`` fingerprints is cut by the same argument over
+the bits left, and what is crowded even then is dealt to pairs of tiles, so that any two linked
+members still meet in some task.
 """
 
 from collections.abc import Iterable, Iterator
@@ -140,22 +141,7 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
         for i in range(tables)
     ]
     coded = distinct.select(F.explode(F.array(*per_block)).alias("c")).select("c.*")
-    coded = keep(coded, "codes")
-    sizes = coded.groupBy("block", "value").agg(F.ceil(F.count("*") / TILE).alias("tiles"), F.count("*").alias("n"))
-    sizes = keep(sizes.where("n > 1"), "buckets")
-    tile = F.pmod(F.xxhash64("code"), "tiles")
-    met = (
-        coded.join(sizes, ["block", "value"])
-        .withColumn("tile", tile)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-        .where("tiles = 1 or tile <> other")
-        .select(
-            F.xxhash64("block", "value", F.least("tile", "other"), F.greatest("tile", "other")).alias("bucket"),
-            "block",
-            "code",
-            gray_rank(F.col("code")).alias("rank"),
-        )
-    )
+    met = buckets(keep(coded, "codes"), cuts, max_bits).withColumn("rank", gray_rank(F.col("code")))
     # Sign flipped, so that ranks sort as unsigned numbers.
     rank = F.col("rank").bitwiseXOR(F.lit(-(1 << 63)))
     dealt = met.repartition("bucket").sortWithinPartitions("bucket", "block", rank).drop("rank")
@@ -170,6 +156,52 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return dealt.mapInArrow(per_bucket, "a long, b long")
 
 
+def buckets(coded: DataFrame, cuts: list[int], max_bits: int) -> DataFrame:
+    """``(bucket, block, code)``: any two codes of a block and value with at most ``max_bits`` bits apart meet.
+
+    A value with more than ``TILE`` codes is cut again by the same argument: the bits that its
+    codes need not share make ``max_bits + 1`` parts, of which linked codes agree in one. So a
+    code is sent a fixed number of times, however many there are. What is crowded even then, which
+    takes codes that agree in two parts, is dealt to pairs of tiles.
+    """
+    sizes = keep(coded.groupBy("block", "value").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    sized = coded.join(sizes, ["block", "value"])
+    small = sized.where(F.col("n") <= TILE).select(F.xxhash64("block", "value").alias("bucket"), "block", "code")
+
+    tables = max_bits + 1
+    widths = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def parts(width: int) -> Column:
+        rest = BITS - width
+        edges = [rest * i // tables for i in range(tables + 1)]
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("number"),
+                    F.shiftrightunsigned("code", edges[i]).bitwiseAND(F.lit((1 << edges[i + 1] - edges[i]) - 1)).alias("bits"),
+                )
+                for i in range(tables)
+            ]
+        )
+
+    cut = parts(widths[0])
+    for block, width in enumerate(widths[1:], 1):
+        cut = F.when(F.col("block") == block, parts(width)).otherwise(cut)
+    crowded = sized.where(F.col("n") > TILE).select("block", "value", "code", F.explode(cut).alias("part"))
+    key = ["block", "value", "number", "bits"]
+    crowded = keep(crowded.select("block", "value", "code", "part.*"), "parts")
+    tiles = crowded.groupBy(*key).agg(F.ceil(F.count("*") / TILE).alias("tiles"), F.count("*").alias("n")).where("n > 1")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    large = (
+        crowded.join(tiles, key)
+        .withColumn("tile", F.pmod(F.xxhash64("code"), "tiles"))
+        .withColumn("other", other)
+        .where("tiles = 1 or tile <> other")
+        .select(F.xxhash64(*key, F.least("tile", "other"), F.greatest("tile", "other")).alias("bucket"), "block", "code")
+    )
+    return small.unionByName(large)
+
+
 def _rotated(value: Column, by: int) -> Column:
     if by == 0:
         return value

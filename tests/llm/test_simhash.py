@@ -70,6 +70,20 @@ def test_buckets_of_any_size(spark, tmp_path, monkeypatch, tile):
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def test_a_crowded_value_sends_each_code_a_fixed_number_of_times(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 64)
+    rng = np.random.default_rng(6)
+    for n in (1000, 8000):
+        # All agree in the first block; 64 bits by five blocks are 12 or 13 each.
+        codes = rng.integers(0, 1 << 52, n, dtype=np.int64)
+        rows = [(0, 7, int(c)) for c in codes]
+        coded = spark.createDataFrame(rows, "block int, value long, code long")
+        cuts = [64 * i // 5 for i in range(6)]
+        dealt = simhash.buckets(coded, cuts, 4)
+        assert dealt.count() <= 5 * n
+        assert dealt.groupBy("bucket").count().agg({"count": "max"}).head()[0] <= 2 * 64
+
+
 def test_components_of_long_path(spark):
     rng = random.Random(3)
     names = list(range(300))
