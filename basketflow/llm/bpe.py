@@ -35,6 +35,7 @@ from basketflow.llm.tables import documents, text_bytes
 
 PART_CHARS = 1 << 18
 LONG_RUN = 1 << 16
+STEP_ROWS = 64  # rows of a batch whose results are held at a time
 SAFE = re.compile(r"(?<=\S)(?=[ \t\r\n])")
 # The characters that Unicode calls white space, as the pattern's \s does.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -86,9 +87,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> Dat
     """``docs`` with the column ``ids``, the token ids of each whole text, in place of the text."""
 
     def ids(value: bytes) -> bytes:
-        coder = (encoding(ranks, pattern), encoding(ranks, ONE_MATCH))
         found = parts(value.decode("utf-8", "replace"))
-        return b"".join(np.array(coder[one].encode_ordinary(part), "<u4").tobytes() for part, one in found)
+        coded = (encoding(ranks, ONE_MATCH if one else pattern).encode_ordinary(part) for part, one in found)
+        return b"".join(np.array(of_part, "<u4").tobytes() for of_part in coded)
 
     others = [field for field in docs.schema if field.name not in (text, "ids")]
     return _mapped(docs, text_bytes(text), others, "ids", ids)
@@ -112,9 +113,11 @@ def _mapped(df: DataFrame, source: Column, others: list[StructField], target: st
     names = [field.name for field in others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = pa.array([function(value.as_py()) for value in batch.column(0)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], [*names, target])
+        for whole in batches:
+            for begin in range(0, len(whole), STEP_ROWS):
+                batch = whole.slice(begin, STEP_ROWS)
+                values = pa.array([function(value.as_py()) for value in batch.column(0)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], [*names, target])
 
     schema = StructType([*others, StructField(target, BinaryType())])
     numbered = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)]
