@@ -70,7 +70,8 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
     )
     order = ["conv_id", "turn", "digest", "row"]
-    ranges = turns.repartitionByRange(*order).sortWithinPartitions(*order)
+    # A table, since finding ranges takes a pass of its own.
+    ranges = keep(turns, "digests").repartitionByRange(*order).sortWithinPartitions(*order)
     ranges = ranges.select(
         "conv_id",
         "digest",
