@@ -136,8 +136,8 @@ def blocks(rows: DataFrame, layout: Layout, size: int = BLOCK) -> DataFrame:
     curve = rows.select("id", "label", "anchor", "vector").mapInArrow(
         keyed, "id long, label long, anchor boolean, key binary, vector binary"
     )
-    # A number tells equal rows apart, so that ranges can part them.
-    curve = curve.withColumn("row", F.monotonically_increasing_id())
+    # A number tells equal rows apart, so that ranges can part them; finding ranges is a pass of its own.
+    curve = keep(curve.withColumn("row", F.monotonically_increasing_id()), "curve")
     sorted_rows = curve.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = f"{ZONE}, ids binary, labels binary, anchors binary, vectors binary"
     found = sorted_rows.select("id", "label", "anchor", "vector").mapInArrow(packed, schema)
