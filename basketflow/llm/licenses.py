@@ -7,12 +7,17 @@ shares nothing with it, so the bands of its one shingle all say the same and one
 
 Templates of like length share a class with windows of ``span`` words every ``stride``
 words: any stretch of words as long as the longest template of the class lies within one window.
-Each window has a MinHash signature of ``BANDS`` bands of ``ROWS`` values; a template that shares
-a band with a window is its candidate. If the window holds ``CONTAINMENT`` of a template's shingles,
-their Jaccard similarity is at least ``least_similarity``, so the chance to miss the template is at
-most ``(1 - least_similarity ** ROWS) ** BANDS``; classes are cut so that this stays below
-``MOST_MISSED``, else strides are halved. What the bands retrieve is verified by counting the
-template's shingles in the window, exactly.
+Each window has a MinHash signature with a band per hash function (``ROWS`` = 1, since hardly a window
+shares a shingle with a template by chance); a template that shares a band with a window is its
+candidate. If the window holds ``CONTAINMENT`` of a template's shingles, their Jaccard similarity
+is at least ``least_similarity``, so the chance to miss the template is at most ``(1 -
+least_similarity) ** bands``. A class has as many bands as it takes to keep this below
+``MOST_MISSED``, at most ``BANDS``; classes are cut, or strides halved, so that these suffice. What
+the bands retrieve is verified by counting the template's shingles in the window, exactly.
+
+A window shares a band with a template only if the template's least value is at one of the
+window's shingles and no smaller one is beside it. So values are looked up as they are, and least
+values are taken of the windows around a hit only; candidates are the same as by comparing all.
 """
 
 from collections.abc import Iterable, Iterator
@@ -27,8 +32,8 @@ from basketflow.llm.words import WordHashes, plain_words
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BANDS, ROWS = 24, 2
-MOST_MISSED = 1e-3
+BANDS, ROWS = 20, 1
+MOST_MISSED = 1e-6
 SCAN_WORDS = 1 << 16
 FILTER_BITS = 16
 
@@ -129,8 +134,13 @@ def least_similarity(shortest: int, span: int, share: float = CONTAINMENT) -> fl
     return common / (own + window - common)
 
 
-def miss_chance(similarity: float) -> float:
-    return (1 - similarity**ROWS) ** BANDS
+def miss_chance(similarity: float, bands: int = BANDS) -> float:
+    return (1 - similarity**ROWS) ** bands
+
+
+def least_bands(similarity: float) -> int:
+    """The bands that a class of this least similarity needs."""
+    return next(bands for bands in range(1, BANDS + 1) if miss_chance(similarity, bands) <= MOST_MISSED or bands == BANDS)
 
 
 def classes(lengths: Iterable[int], share: float = CONTAINMENT) -> list[tuple[int, int, int, int]]:
@@ -156,8 +166,8 @@ class Templates:
     def __init__(self, texts: dict[str, str], share: float):
         self.share = share
         rng = np.random.default_rng(20240501)
-        self.factors = rng.integers(1, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
-        self.shifts = rng.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64)
+        self.factors = (rng.integers(1, 1 << 63, BANDS, dtype=np.uint64) | np.uint64(1)).tolist()
+        self.shifts = rng.integers(0, 1 << 63, BANDS, dtype=np.uint64).tolist()
         self.hashes = WordHashes()
         words = {name: plain_words(text.encode()) for name, text in sorted(texts.items())}
         # Templates of fewer words than a shingle, by their length and words.
@@ -173,15 +183,16 @@ class Templates:
         self.shingles = [set(shingles(words[name])) for name in self.names]
         length = np.array([len(words[name]) for name in self.names], np.int64)
         self.classes = classes(length.tolist(), share)
-        # Per class: the bands of its templates, sorted, and whose they are.
+        self.widest = max((span for _, _, span, _ in self.classes), default=0)
+        # Per hash function: the least values of templates whose class uses it, sorted, and whose they are.
+        class_of = [next(c for c, (a, b, _, _) in enumerate(self.classes) if a <= n <= b) for n in length.tolist()]
+        needed = [least_bands(least_similarity(shortest, span, share)) for shortest, _, span, _ in self.classes]
         self.bands = []
-        for shortest, longest, _, _ in self.classes:
-            own = np.flatnonzero((length >= shortest) & (length <= longest))
-            values = [self._bands(self._values(self.hashes.of(words[self.names[i]])).min(axis=1, keepdims=True)) for i in own]
-            band = np.concatenate(values, axis=1).ravel() if values else np.zeros(0, np.uint64)
-            template = np.tile(own, BANDS)
-            order = np.argsort(band, kind="stable")
-            self.bands.append((band[order], template[order], self._seen(band)))
+        for band in range(max(needed, default=0)):
+            own = [t for t, c in enumerate(class_of) if band < needed[c]]
+            least = np.array([self._values(self._hashed(self.hashes.of(words[self.names[t]]), SHINGLE), band).min() for t in own])
+            order = np.argsort(least, kind="stable")
+            self.bands.append((least[order], np.array(own)[order], np.array(class_of)[own][order], self._seen(least)))
 
     @staticmethod
     def _seen(band: np.ndarray) -> np.ndarray:
@@ -203,17 +214,9 @@ class Templates:
         """The band of a short template: of one shingle, the least value is its own."""
         return whole * np.uint64(0xD6E8FEB86659FD93)
 
-    def _values(self, words: np.ndarray) -> np.ndarray:
-        """Hash functions by shingles, over the hashes of a text's words."""
-        return ((self._hashed(words, SHINGLE) * self.factors + self.shifts) >> np.uint64(32)).astype(np.uint32)
-
-    def _bands(self, least: np.ndarray) -> np.ndarray:
-        """Bands by windows: the values of a band and its number in one well-mixed number."""
-        first, second = (least[row::ROWS].astype(np.uint64) for row in range(ROWS))
-        number = np.arange(BANDS, dtype=np.uint64)[:, None] * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed = ((first << np.uint64(32)) | second) ^ number
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-        return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    def _values(self, shingles: np.ndarray, band: int) -> np.ndarray:
+        """The hash function of a band, over the hashes of shingles."""
+        return shingles * np.uint64(self.factors[band]) + np.uint64(self.shifts[band])
 
     def search(self, text: bytes) -> list[tuple[str, int, int, float]]:
         """``(template, first word, windows, containment)`` of each template in a text.
@@ -250,52 +253,41 @@ class Templates:
 
     def _candidates(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[tuple[int, int], int]]:
         """``((class, template), first word)`` for each window and template that share a band."""
-        if len(words) < SHINGLE:
-            return
-        widest = max((span for _, _, span, _ in self.classes), default=0)
         for at in range(0, len(words), SCAN_WORDS):
-            values = None
-            for c, (_, _, span, stride) in enumerate(self.classes):
-                part = hashes[at : at + SCAN_WORDS + widest]
-                if values is None:
-                    if len(part) < SHINGLE:
-                        return
-                    values = self._values(part)
-                begins, least = window_least(values, span - SHINGLE + 1, stride, min(SCAN_WORDS, len(part)))
-                bands, template, seen = self.bands[c]
-                found = self._bands(least)
-                likely = np.flatnonzero(seen[(found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)].ravel())
-                value, window = found.ravel()[likely], likely % len(begins)
-                low, high = np.searchsorted(bands, value, "left"), np.searchsorted(bands, value, "right")
-                pairs = {(t, w) for a, b, w in zip(low.tolist(), high.tolist(), window.tolist(), strict=True) for t in template[a:b].tolist()}
-                for t, w in sorted(pairs):
-                    yield (c, t), at + int(begins[w])
-
-
-def window_least(values: np.ndarray, width: int, stride: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words of the windows that start among the first ``words``, and their least values.
-
-    Windows have ``width`` shingles; at the end of a text they are shorter. Least values of
-    stretches as long as the stride are shared by the windows that overlap there.
-    """
-    n = values.shape[1]
-    begins = np.arange(0, max(1, min(words, n)), stride)
-    done, least = 1, values
-    while done * 2 <= width:
-        least = np.minimum(least[:, : max(1, least.shape[1] - done)], _ahead(least, done))
-        done *= 2
-    if done < width:
-        least = np.minimum(least[:, : max(1, least.shape[1] - (width - done))], _ahead(least, width - done))
-    # Beyond the last full window, the least of what is left.
-    take = np.minimum(begins, least.shape[1] - 1)
-    result = least[:, take]
-    for i in np.flatnonzero(begins > least.shape[1] - 1):
-        result[:, i] = values[:, begins[i] :].min(axis=1)
-    return begins, result
-
-
-def _ahead(least: np.ndarray, by: int) -> np.ndarray:
-    return least[:, by:] if least.shape[1] > by else least[:, -1:]
+            part = hashes[at : at + SCAN_WORDS + self.widest]
+            if len(part) < SHINGLE:
+                return
+            hashed = self._hashed(part, SHINGLE)
+            pairs: set[tuple[int, int, int]] = set()
+            for band, (least, template, of_class, seen) in enumerate(self.bands):
+                values = self._values(hashed, band)
+                place = np.flatnonzero(seen[(values >> np.uint64(64 - FILTER_BITS)).view(np.int64)])
+                if len(place):
+                    low, high = (np.searchsorted(least, values[place], side) for side in ("left", "right"))
+                    hit = np.repeat(place, high - low)
+                    among = np.concatenate([np.arange(a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]).astype(np.int64)
+                    for c in set(of_class[among].tolist()):
+                        own = of_class[among] == c
+                        pairs |= self._windows(values, hit[own], template[among[own]], c)
+            for c, t, begin in sorted(pairs):
+                yield (c, t), at + begin
+
+    def _windows(self, values: np.ndarray, place: np.ndarray, template: np.ndarray, c: int) -> set[tuple[int, int, int]]:
+        """``(class, template, first word)`` of the windows around places in which nothing is less."""
+        _, _, span, stride = self.classes[c]
+        width, n = span - SHINGLE + 1, len(values)
+        first = np.maximum(-((width - 1 - place) // stride), 0)
+        last = np.minimum(place, min(SCAN_WORDS, n) - 1) // stride
+        count = np.maximum(last - first + 1, 0)
+        which = np.repeat(np.arange(len(place)), count)
+        begin = (first[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)) * stride
+        if not len(begin):
+            return set()
+        # One value more, so that a window may end with the text.
+        ends = np.stack([begin, np.minimum(begin + width, n)], axis=1).ravel()
+        least = np.minimum.reduceat(np.append(values, np.uint64(0)), ends)[::2]
+        found = least == values[place[which]]
+        return {(c, t, b) for t, b in zip(template[which[found]].tolist(), begin[found].tolist(), strict=True)}
 
 
 FOUND = "doc_id long, license string, first_word int, windows int, containment double"
