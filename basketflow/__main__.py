@@ -32,6 +32,7 @@ from .sinks.csv import export_csv
 from .sources.baskets import available_days, csv_columns, days_glob
 from .sources.models import ModelStore
 from .streaming.incremental import IncrementalAggregation
+from .streaming.stateful import StatefulTotals
 
 
 def names(text: str) -> list[str]:
@@ -69,11 +70,19 @@ def arguments(argv=None) -> argparse.Namespace:
     incremental.add_argument("--drift", action="store_true", help="files may differ in their headers")
     incremental.add_argument("--every", help="keep running with this interval, e.g. '4 seconds'")
     incremental.add_argument("--max-files", type=int, help="files per micro-batch")
+    incremental.add_argument("--max-file-age", default="7d", help="how long files are remembered, e.g. 90m, 36h or 7d; older ones are looked up")
     incremental.add_argument("--archive", help="folder to move processed files to")
     incremental.add_argument("--compact-every", type=int, default=100, help="batches between folds")
     incremental.add_argument("--csv", help="export the merged aggregate")
     incremental.add_argument("--quarantine", help="a table of all that did not count")
 
+    stateful = jobs.add_parser("stateful", help="incremental, with running totals in a state store")
+    stateful.add_argument("landing")
+    stateful.add_argument("state")
+    stateful.add_argument("--ids", type=names, help="id columns; default: the first four")
+    stateful.add_argument("--every", help="keep running with this interval, e.g. '4 seconds'")
+    stateful.add_argument("--csv", help="export the totals")
+
     highwater = jobs.add_parser("highwater", help="incremental, days above the last one only")
     highwater.add_argument("landing")
     highwater.add_argument("state")
@@ -137,6 +146,7 @@ def incremental_job(spark: SparkSession, args) -> IncrementalAggregation:
         args.ids or leading_id_columns(columns),
         None if args.drift else columns,
         max_files_per_trigger=args.max_files,
+        max_file_age=args.max_file_age,
         archive=args.archive,
         compact_every=args.compact_every,
     )
@@ -170,6 +180,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
                 export_csv(job.totals(), args.csv)
             if args.quarantine:
                 job.quarantine().write.mode("overwrite").parquet(args.quarantine)
+    elif args.job == "stateful":
+        columns = header(spark, args.landing)
+        totals = StatefulTotals(spark, args.landing, args.state, args.ids or leading_id_columns(columns), columns)
+        if args.every:
+            totals.run_every(args.every).awaitTermination()
+        else:
+            totals.run_available()
+            if args.csv:
+                export_csv(totals.totals(), args.csv)
     elif args.job == "highwater":
         ids = args.ids or leading_id_columns(header(spark, args.landing))
         strict = HighWaterAggregation(spark, args.landing, args.state, ids)

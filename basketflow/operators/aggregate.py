@@ -48,6 +48,8 @@ LEDGER_KEYS = tuple(f.name for f in [*KEY_FIELDS, *REJECT_FIELDS])
 
 # The reason of the row that counts input baskets; it rejects nothing.
 BASKETS = "(baskets)"
+# The reason of rows that name the files read; they reject nothing either.
+FILES = "(file)"
 # Where a wide table's keys travel through the melt; no category may be called so.
 RESERVED = "_basketflow_key"
 
@@ -193,7 +195,8 @@ def _ledger(cells: DataFrame, extra: Sequence[str]) -> DataFrame:
         F.when(marker, F.when(broken, "malformed_line").otherwise(BASKETS))
         .otherwise(F.coalesce("fault", key["reason"], items_reason(amount, dtype)))
     )
-    rows = cells.filter(marker | (filled & ~broken)).select(
+    noted = F.col("fault").eqNullSafe(F.lit(FILES))
+    rows = cells.filter(marker | noted | (filled & ~broken)).select(
         *[key[name].alias(name) for name in extra],
         F.when(cell, key["order_dow"]).alias("order_dow"),
         F.when(cell, key["order_hour_of_day"]).alias("order_hour_of_day"),
@@ -217,6 +220,7 @@ def basket_ledger(
     dow: str = "order_dow",
     hour: str = "order_hour_of_day",
     malformed: str | None = None,
+    file: str | None = None,
 ) -> DataFrame:
     """Wide baskets to sums and rejects, in one pass and one exchange.
 
@@ -225,28 +229,40 @@ def basket_ledger(
     small. A row with the reason ``(baskets)`` per ``extra`` key counts the baskets, so a key
     without any positive quantity shows as well. ``malformed`` names the column that holds the
     text of lines with too few or too many fields; such a line is listed as it stands, and its
-    cells do not count.
+    cells do not count. ``file`` names a text column that tells the files apart: each of its values
+    is listed once, with the reason ``(file)``, the value as ``raw_items`` and its lines as ``facts``.
     """
-    ids = [*id_columns, *([malformed] if malformed else [])]
+    ids = [*id_columns, *[name for name in (malformed, file) if name]]
     categories = category_columns(baskets, [*ids, *extra])
     if RESERVED in baskets.columns:
         raise MalformedBaskets(f"no column may be called {RESERVED}")
     for name in (dow, hour):
         if name not in id_columns:
             raise MalformedBaskets(f"{name} is not among the id columns {list(id_columns)}")
-    text = any(isinstance(baskets.schema[c].dataType, T.StringType) for c in categories)
+    text = bool(file) or any(isinstance(baskets.schema[c].dataType, T.StringType) for c in categories)
     as_text = [F.col(quoted(c)).cast("string") if text else F.col(quoted(c)) for c in categories]
     line = F.col(quoted(malformed)) if malformed else None
-    cells = F.array(*as_text, F.lit(None))
+    cells = F.array(*as_text, F.lit(None), *([F.col(quoted(file))] if file else []))
     rows = baskets.select(_key(baskets, dow, hour, extra, line), cells.alias("cells"))
     exploded = rows.select(RESERVED, F.posexplode("cells").alias("position", "items"))
     names = F.array(*[F.lit(c) for c in categories])
-    melted = exploded.select(
-        RESERVED, F.get(names, F.col("position")).alias("category"), "items", F.lit(None).cast("string").alias("fault")
-    )
+    fault = F.lit(None).cast("string")
+    if file:
+        fault = F.when(F.col("position") > len(categories), F.lit(FILES))
+    melted = exploded.select(RESERVED, F.get(names, F.col("position")).alias("category"), "items", fault.alias("fault"))
     return _ledger(melted, extra)
 
 
+def ledger_files(ledger: DataFrame) -> DataFrame:
+    """``(file, lines)``: the files that a ledger was made from, where it was told them."""
+    named = ledger.filter(F.col("reason") == FILES).withColumnRenamed("raw_items", "file")
+    return named.groupBy("file").agg(F.sum("facts").alias("lines"))
+
+
+def without_files(ledger: DataFrame) -> DataFrame:
+    return ledger.filter(~F.col("reason").eqNullSafe(F.lit(FILES)))
+
+
 def facts_ledger(facts: DataFrame, extra: Sequence[str] = (), dow: str = "order_dow", hour: str = "order_hour_of_day") -> DataFrame:
     """As ``basket_ledger``, for long facts with a column ``fault``; see ``melt_drifting_lines``."""
     return _ledger(facts.select(_key(facts, dow, hour, extra), "category", "items", "fault"), extra)
@@ -266,7 +282,7 @@ def ledger_rejects(ledger: DataFrame) -> DataFrame:
 
     Raw values, and how many cells had them; totals too large for BIGINT come with their key.
     """
-    raw = ledger.filter(F.col("reason").isNotNull() & (F.col("reason") != BASKETS))
+    raw = ledger.filter(F.col("reason").isNotNull() & ~F.col("reason").isin(BASKETS, FILES))
     cells = raw.select(
         F.coalesce("raw_dow", F.col("order_dow").cast("string")).alias("order_dow"),
         F.coalesce("raw_hour", F.col("order_hour_of_day").cast("string")).alias("order_hour_of_day"),

@@ -1,10 +1,13 @@
 """Incremental aggregation: runs over arriving day folders, and the state they leave."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.highwater import HighWaterAggregation
 from ..session import working_dir
 from ..streaming.incremental import IncrementalAggregation
+from ..streaming.stateful import StatefulTotals
 from .arrivals import COLUMNS, IN_ORDER, LATE_DAY, Arrivals
 from ..sources import files
 from .inputs import (
@@ -54,6 +57,43 @@ def agg_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(arrivals, LATE_DAY[2:]).totals()
 
 
+def agg_file_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are forgotten after an hour: a day comes with an old time, a counted file gets a new one.
+
+    Day 0 is so much older than days 1 and 3 that it is forgotten at once.
+    """
+    arrivals = Arrivals(spark, sf_dir, "agg_file_age")
+    now = time.time()
+    job = IncrementalAggregation(spark, arrivals.landing, arrivals.state, EVENT_IDS, COLUMNS, max_file_age="1h")
+    arrivals.arrive([0])
+    files.set_time(spark, f"{arrivals.landing}/0/*.csv", now - 2 * 86400)
+    arrivals.arrive([1, 3])
+    job.run_available()
+    arrivals.arrive([2])
+    files.set_time(spark, f"{arrivals.landing}/2/*.csv", now - 86400)
+    job.run_available()
+    files.set_time(spark, f"{arrivals.landing}/[02]/*.csv", now + 60)
+    arrivals.arrive([4, 5, 6])
+    for _ in range(2):
+        job.run_available()
+        job.compact()
+    return job.totals()
+
+
+def agg_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals in a state store, as days arrive late; the batch of day 2 is repeated."""
+    arrivals = Arrivals(spark, sf_dir, "agg_stateful")
+    job = StatefulTotals(spark, arrivals.landing, arrivals.state, EVENT_IDS, COLUMNS, compact_every=3)
+    for days in LATE_DAY:
+        arrivals.arrive(days)
+        job.run_available()
+        if days == [2]:
+            files.remove_dir(spark, f"{job.checkpoint}/commits/2")
+            files.remove_dir(spark, f"{job.checkpoint}/commits/.2.crc")
+            job.run_available()
+    return job.totals()
+
+
 def agg_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival folders by date: weekdays return week after week, their sums merge."""
     base = working_dir(spark, "agg_dates")
@@ -214,6 +254,8 @@ QUERIES = {
     "agg_incremental_late": (agg_incremental_late, event_totals_sql()),
     "agg_catch_up": (agg_catch_up, event_totals_sql()),
     "agg_compacted": (agg_compacted, event_totals_sql()),
+    "agg_file_age": (agg_file_age, event_totals_sql()),
+    "agg_stateful": (agg_stateful, event_totals_sql()),
     "agg_dates": (agg_dates, event_totals_sql()),
     "agg_incremental_drift": (agg_incremental_drift, DRIFT_SQL),
     "agg_highwater": (agg_highwater, event_totals_sql("order_dow <> 2")),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.keys import KEYS, join_key
 from ..operators import metrics
 from ..operators.features import category_encoder, category_indexer, feature_pipeline, unseen_categories
+from ..operators.forest import forest_nodes, forest_scores
 from ..operators.sampling import hash_split, label_split
 from ..plans.scoring import predict, prediction_cache, refresh_if_retrained, score, score_and_cache
 from ..plans.training import ForestSettings, fit_forest, train_model
@@ -194,6 +195,15 @@ def rf_predict_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rf_scores_by_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest evaluated by joins with its node table, against the model's own scores."""
+    store = trained(spark, sf_dir, "rf_scores_by_joins")
+    model, test = store.load(1), store.split(1, "test")
+    joined = forest_scores(test, model, forest_nodes(store.nodes(1)))
+    own = model.transform(test).select(*KEYS, F.col("prediction").alias("own"))
+    return joined.join(own, [*KEYS]).select(*KEYS, "items", F.expr("prediction <=> own").alias("as_model"))
+
+
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test set as a stream: every row scored once, and as the batch job scores it."""
     store = trained(spark, sf_dir, "stream_score")
@@ -346,6 +356,7 @@ QUERIES = {
     "rf_train_metrics": (rf_train_metrics, RF_METRICS_SQL),
     "rf_predict": (rf_predict, None),
     "rf_predict_range": (rf_predict_range, f"SELECT *, TRUE AS within_range FROM ({TEST_SQL})"),
+    "rf_scores_by_joins": (rf_scores_by_joins, f"SELECT *, TRUE AS as_model FROM ({TEST_SQL})"),
     "rf_cache": (rf_cache, RF_CACHE_SQL),
     "stream_cache": (stream_cache, RF_CACHE_SQL),
     "cache_after_retrain": (cache_after_retrain, CACHE_AFTER_RETRAIN_SQL),

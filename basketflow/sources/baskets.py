@@ -7,7 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..errors import EmptyInput
+from ..errors import EmptyInput, MalformedBaskets
+from ..operators.aggregate import FILES, RESERVED
 from ..session import working_dir
 from . import files
 
@@ -17,6 +18,8 @@ DAY_OF_PATH = r"/(?:day_*=)?([0-9]+)/[^/]*$"
 MALFORMED = "_malformed_line"
 # The folder's day next to a basket's columns; a category may well be called ``day``.
 ARRIVAL_DAY = "_arrival_day"
+# When a file was last changed, and its path; see ``file_mark``.
+FILE_MARK = "_file_mark"
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -84,6 +87,20 @@ def day_of_file():
     return F.regexp_extract(F.col("_metadata.file_path"), DAY_OF_PATH, 1).try_cast("int")
 
 
+def file_mark() -> Column:
+    """A row's file: milliseconds of its last change, a blank, its path."""
+    changed = F.unix_millis(F.col("_metadata.file_modification_time"))
+    return F.concat_ws(" ", changed.cast("string"), F.col("_metadata.file_path"))
+
+
+def marked_path(mark: Column) -> Column:
+    return F.regexp_extract(mark, "^[0-9]+ (.*)$", 1)
+
+
+def marked_time(mark: Column) -> Column:
+    return F.substring_index(mark, " ", 1).cast("bigint")
+
+
 def days_glob(root: str, days: Iterable[int]) -> str:
     names = ",".join(f"{day},day={day},day_*={day}" for day in sorted(set(days)))
     return f"{root}/{{{names}}}/*.csv"
@@ -194,6 +211,7 @@ def melt_drifting_lines(
     keep: Sequence[str] = (),
     rejects: bool = False,
     headers_at: str | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """Long facts from CSV lines (``file``, ``block``, ``value``) whose files differ in their headers.
 
@@ -208,7 +226,8 @@ def melt_drifting_lines(
     A line with fewer or more fields than its header has no facts. With ``rejects`` it
     comes as one row, its text as ``items`` and the ``fault`` ``malformed_line``, and so does every
     line without a header, with ``header_missing``; every other line
-    comes with one more row that has neither category nor fault.
+    comes with one more row that has neither category nor fault. ``mark`` names a text column: then each
+    line comes with one more row yet, its value as ``items`` and the ``fault`` ``(file)``.
     """
     spark = lines.sparkSession
     # Numbers ascend within a block, and are the same whenever the lines are read.
@@ -224,6 +243,8 @@ def melt_drifting_lines(
         for r in likely.select("header", "value").distinct().collect()
         if set(id_columns) <= set(header_fields(r.value))
     }
+    if any(RESERVED in header_fields(line) for line in headers.values()):
+        raise MalformedBaskets(f"no column may be called {RESERVED}")
     width = max((len(header_fields(line)) for line in headers.values()), default=1)
 
     def fields(line: Column) -> Column:
@@ -265,9 +286,10 @@ def melt_drifting_lines(
     pair = lambda name, cell: F.struct(name.cast("string").alias("names"), cell.cast("string").alias("cells"))
     whole = F.arrays_zip("names", F.slice("cells", F.lit(1), known).alias("cells"))
     if rejects:
-        line = F.array(pair(F.lit(None), F.col("value")))
+        file = [pair(F.lit(RESERVED), F.col(mark))] if mark else []
+        line = F.array(pair(F.lit(None), F.col("value")), *file)
         fault = F.when(headless, "header_missing").when(bad, "malformed_line")
-        cell = F.when(bad, line).otherwise(F.concat(whole, F.array(pair(F.lit(""), F.lit(None)))))
+        cell = F.when(bad, line).otherwise(F.concat(whole, F.array(pair(F.lit(""), F.lit(None)), *file)))
     else:
         cell = whole
         joined = joined.filter(~bad)
@@ -275,6 +297,11 @@ def melt_drifting_lines(
     facts = joined.select(*keep, *ids, fault.alias("fault"), F.explode(cell).alias("cell")).select(
         *keep, *id_columns, F.col("cell.names").alias("category"), F.nullif("cell.cells", F.lit("")).alias("items"), "fault"
     )
+    if mark:
+        is_mark = F.col("category").eqNullSafe(F.lit(RESERVED))
+        facts = facts.withColumns(
+            {"fault": F.when(is_mark, F.lit(FILES)).otherwise(F.col("fault")), "category": F.nullif("category", F.lit(RESERVED))}
+        )
     named = F.col("category").isNotNull() & (F.col("category") != "") & ~F.col("category").isin(*id_columns)
     if not rejects:
         return facts.drop("fault").filter(named)

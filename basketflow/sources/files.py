@@ -132,6 +132,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def set_time(spark: SparkSession, pattern: str, seconds: float) -> None:
+    """Set the time of the last change of all files that match."""
+    fs, path = _file_system(spark, pattern)
+    for status in fs.globStatus(path) or []:
+        fs.setTimes(status.getPath(), int(seconds * 1000), -1)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

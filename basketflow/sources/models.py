@@ -68,6 +68,14 @@ class ModelStore:
             raise ModelNotFound(path)
         return PipelineModel.load(path)
 
+    def nodes(self, version: int | None = None) -> DataFrame:
+        """The forest's nodes as they were saved, one row each; see ``operators.forest``."""
+        version = self.current() if version is None else version
+        found = files.glob(self.spark, f"{self._dir(version)}/model/stages/*/treesMetadata")
+        if not found:
+            raise ModelNotFound(f"{self._dir(version)}/model")
+        return self.spark.read.parquet(f"{found[0].rsplit('/', 1)[0]}/data")
+
     def publish(self, version: int, metrics: DataFrame) -> None:
         metrics.write.mode("overwrite").parquet(f"{self._dir(version)}/metrics")
 

@@ -68,7 +68,7 @@ class BatchTable:
     def append(self, rows: DataFrame) -> int:
         """Write ``rows`` as a batch of their own; no two writers get the same number."""
         batch = files.claim_number(
-            self.spark, f"{self.path}/claims", lambda: max([self.base(), *self.batches()], default=-1)
+            self.spark, f"{self.path}/claims", self.last
         )
         self.write(batch, rows)
         return batch
@@ -90,6 +90,10 @@ class BatchTable:
             default=-1,
         )
 
+    def last(self) -> int:
+        """The number of the last batch, folded or not; -1 before the first one."""
+        return max([self.base(), *self.batches()], default=-1)
+
     def rows(self, last: int | None = None) -> DataFrame:
         """Base rows and the batches after it (up to ``last``), not folded together."""
         upto = self.base()

@@ -11,6 +11,7 @@ def test_all_jobs_in_turn(spark, folder, capfd):
     job("split", "@/orders.csv", "@/raw", "--quarantine", "@/bad")
     job("full", "@/raw", "@/aggregate", "--csv", "@/aggregate_csv")
     job("incremental", "@/raw", "@/state", "--csv", "@/incremental_csv")
+    job("stateful", "@/raw", "@/stateful", "--csv", "@/stateful_csv")
     job("highwater", "@/raw", "@/strict", "--ids", "order_id,user_id,order_dow,order_hour_of_day")
     job("train", "@/strict", "@/strict_models")
     job("incremental", "@/raw", "@/drift", "--drift", "--quarantine", "@/drift_bad")
@@ -18,6 +19,8 @@ def test_all_jobs_in_turn(spark, folder, capfd):
     full = spark.read.parquet(f"{root}/aggregate")
     exported = spark.read.option("header", True).csv(f"{root}/incremental_csv")
     assert full.count() == exported.count() > 0
+    running = spark.read.option("header", True).csv(f"{root}/stateful_csv")
+    assert exported.exceptAll(running).isEmpty() and running.exceptAll(exported).isEmpty()
     job("train", "@/state", "@/models")
     job("predict", "@/models", "@/predictions", "--csv", "@/predictions_csv")
     job("predict-cached", "@/models", "@/predictions", "@/cache")

@@ -11,7 +11,8 @@ from basketflow.plans.highwater import HighWaterAggregation
 from basketflow.queries.arrivals import COLUMNS, LATE_DAY, Arrivals
 from basketflow.queries.inputs import EVENT_IDS, event_baskets
 from basketflow.sources.baskets import ARRIVAL_DAY
-from basketflow.streaming.incremental import IncrementalAggregation
+from basketflow.streaming.incremental import IncrementalAggregation, age_in_ms
+from basketflow.streaming.stateful import StatefulTotals
 from support import rows
 
 SF = "/root/testdata/sf0.001"
@@ -313,3 +314,93 @@ def test_lines_without_a_header_are_rejects_of_a_drifting_stream(spark, folder):
         ("9,9", "header_missing", 1),
         ("order_id,user_id,Order_Dow,order_hour_of_day,fruit", "header_missing", 1),
     ]
+
+
+@pytest.mark.parametrize("drift", [False, True])
+def test_files_are_forgotten_after_an_hour_and_counted_once(spark, folder, drift):
+    def touch(day, seconds, name="a"):
+        os.utime(f"{root}/landing/{day}/{name}.csv", (seconds, seconds))
+
+    now = time.time()
+    columns = None if drift else HEADER.strip().split(",")
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n", landing__1__a=HEADER + "1,1,1,5,3,\n1,1\n")
+    touch(0, now - 5 * 86400)
+    job = IncrementalAggregation(spark, f"{root}/landing", f"{root}/state", IDS, columns, max_file_age="1h", compact_every=2)
+    assert job.run_available() == [0]
+    before = job.version()
+    # Older than the bound: one of a new day, a second one of day 0, one of rejects alone, one without lines.
+    folder(
+        landing__2__a=HEADER + "1,1,2,5,4,\n", landing__0__odd=HEADER + "1,1,0,5,10,\n",
+        landing__3__a=HEADER + "1,1\n", landing__4__a=HEADER,
+    )
+    for day, name in ((2, "a"), (0, "odd"), (3, "a"), (4, "a")):
+        touch(day, now - 86400, name)
+    assert job.run_available() == [] and job.version() != before
+    want = [(0, 5, "fruit", 12), (1, 5, "fruit", 3), (2, 5, "fruit", 4)]
+    assert rows(job.totals()) == want
+    assert [r.day for r in job.processed_days().orderBy("day").collect()] == [0, 1, 2, 3, 4]
+    bad = [(None, None, None, "1,1", "malformed_line", 2)]
+    assert rows(job.quarantine()) == bad
+    assert job.files().count() == 6
+    version = job.version()
+    assert job.run_available() == [] and job.version() == version
+    # Counted, forgotten, and now with a new time, beside a new file.
+    for day, name in ((0, "a"), (2, "a"), (0, "odd"), (3, "a")):
+        touch(day, now + 60, name)
+    folder(landing__5__a=HEADER + "1,1,5,5,1,\n")
+    touch(5, now + 61)
+    assert job.run_available() == [1]
+    for _ in range(2):
+        job.compact()
+        assert rows(job.totals()) == [*want, (5, 5, "fruit", 1)]
+        assert rows(job.quarantine()) == bad and job.files().count() == 7
+    # The batch again, as after a failure.
+    batch = job._rows(job._options(spark.read), f"{root}/landing/5/a.csv")
+    job.apply_batch(batch, 1)
+    assert rows(job.totals()) == [*want, (5, 5, "fruit", 1)]
+
+
+def test_late_files_begun_and_not_finished_are_counted_once(spark, folder):
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n")
+    job = job_on(spark, root, max_file_age="1h")
+    job.run_available()
+    folder(landing__1__a=HEADER + "1,1,1,5,3,\n")
+    old = time.time() - 86400
+    os.utime(f"{root}/landing/1/a.csv", (old, old))
+    # What a run that was lost before it noted its files leaves.
+    job._partials(0, "late/").write(0, job._ledger_of(job._rows(job._options(spark.read), f"{root}/landing/1"), 0))
+    job.compact()
+    assert rows(job.totals()) == [(0, 5, "fruit", 2)]
+    job.run_available()
+    job.compact()
+    assert rows(job.totals()) == [(0, 5, "fruit", 2), (1, 5, "fruit", 3)]
+
+
+def test_ages():
+    assert [age_in_ms(a) for a in ("90s", "2m", "1h", "7d")] == [90_000, 120_000, 3_600_000, 604_800_000]
+    with pytest.raises(ValueError):
+        age_in_ms("soon")
+
+
+def test_running_totals_have_one_state_row_per_key(spark, folder):
+    header = HEADER.strip().split(",")
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,1\n2,1,0,5,3,\n3,1\n", landing__1__a=HEADER + "1,1,1,5,0.5,x\n")
+    job = StatefulTotals(spark, f"{root}/landing", f"{root}/state", IDS, header, compact_every=2)
+    job.run_available()
+    folder(landing__0__b=HEADER + "4,1,0,5,10,\n5,1,2,5,1.5,\n")
+    job.run_available()
+    folder(landing__2__b=HEADER + "4,1,2,5,1.5,\n")
+    for _ in range(2):
+        job.run_available()
+    want = [(0, 5, "bread", 1), (0, 5, "fruit", 15), (2, 5, "fruit", 3)]
+    assert rows(job.totals()) == want
+    # The last batch again.
+    for name in ("2", ".2.crc"):
+        os.remove(f"{job.checkpoint}/commits/{name}")
+    job.run_available()
+    assert rows(job.totals()) == want
+    assert job.table.base() == 1 and job.table.batches() == [0, 1, 2]
+    states = spark.read.format("statestore").load(job.checkpoint)
+    assert states.count() == states.select("key").distinct().count() == 3
+    with pytest.raises(EmptyInput):
+        StatefulTotals(spark, f"{root}/none", f"{root}/other", IDS, header).run_available()

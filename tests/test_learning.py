@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from basketflow.errors import EmptyInput, ModelNotFound
 from basketflow.functions.keys import KEYS
 from basketflow.operators import serving
+from basketflow.operators.forest import forest_nodes, forest_scores
 from basketflow.operators.metrics import mean_squared_error, round_prediction
 from basketflow.operators.sampling import hash_split
 from basketflow.plans.periodic import repeat, seconds
@@ -66,6 +67,23 @@ def test_forest_beats_the_overall_mean(store):
     assert store.metrics().first().mse < flat / 2
 
 
+def test_the_forest_by_joins_equals_the_model(spark, store):
+    model, nodes = store.load(1), forest_nodes(store.nodes(1))
+    test = store.split(1, "test")
+    unusual = spark.createDataFrame([(3, 4, "new", 1), (3, 4, None, 1), (3, 4, None, 2)], test.schema)
+    scored = test.unionByName(unusual)
+    want = rows(model.transform(scored).select(*test.columns, "prediction"))
+    assert rows(forest_scores(scored, model, nodes).select(*test.columns, "prediction")) == want
+    # Not by chance: with other thresholds for weekday and hour the scores differ.
+    moved = F.when(F.col("categorical"), F.col("bounds")).otherwise(F.transform("bounds", lambda x: x - 2))
+    other = forest_scores(scored, model, nodes.withColumn("bounds", moved))
+    assert rows(other.select(*test.columns, "prediction")) != want
+    # Rows without an hour, and no rows.
+    none = spark.createDataFrame([(3, None, "c1", 1)], test.schema)
+    assert rows(forest_scores(none, model, nodes).select("prediction")) == [(None,)]
+    assert forest_scores(test.limit(0), model, nodes).count() == 0
+
+
 def test_model_does_not_depend_on_the_input_layout(totals):
     train, test = hash_split(totals)
     first = predict(fit_forest(train, SMALL), test)
