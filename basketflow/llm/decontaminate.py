@@ -6,6 +6,10 @@ diagonals (position in text minus position in item). Diagonals are cut into band
 as that, each overlapping the next by half, so one band holds all of them. Bands with fewer
 shared q-grams than the bound are dropped; what is left is verified by alignment in the band.
 
+The alignment goes by edits, not by characters: for each diagonal of the band, how far into the item
+one gets with 0, 1, 2, ... edits. A step takes time by the width of the band and by the characters that
+match, and memory by the width alone, so a long item costs little unless it has many edits.
+
 Letters are compared in lower case and any white space equals a blank; nothing is taken out, so
 positions are those of the text.
 """
@@ -30,8 +34,8 @@ FILTER_BITS = 22
 NOTHING = 0xFFFFFFFF  # stands between texts and equals no character
 
 COLUMNS = "doc_id long, item_id long, begin long, end long, edits int"
-COST = 1 << 40  # costs and begins share one number; a cost outweighs any begin
-FORBIDDEN = 1 << 60
+CELLS = 1 << 16  # diagonals looked at in one step, of as many candidates as have them
+UNREACHED = -(1 << 40)
 
 
 def edit_budget(length: int, share: float = EDIT_SHARE) -> int:
@@ -94,6 +98,8 @@ class Items:
         length = np.array([len(c) for c in codes])
         budgets = np.array([edit_budget(n, share) for n in length.tolist()])
         self = cls(np.array([i for i, _ in rows]), codes, budgets, length - Q + 1 - budgets * Q, table)
+        self.length, self.joined = length, np.concatenate(codes)
+        self.first_code = np.cumsum(length) - length
         grams = np.concatenate([gram_hashes(c) for c in codes])
         item = np.repeat(np.arange(len(codes)), length - Q + 1)
         place = np.concatenate([np.arange(n - Q + 1) for n in length.tolist()])
@@ -146,52 +152,122 @@ class Items:
         enough = shared >= self.bounds[item]
         text, item, band = text[enough], item[enough], band[enough]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for i in range(0, len(text), 256):
-            part = slice(i, i + 256)
+        # Candidates of like width together, as many as fit; a wide one on its own.
+        order = np.argsort(self.budgets[item], kind="stable")
+        width = band_width(self.budgets[item[order]])
+        begin = 0
+        while begin < len(order):
+            end = begin + max(1, int(np.searchsorted(width[begin:] * np.arange(1, len(order) - begin + 1), CELLS, side="right")))
+            part = order[begin:end]
+            begin = end
             found = self._align(joined, item[part], band[part], starts[text[part]], ends[text[part]] - 1)
-            for t, k, (edits, begin, end) in zip(text[part].tolist(), item[part].tolist(), found, strict=True):
-                if edits <= self.budgets[k]:
-                    own = (edits, begin, end)
-                    best[t, k] = min(own, best.get((t, k), own))
+            for c, edits, first, last in zip(*(x.tolist() for x in found), strict=True):
+                t, k = int(text[part[c]]), int(item[part[c]])
+                own = (edits, first, last)
+                best[t, k] = min(own, best.get((t, k), own))
         return [(t, k, begin, end, edits) for (t, k), (edits, begin, end) in best.items()]
 
-    def _align(self, joined, item, band, low, high) -> list[tuple[int, int, int]]:
-        """``(edits, begin, end)`` of the best alignment of each item within its band of a text.
+    def _align(self, joined, item, band, low, high) -> tuple[np.ndarray, ...]:
+        """``(candidate, edits, begin, end)`` of the best alignments of items within their band of a text.
+
+        Only of candidates within their item's budget. Best is the one with the fewest edits, then the
+        leftmost begin, then the leftmost end: from all begins forward for the edits, from all ends
+        backward for the begin, and from that begin forward for the end.
+        """
+        budget, length = self.budgets[item], self.length[item]
+        left, width = band * (budget + 1) - budget, band_width(budget)
+        d = np.arange(int(width.max()))
+        in_band = d < width[:, None]
+        candidates = Candidates(joined, self.joined, self.first_code[item], length, left, width, low, high)
+        edits, _ = candidates.reach(in_band, budget, forward=True)
+        some = np.flatnonzero(edits >= 0)
+        if not len(some):
+            return some, some, some, some
+        candidates, edits, in_band = candidates.of(some), edits[some], in_band[some]
+        left, length, low, high, width = left[some], length[some], low[some], high[some], width[some]
+        _, reached = candidates.reach(in_band, edits, forward=False)
+        # Diagonals are mirrored on the way back: the last one reached is the first one.
+        lowest = width - 1 - (reached.shape[1] - 1 - np.argmax(reached[:, ::-1], axis=1))
+        begin = np.clip(left + lowest, low, high)
+        same_begin = in_band & (np.clip(left[:, None] + d, low[:, None], high[:, None]) == begin[:, None])
+        _, reached = candidates.reach(same_begin, edits, forward=True)
+        end = np.maximum(np.clip(left + length + np.argmax(reached, axis=1), low, high), begin)
+        return some, edits, begin - low, end - low
+
+
+def band_width(budget: np.ndarray) -> np.ndarray:
+    """Diagonals of a band and of the edits on either side of it."""
+    return 2 * (budget + 1) + 2 * budget + 1
+
+
+@dataclass
+class Candidates:
+    """Items and the parts of texts that they may occur in, one of each per candidate.
+
+    Diagonal d pairs character i of the item with character ``left + i + d`` of ``text``; what lies
+    outside ``low`` to ``high`` equals nothing.
+    """
+
+    text: np.ndarray
+    items: np.ndarray
+    first: np.ndarray
+    length: np.ndarray
+    left: np.ndarray
+    width: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def of(self, some: np.ndarray) -> "Candidates":
+        own = (self.first, self.length, self.left, self.width, self.low, self.high)
+        return Candidates(self.text, self.items, *(x[some] for x in own))
+
+    def reach(self, begins: np.ndarray, limit: np.ndarray, forward: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Fewest edits to get through each item, -1 beyond ``limit``, and the diagonals where that ends.
 
-        Row by row of the items, all candidates at once. Cell d of row i stands for the text up
-        to ``left + i + d``; it comes from a match or change (same d), from a character that the
-        text lacks (d + 1) or from one that the item lacks (d - 1, by a running minimum). A cell
-        holds cost and begin in one number, so the least cost and then the leftmost begin win.
+        ``begins`` are the diagonals to begin at. Backward, items are read from their end and diagonals
+        are mirrored, after which the same moves are allowed.
         """
-        budget = self.budgets[item]
-        left = band * (budget + 1) - budget
-        width = 2 * (budget + 1) + 2 * budget
-        size, length = int(width.max()) + 1, np.array([len(self.codes[k]) for k in item])
-        rows = np.full((len(item), int(length.max())), NOTHING - 1, np.uint32)
-        for c, k in enumerate(item):
-            rows[c, : length[c]] = self.codes[k]
-        d = np.arange(size)
-        place = left[:, None] + d
-        # A cell outside the band costs more than any budget; outside the text nothing matches.
-        outside = d > width[:, None]
-        state = np.clip(place, low[:, None], high[:, None]) - low[:, None]
-        state[outside] = FORBIDDEN
-        climb = d * COST
-        results = [(0, 0, 0)] * len(item)
-        for i in range(rows.shape[1]):
-            text = joined[np.clip(place + i, 0, len(joined) - 1)]
-            inside = (place + i >= low[:, None]) & (place + i < high[:, None])
-            differs = (text != rows[:, i : i + 1]) | ~inside
-            step = state + differs * COST
-            step[:, :-1] = np.minimum(step[:, :-1], state[:, 1:] + COST)
-            state = np.minimum.accumulate(step - climb, axis=1) + climb
-            state[outside] = FORBIDDEN
-            for c in np.flatnonzero(length == i + 1):
-                end = int(np.argmin(state[c]))
-                edits, begin = divmod(int(state[c, end]), COST)
-                stop = min(max(int(left[c]) + i + 1 + end, int(low[c])), int(high[c])) - int(low[c])
-                results[c] = edits, begin, max(begin, stop)
-        return results
+        edits = np.full(len(self.length), -1)
+        ends = np.zeros(begins.shape, bool)
+        in_band = np.arange(begins.shape[1]) < self.width[:, None]
+        at = np.where(begins, 0, UNREACHED)
+        active, own = np.arange(len(self.length)), self
+        for edit in range(int(limit.max(initial=-1)) + 1):
+            if edit:
+                # A character changed; one that the text lacks; one that the item lacks.
+                further = at + 1
+                further[:, :-1] = np.maximum(further[:, :-1], at[:, 1:] + 1)
+                further[:, 1:] = np.maximum(further[:, 1:], at[:, :-1])
+                at = np.where(in_band, further, UNREACHED)
+            own._extend(at, forward)
+            through = at >= own.length[:, None]
+            done = through.any(axis=1)
+            edits[active[done]], ends[active[done]] = edit, through[done]
+            left = ~done & (limit[active] > edit)
+            if not left.all():
+                active, at, in_band, own = active[left], at[left], in_band[left], own.of(left)
+            if not len(active):
+                break
+        return edits, ends
+
+    def _extend(self, at: np.ndarray, forward: bool) -> None:
+        """Moves on along each diagonal while characters match."""
+        c, d = np.nonzero((at >= 0) & (at < self.length[:, None]))
+        size = 4
+        while len(c):
+            more = at[c, d][:, None] + np.arange(size)
+            if forward:
+                place, code = (self.left[c] + d)[:, None] + more, self.first[c][:, None] + more
+            else:
+                last = self.left + self.length + self.width - 2
+                place, code = (last[c] - d)[:, None] - more, (self.first + self.length - 1)[c][:, None] - more
+            inside = (more < self.length[c][:, None]) & (place >= self.low[c][:, None]) & (place < self.high[c][:, None])
+            same = self.text[np.where(inside, place, 0)] == self.items[np.where(inside, code, 0)]
+            same &= inside
+            all_same = same.all(axis=1)
+            at[c, d] += np.where(all_same, size, np.argmin(same, axis=1))
+            c, d = c[all_same], d[all_same]
+            size = max(4, min(size * 2, CELLS // max(1, len(c))))
 
 
 def contaminated(
@@ -206,7 +282,7 @@ def contaminated(
     Best is the one with the fewest edits, then the leftmost. Every row of ``docs`` is searched
     for every item, whole; null texts hold nothing. Items are searched for in blocks of about
     ``BLOCK_CHARS`` characters, each sent to all tasks, with one pass over the documents per
-    block, so the memory of a task does not depend on the benchmark. Items that are null or
+    block, so the memory of a task depends on the benchmark only by its longest item. Items that are null or
     shorter than ``Q`` characters are not searched for; equal items are one under each id. Rows
     with equal keys are searched on their own and can repeat a result.
     """

@@ -94,3 +94,17 @@ def test_keep_clean(spark, docs_of):
     assert d.contaminated(docs_of([]), items).count() == 0
     found = d.contaminated(docs_of([(4, rows[-1][1])]), items).first()
     assert (found.begin, found.end) == (1000000, 1000000 + len(item))
+
+
+def test_items_of_any_length_are_aligned():
+    rng = random.Random(11)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(30000))
+    changed = list(item)
+    for at in range(100, 30000, 600):  # 50 changes of a character
+        changed[at] = "#"
+    texts = ["x" * 40 + item, None, "y" * 7 + "".join(changed) + "z" * 9, item[: len(item) // 2], "".join(changed)[200:]]
+    items = d.Items.of([(5, item)], d.EDIT_SHARE)
+    found = sorted(items.search_all(texts))
+    assert found[:2] == [(0, 0, 40, 30040, 0), (2, 0, 7, 30007, 50)]
+    # What is cut off counts as edits: 199 characters without a change, and the 49 changes after them.
+    assert [(t, edits) for t, _, _, _, edits in found[2:]] == [(4, 249)]
