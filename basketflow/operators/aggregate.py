@@ -165,7 +165,13 @@ def basket_totals(baskets: DataFrame, id_columns: Sequence[str]) -> DataFrame:
 # --- sums and rejects in one pass ---------------------------------------------------
 
 
-def _key(df: DataFrame, dow: str, hour: str, extra: Sequence[str], malformed: Column | None = None) -> Column:
+def ledger_key(
+    df: DataFrame,
+    dow: str = "order_dow",
+    hour: str = "order_hour_of_day",
+    extra: Sequence[str] = (),
+    malformed: Column | None = None,
+) -> Column:
     """Typed keys, or the reason and the raw values where they cannot be typed."""
     reason = key_reason(df, dow, hour)
     day, time = F.col(quoted(dow)), F.col(quoted(hour))
@@ -243,7 +249,7 @@ def basket_ledger(
     as_text = [F.col(quoted(c)).cast("string") if text else F.col(quoted(c)) for c in categories]
     line = F.col(quoted(malformed)) if malformed else None
     cells = F.array(*as_text, F.lit(None), *([F.col(quoted(file))] if file else []))
-    rows = baskets.select(_key(baskets, dow, hour, extra, line), cells.alias("cells"))
+    rows = baskets.select(ledger_key(baskets, dow, hour, extra, line), cells.alias("cells"))
     exploded = rows.select(RESERVED, F.posexplode("cells").alias("position", "items"))
     names = F.array(*[F.lit(c) for c in categories])
     fault = F.lit(None).cast("string")
@@ -264,8 +270,12 @@ def without_files(ledger: DataFrame) -> DataFrame:
 
 
 def facts_ledger(facts: DataFrame, extra: Sequence[str] = (), dow: str = "order_dow", hour: str = "order_hour_of_day") -> DataFrame:
-    """As ``basket_ledger``, for long facts with a column ``fault``; see ``melt_drifting_lines``."""
-    return _ledger(facts.select(_key(facts, dow, hour, extra), "category", "items", "fault"), extra)
+    """As ``basket_ledger``, for long facts with a column ``fault``; see ``melt_drifting_lines``.
+
+    Facts that were melted with ``keyed`` bring their key along.
+    """
+    key = F.col(RESERVED) if RESERVED in facts.columns else ledger_key(facts, dow, hour, extra)
+    return _ledger(facts.select(key, "category", "items", "fault"), extra)
 
 
 def merge_ledger(ledger: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

@@ -350,7 +350,12 @@ def schema_drift_repeated_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = lines.unionByName(lines.select("day").distinct().select("day", F.inline(places)))
     ordered = whole.repartition("day").sortWithinPartitions("day", "part", "place")
     ordered.select("day", "value").write.partitionBy("day").text(path)
-    ledger = facts_ledger(melt_drifting_files(spark, f"{path}/*/*.txt", EVENT_IDS, rejects=True))
+    facts = melt_drifting_files(spark, f"{path}/*/*.txt", EVENT_IDS, rejects=True, keyed=True)
+    ledger = facts_ledger(facts)
+    # Totals and rejects are read from it apart; the text is melted once.
+    ledger_at = working_dir(spark, "schema_drift_ledger")
+    ledger.write.parquet(ledger_at)
+    ledger = spark.read.schema(ledger.schema).parquet(ledger_at)
     lost = ledger_rejects(ledger).groupBy("reason").agg(F.sum("cells").alias("items"))
     none = F.lit(None).cast("int")
     return ledger_totals(ledger).unionByName(

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import EmptyInput, MalformedBaskets
-from ..operators.aggregate import FILES, RESERVED
+from ..operators.aggregate import FILES, RESERVED, ledger_key
 from ..session import working_dir
 from . import files
 
@@ -172,6 +172,7 @@ def melt_drifting_files(
     path: str | list[str],
     id_columns: Sequence[str] = ("order_dow", "order_hour_of_day"),
     rejects: bool = False,
+    keyed: bool = False,
 ) -> DataFrame:
     """``melt_drifting_lines`` over CSV files."""
     try:
@@ -180,7 +181,7 @@ def melt_drifting_files(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise EmptyInput(str(path)) from error
         raise
-    return melt_drifting_lines(lines.select("value", *line_place()), id_columns, rejects=rejects)
+    return melt_drifting_lines(lines.select("value", *line_place()), id_columns, rejects=rejects, keyed=keyed)
 
 
 def line_place() -> list[Column]:
@@ -192,8 +193,8 @@ def header_fields(line: str) -> list[str]:
     return next(csv.reader([line]))
 
 
-# A comma with an even number of quotes after it.
-FIELD_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A comma with an even number of quotes after it; nothing is tried twice.
+FIELD_END = r',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
 
 
 def _may_be_header(id_columns: Sequence[str]) -> Column:
@@ -212,6 +213,7 @@ def melt_drifting_lines(
     rejects: bool = False,
     headers_at: str | None = None,
     mark: str | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
     """Long facts from CSV lines (``file``, ``block``, ``value``) whose files differ in their headers.
 
@@ -228,6 +230,8 @@ def melt_drifting_lines(
     line without a header, with ``header_missing``; every other line
     comes with one more row that has neither category nor fault. ``mark`` names a text column: then each
     line comes with one more row yet, its value as ``items`` and the ``fault`` ``(file)``.
+    ``keyed`` adds the key that ``facts_ledger`` sums by (``keep`` included), made once a line and
+    not once a cell.
     """
     spark = lines.sparkSession
     # Numbers ascend within a block, and are the same whenever the lines are read.
@@ -254,6 +258,12 @@ def melt_drifting_lines(
         quoted = F.transform(F.array(parsed), lambda p: F.array(*[p[f"c{i}"] for i in range(width + 1)]))
         return F.when(F.contains(line, F.lit('"')), F.get(quoted, F.lit(0))).otherwise(F.split(line, ","))
 
+    # A column without a name is no category, but it has its place.
+    own = [
+        F.transform(F.slice(fields(F.lit(line)), 1, len(header_fields(line))), lambda c: F.coalesce(c, F.lit("")))
+        for line in headers.values()
+    ]
+    names_of = dict(zip(headers, spark.range(1).select(F.array(*own)).first()[0], strict=True)) if headers else {}
     in_file = likely.filter(F.col("header").isin(*headers)).groupBy("of").agg(
         F.sort_array(F.collect_list(F.struct("at", "header"))).alias("all")
     )
@@ -266,17 +276,14 @@ def melt_drifting_lines(
     here, only = F.struct("block", "line"), F.get("marks", F.lit(0))
     past = F.filter("marks", lambda mark: mark["at"] < here)
     header = F.when(F.size("marks") == 1, F.when(only["at"] < here, only["header"])).otherwise(
-        F.get(past, F.size(past) - 1)["header"]
+        F.try_element_at(past, F.lit(-1))["header"]
     )
     joined = cells.join(marks, "of", "left" if rejects else "inner").withColumns(
         {"header": header, "cells": fields(F.col("value"))}
     )
     names = F.lit(None).cast("array<string>")
-    for code, line in headers.items():
-        # A column without a name is no category, but it has its place.
-        parts = F.slice(fields(F.lit(line)), 1, len(header_fields(line)))
-        own = F.transform(parts, lambda c: F.coalesce(c, F.lit("")))
-        names = F.when(F.col("header") == code, own).otherwise(names)
+    for code, own_names in names_of.items():
+        names = F.when(F.col("header") == code, F.array(*map(F.lit, own_names))).otherwise(names)
     joined = joined.withColumn("names", names)
     ids = [F.get("cells", F.array_position("names", name).cast("int") - 1).alias(name) for name in id_columns]
     # Quoted commas make a line look longer, never shorter; beyond the header a cell tells.
@@ -294,8 +301,15 @@ def melt_drifting_lines(
         cell = whole
         joined = joined.filter(~bad)
         fault = F.lit(None).cast("string")
-    facts = joined.select(*keep, *ids, fault.alias("fault"), F.explode(cell).alias("cell")).select(
-        *keep, *id_columns, F.col("cell.names").alias("category"), F.nullif("cell.cells", F.lit("")).alias("items"), "fault"
+    # Ids, fault and key are columns before the cells are, so that no cell makes them again. No list
+    # of cells is empty; a plain explode would make them all twice, to look for those that are.
+    by_line = joined.select(*keep, *ids, fault.alias("fault"), cell.alias("cell"))
+    key = []
+    if keyed:
+        key = [RESERVED]
+        by_line = by_line.withColumn(RESERVED, ledger_key(by_line, extra=keep))
+    facts = by_line.select(*keep, *id_columns, "fault", *key, F.explode_outer("cell").alias("cell")).select(
+        *keep, *id_columns, F.col("cell.names").alias("category"), F.nullif("cell.cells", F.lit("")).alias("items"), "fault", *key
     )
     if mark:
         is_mark = F.col("category").eqNullSafe(F.lit(RESERVED))

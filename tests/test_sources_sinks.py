@@ -1,14 +1,17 @@
 import os
+import re
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from basketflow.errors import EmptyInput
-from basketflow.operators.aggregate import basket_totals, total_items
+from basketflow.functions.quantity import INTEGER_PATTERN
+from basketflow.operators.aggregate import basket_totals, facts_ledger, total_items
 from basketflow.operators.quality import quarantined_baskets
 from basketflow.operators.reshape import valid_keys
 from basketflow.plans.aggregation import full_aggregation, split_orders
+from basketflow.queries.aggregation import schema_drift_repeated_header
 from basketflow.session import working_dir
 from basketflow.sinks.csv import export_csv, write_day_folders
 from basketflow.sinks.keyvalue import write_keyvalue
@@ -25,7 +28,7 @@ from basketflow.sources.baskets import (
     union_days,
 )
 from basketflow.sources.tables import BatchTable
-from support import rows
+from support import around_cells, rows
 
 HEADER = "order_id,user_id,order_dow,order_hour_of_day,fruit,bread\n"
 IDS = ["order_id", "user_id", "order_dow", "order_hour_of_day"]
@@ -349,6 +352,29 @@ def test_headers_in_files_that_are_read_in_parts(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_keys_of_drifting_files_are_made_once_a_line(spark, folder):
+    second = "bread,order_dow,order_hour_of_day,user_id,order_id,tea\n"
+    root = folder(a="0,0,\n" + HEADER + '1,1,0,5,2,\n1,1,9,5,"x,y",1\n1,1\n' + second + "4,1,,1,3,\n")
+    made = facts_ledger(melt_drifting_files(spark, f"{root}/*.csv", IDS, rejects=True, keyed=True))
+    assert rows(made) == rows(facts_ledger(melt_drifting_files(spark, f"{root}/*.csv", IDS, rejects=True)))
+    above, below = around_cells(made)
+    for once_a_line in (INTEGER_PATTERN, "array_position", "from_csv", "split(value"):
+        assert once_a_line in below and once_a_line not in above
+    assert below.count("from_csv") == 1
+
+
+def test_names_in_quotes_make_a_header_however_many_quotes_follow(spark, folder):
+    header = '"order_id",user_id,"order_dow",order_hour_of_day,"a ""b"", c"\n'
+    root = folder(a=header + "1,1,0,5,2\n" + '1,1,0,5,"order_id"' + '""' * 50_000 + "\n")
+    facts = melt_drifting_files(spark, f"{root}/a.csv", IDS, rejects=True)
+    assert facts.filter("fault IS NOT NULL").count() == 0 and facts.filter("category IS NULL").count() == 2
+
+
+def test_text_with_repeated_headers_is_melted_once(spark):
+    plan = schema_drift_repeated_header(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert set(re.findall(r"Relation \[.*\] (\w+)", plan)) == {"parquet"}
+
+
 def test_two_writers_never_share_a_batch(spark, tmp_path):
     from concurrent.futures import ThreadPoolExecutor
 
