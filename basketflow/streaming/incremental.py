@@ -153,7 +153,7 @@ class IncrementalAggregation(AggregationState):
             return basket_ledger(batch, self.id_columns, [ARRIVAL_DAY], malformed=malformed, file=mark)
         headers_at = f"{self.state}/gen={generation}/headers"
         facts = melt_drifting_lines(
-            batch, self.id_columns, (ARRIVAL_DAY,), rejects=True, headers_at=headers_at, mark=mark
+            batch, self.id_columns, (ARRIVAL_DAY,), rejects=True, headers_at=headers_at, mark=mark, keyed=True
         )
         return facts_ledger(facts, [ARRIVAL_DAY])
 

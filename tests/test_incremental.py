@@ -6,6 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from basketflow.errors import EmptyInput
+from basketflow.functions.quantity import INTEGER_PATTERN
 from basketflow.operators.aggregate import basket_totals
 from basketflow.plans.highwater import HighWaterAggregation
 from basketflow.queries.arrivals import COLUMNS, LATE_DAY, Arrivals
@@ -13,7 +14,7 @@ from basketflow.queries.inputs import EVENT_IDS, event_baskets
 from basketflow.sources.baskets import ARRIVAL_DAY
 from basketflow.streaming.incremental import IncrementalAggregation, age_in_ms
 from basketflow.streaming.stateful import StatefulTotals
-from support import rows
+from support import around_cells, rows
 
 SF = "/root/testdata/sf0.001"
 HEADER = "order_id,user_id,order_dow,order_hour_of_day,fruit,bread\n"
@@ -173,6 +174,14 @@ def test_drifting_columns_in_the_stream(spark, folder):
     assert rows(job.processed_days()) == [(0, 0), (1, 1)]
 
 
+def test_a_drifting_stream_makes_its_keys_once_a_line(spark, folder):
+    root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n")
+    job = IncrementalAggregation(spark, f"{root}/landing", f"{root}/state", IDS)
+    above, below = around_cells(job._ledger_of(job._rows(spark.read, f"{root}/landing/*/*.csv"), 0))
+    for once_a_line in (INTEGER_PATTERN, "array_position", "from_csv"):
+        assert once_a_line in below and once_a_line not in above
+
+
 def test_highwater_leaves_late_days_out(spark, folder):
     root = folder(landing__0__a=HEADER + "1,1,0,5,2,\n", landing__3__a=HEADER + "1,1,3,5,2,\n")
     job = HighWaterAggregation(spark, f"{root}/landing", f"{root}/state", IDS)
